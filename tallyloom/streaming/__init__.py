@@ -1,0 +1,5 @@
+"""Holds no operators: everything the library covers is batch work.
+
+The rolling twelve-month tables are rebuilt as a whole for a given day, and the
+incremental loads compare a batch with the stored table.
+"""
