@@ -32,16 +32,19 @@ def mean_ticket(total: Column, count: Column) -> Column:
 def pop_stddev(count: Column, total: Column, total_of_squares: Column) -> Column:
     """Population standard deviation to two places, from sums that add up over groups.
 
-    ``n * sum(x^2) - sum(x)^2`` is exact in decimals up to totals of about 1e16;
-    beyond that the same formula runs in doubles.
+    ``n * sum(x^2) - sum(x)^2`` is exact in decimals, and taken in cents so that a
+    root halfway between two cents is met exactly. Totals beyond about 1e15 go
+    through the same formula in doubles.
     """
     n = count.cast("decimal(19,0)")
     s = total.try_cast("decimal(19,2)")
-    exact = F.try_subtract(F.try_multiply(n, total_of_squares), F.try_multiply(s, s)).cast("double")
+    cents = F.lit(10000).cast("decimal(5,0)")
+    exact = F.try_multiply(F.try_subtract(F.try_multiply(n, total_of_squares), F.try_multiply(s, s)), cents)
     wide_n, wide_s = count.cast("double"), total.cast("double")
-    approximate = F.greatest(wide_n * total_of_squares.cast("double") - wide_s * wide_s, F.lit(0.0))
-    spread = F.coalesce(exact, approximate)
-    return F.round(F.sqrt(spread) / F.nullif(wide_n, F.lit(0.0)), 2).cast(TOTAL)
+    rough = F.greatest(wide_n * total_of_squares.cast("double") - wide_s * wide_s, F.lit(0.0)) * 10000
+    spread = F.coalesce(exact.cast("double"), rough)
+    in_cents = F.round(F.sqrt(spread) / F.nullif(wide_n, F.lit(0.0)), 0)
+    return (in_cents.cast("decimal(22,0)") / F.lit(100).cast("decimal(3,0)")).cast(TOTAL)
 
 
 def price_tiers(mean: Column, stddev: Column, lowest: Column) -> dict[str, Column]:

@@ -28,7 +28,7 @@ YES_SINCE = DateWindow.since("1999-05-15", "1999-06-05")
 YES_OPEN = DateWindow.since("1999-05-15", "2000-09-30")
 LATER_ABSTRACTS = DateWindow.since("1999-09-09", "2000-09-30")
 ASSEMBLY_YEARS = {"A3 AMC": 2023, "A5 AMC": 2025}
-COUNTRY, AFFILIATION = "NATION_1", "MACHINERY Lab 1"
+COUNTRY, AFFILIATION = "NATION_1", "AUTOMOBILE Lab 6"
 
 
 def plain_types(df: DataFrame) -> DataFrame:
