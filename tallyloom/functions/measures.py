@@ -13,51 +13,47 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(12,2)"
 TOTAL = "decimal(22,2)"
+SQUARES = "decimal(38,4)"
 
 
-def _quotient(numerator: Column, count: Column) -> Column:
-    return numerator / F.nullif(count.cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
-
-
-def conversion_pct(part: Column, whole: Column, on_zero: int | None = None) -> Column:
+def conversion_pct(part: str, whole: str, on_zero: int | None = None) -> Column:
     """``100 * part / whole`` to two places. A zero ``whole`` gives ``on_zero``."""
-    pct = F.round(_quotient(part.cast("decimal(20,0)") * F.lit(100), whole), 2).cast("decimal(20,2)")
-    return pct if on_zero is None else F.coalesce(pct, F.lit(on_zero).cast("decimal(20,2)"))
+    quotient = f"CAST({part} AS decimal(20,0)) * 100 / nullif(CAST({whole} AS decimal(20,0)), 0)"
+    pct = f"CAST(round({quotient}, 2) AS decimal(20,2))"
+    return F.expr(pct if on_zero is None else f"coalesce({pct}, CAST({on_zero} AS decimal(20,2)))")
 
 
-def mean_ticket(total: Column, count: Column) -> Column:
-    return F.round(_quotient(total.cast(TOTAL), count), 2).cast(TOTAL)
+def mean_ticket(total: str, count: str) -> str:
+    """SQL text of the mean to two places; NULL for a zero count."""
+    quotient = f"CAST({total} AS {TOTAL}) / nullif(CAST({count} AS decimal(20,0)), 0)"
+    return f"CAST(round({quotient}, 2) AS {TOTAL})"
 
 
-def pop_stddev(count: Column, total: Column, total_of_squares: Column) -> Column:
-    """Population standard deviation to two places, from sums that add up over groups.
+def pop_stddev(count: str, total: str, total_of_squares: str) -> str:
+    """SQL text of the population standard deviation to two places, from sums that add up over groups.
 
     ``n * sum(x^2) - sum(x)^2`` is exact in decimals, and taken in cents so that a
     root halfway between two cents is met exactly. Totals beyond about 1e15 go
     through the same formula in doubles.
     """
-    n = count.cast("decimal(19,0)")
-    s = total.try_cast("decimal(19,2)")
-    cents = F.lit(10000).cast("decimal(5,0)")
-    exact = F.try_multiply(F.try_subtract(F.try_multiply(n, total_of_squares), F.try_multiply(s, s)), cents)
-    wide_n, wide_s = count.cast("double"), total.cast("double")
-    rough = F.greatest(wide_n * total_of_squares.cast("double") - wide_s * wide_s, F.lit(0.0)) * 10000
-    spread = F.coalesce(exact.cast("double"), rough)
-    in_cents = F.round(F.sqrt(spread) / F.nullif(wide_n, F.lit(0.0)), 0)
-    return (in_cents.cast("decimal(22,0)") / F.lit(100).cast("decimal(3,0)")).cast(TOTAL)
-
-
-def price_tiers(mean: Column, stddev: Column, lowest: Column) -> dict[str, Column]:
+    n, s = f"CAST({count} AS decimal(19,0))", f"try_cast({total} AS decimal(19,2))"
+    spread = f"try_subtract(try_multiply({n}, {total_of_squares}), try_multiply({s}, {s}))"
+    exact = f"CAST(try_multiply({spread}, CAST(10000 AS decimal(5,0))) AS double)"
+    wide_n, wide_s = f"CAST({count} AS double)", f"CAST({total} AS double)"
+    rough = f"greatest({wide_n} * CAST({total_of_squares} AS double) - {wide_s} * {wide_s}, 0D) * 10000D"
+    in_cents = f"round(sqrt(coalesce({exact}, {rough})) / nullif({wide_n}, 0D), 0)"
+    return f"CAST(CAST({in_cents} AS decimal(22,0)) / 100 AS {TOTAL})"
+
+
+def price_tiers(mean: str, stddev: str, lowest: str) -> dict[str, Column]:
     """Floor, target and premium price from already rounded statistics."""
-    zero = F.lit(0).cast(TOTAL)
-    mean, stddev, lowest = (F.coalesce(c.cast(TOTAL), zero) for c in (mean, stddev, lowest))
-    half = F.lit("0.50").cast("decimal(3,2)")
-    three_quarters = F.lit("0.75").cast("decimal(3,2)")
-    return {
-        "suggested_price_floor_EUR": F.round(F.greatest(mean - half * stddev, lowest), 2).cast(TOTAL),
+    mean, stddev, lowest = (f"coalesce(CAST({c} AS {TOTAL}), 0)" for c in (mean, stddev, lowest))
+    tiers = {
+        "suggested_price_floor_EUR": f"greatest({mean} - 0.50 * {stddev}, {lowest})",
         "suggested_price_target_EUR": mean,
-        "suggested_price_premium_EUR": F.round(mean + three_quarters * stddev, 2).cast(TOTAL),
+        "suggested_price_premium_EUR": f"{mean} + 0.75 * {stddev}",
     }
+    return {name: F.expr(f"CAST(round({price}, 2) AS {TOTAL})") for name, price in tiers.items()}
 
 
 def age_as_of(birthday: Column, day: dt.date) -> Column:

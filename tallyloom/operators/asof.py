@@ -12,48 +12,42 @@ def latest_before(
     """``rows`` with the ``value`` of the last touch of the same key at or before ``row_ts``.
 
     Every row is kept; without an earlier touch the value is NULL. Of touches at
-    the same instant the greatest value wins.
+    the same instant the greatest value wins. Callers add up rows that agree in
+    key and time beforehand, as touches are here.
 
     No row is paired with more than one touch, and no key is worked off in one
-    task however many rows it has. Both sides shrink to one row per key and
-    instant, and each key's time line is cut into slices. A window runs within
-    each slice; what the slice inherits comes from a second window over one row
-    per key and slice, whose number is limited by the calendar.
+    task however many rows it has: each key's time line is cut into slices. A
+    window runs within each slice; what a slice inherits comes from a second
+    window over one row per key and slice, whose number is limited by the calendar.
+    Both read one shuffle of the time line.
     """
-    t = F.col("_ts")
-    instants = rows.select(F.col(key).alias("_key"), F.col(row_ts).cast("timestamp_ntz").alias("_ts")).filter(
+    payload = [c for c in rows.columns if c != key]
+    when = f"CAST({row_ts} AS timestamp_ntz)"
+    asked = rows.selectExpr(
+        f"{key} AS _key", f"{when} AS _ts", f"date_trunc('{time_slice}', {when}) AS _slice", "1 AS _is_row",
+        f"struct({', '.join(payload)}) AS _row",
+    )
+    seen = touches.selectExpr(f"{key} AS _key", f"CAST({touch_ts} AS timestamp_ntz) AS _ts", f"{value} AS v").filter(
         "_key IS NOT NULL AND _ts IS NOT NULL"
-    ).distinct()
-    seen = touches.select(
-        F.col(key).alias("_key"), F.col(touch_ts).cast("timestamp_ntz").alias("_ts"), F.col(value).alias("_value")
-    ).filter("_key IS NOT NULL AND _ts IS NOT NULL").groupBy("_key", "_ts").agg(F.max("_value").alias("_value"))
-
+    ).selectExpr("*", f"date_trunc('{time_slice}', _ts) AS _slice")
     # 0 before 1: a touch at the very instant counts as earlier.
-    line = (
-        seen.withColumn("_is_row", F.lit(0))
-        .unionByName(instants.withColumn("_is_row", F.lit(1)), allowMissingColumns=True)
-        .withColumn("_slice", F.date_trunc(time_slice, t))
+    touched = seen.groupBy("_key", "_slice", "_ts").agg(F.max("v").alias("v")).selectExpr(
+        "_key", "_ts", "_slice", "0 AS _is_row", "named_struct('ts', _ts, 'v', v) AS _touch"
     )
+    line = asked.unionByName(touched, allowMissingColumns=True).repartition("_key", "_slice")
+
     within = Window.partitionBy("_key", "_slice").orderBy("_ts", "_is_row").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    touch = F.when(F.col("_is_row") == 0, F.struct(F.col("_value").alias("v")))
-    in_slice = line.withColumn("_touch", F.last(touch, ignorenulls=True).over(within)).filter("_is_row = 1")
-
-    last_of_slice = line.groupBy("_key", "_slice").agg(
-        F.max(F.when(F.col("_is_row") == 0, F.struct("_ts", F.col("_value").alias("v")))).alias("_last")
-    )
+    in_slice = line.withColumn("_touch", F.last("_touch", ignorenulls=True).over(within)).filter("_is_row = 1")
+    last_of_slice = line.groupBy("_key", "_slice").agg(F.max("_touch").alias("_last"))
     earlier = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    inherited = last_of_slice.select(
-        "_key", "_slice", F.last("_last", ignorenulls=True).over(earlier)["v"].alias("_inherited")
+    inherited = last_of_slice.filter("_key IS NOT NULL").select(
+        "_key", "_slice", F.last("_last", ignorenulls=True).over(earlier).alias("_inherited")
     )
-    found = in_slice.join(inherited, ["_key", "_slice"]).select(
-        F.col("_key").alias(key),
-        F.col("_ts"),
-        F.when(F.col("_touch").isNotNull(), F.col("_touch")["v"]).otherwise(F.col("_inherited")).alias(value),
+    return in_slice.join(inherited, ["_key", "_slice"], "left").selectExpr(
+        f"_key AS {key}", "_row.*", f"coalesce(_touch, _inherited).v AS {value}"
     )
-    keyed = rows.withColumn("_ts", F.col(row_ts).cast("timestamp_ntz"))
-    return keyed.join(found, [key, "_ts"], "left").drop("_ts")
 
 
 def latest_before_by_pairs(

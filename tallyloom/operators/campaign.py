@@ -32,23 +32,32 @@ def user_addresses(users: DataFrame, *columns: str) -> DataFrame:
     return users.select(F.col("id").alias("user_id"), plain_address(F.col("email")).alias("email_norm"), *columns)
 
 
+def touch_counts(touches: DataFrame) -> DataFrame:
+    """Mailings with their number per address, category and time."""
+    return touches.groupBy("email_norm", "award_category", "sent_at").agg(F.count("*").alias("mailings"))
+
+
 def last_touch(payments: DataFrame, users: DataFrame, touches: DataFrame, *user_columns: str) -> DataFrame:
-    """Payments with the category of the payer's latest mailing up to the payment.
+    """Payments (summed per user and time) with the category of the payer's latest mailing.
 
     The payer's address is looked up first and the mailings are matched by
-    address, so users who share one do not multiply the mailings.
+    address, so users who share one do not multiply the mailings; their payments
+    at one time are added up. The result is per address, time and ``user_columns``.
     """
     addressed = payments.join(user_addresses(users, *user_columns), "user_id", "left")
-    return latest_before(addressed, touches, "email_norm", "paid_at", "sent_at", "award_category")
+    summed = addressed.groupBy("email_norm", *user_columns, "paid_at").agg(
+        F.sum("payments").alias("payments"), F.sum("amount").alias("amount")
+    )
+    return latest_before(summed, touches, "email_norm", "paid_at", "sent_at", "award_category")
 
 
-def emails_sent(touches: DataFrame, users: DataFrame) -> DataFrame:
-    """Mailings per country and category over all time.
+def emails_sent(counts: DataFrame, users: DataFrame) -> DataFrame:
+    """Mailings per country and category over all time, from ``touch_counts``.
 
     Both sides are counted per address before they meet; a mailing counts once
     for every user with the address.
     """
-    sent = touches.groupBy("email_norm", "award_category").agg(F.count("*").alias("sent"))
+    sent = counts.groupBy("email_norm", "award_category").agg(F.sum("mailings").alias("sent"))
     holders = users.groupBy("email_norm", "country_name").agg(F.count("*").alias("holders"))
     return sent.join(holders, "email_norm").groupBy("country_name", "award_category").agg(
         F.sum(F.col("sent") * F.col("holders")).alias("emails_sent")
@@ -106,18 +115,30 @@ def nonresponders(
     An address held by several users comes once for each of them without an
     abstract; an address held by no user comes once.
     """
-    yes = yes_responses(form, window).join(latest_contact(mailings, columns), "email_norm", "left")
-    people = user_addresses(users)
-    submitted = window_filter(abstracts, "created_at", window).select("user_id")
-    idle = people.join(submitted, "user_id", "left_anti").select("email_norm")
-    rows = idle.join(yes, "email_norm").unionByName(yes.join(people, "email_norm", "left_anti"))
-    return rows.select(
+    submitted = window_filter(abstracts, "created_at", window).select("user_id").distinct()
+    holders = user_addresses(users).join(submitted.withColumn("wrote", F.lit(True)), "user_id", "left").groupBy(
+        "email_norm"
+    ).agg(F.count_if(F.col("wrote").isNull()).alias("idle"))
+    yes = yes_responses(form, window).join(holders, "email_norm", "left")
+    listed = repeat_rows(yes, "coalesce(idle, 1)").join(latest_contact(mailings, columns), "email_norm", "left")
+    return listed.select(
         F.col("email_norm").alias("email"),
         *[F.col(c).alias(CONTACT_NAMES.get(c, c)) for c in columns],
         "yes_created_at",
     )
 
 
+_BLOCK = 1000
+
+
+def repeat_rows(df: DataFrame, times: str) -> DataFrame:
+    """Each row as often as the expression says, made in blocks so that no long array is held."""
+    block = f"explode(sequence(0, CAST(({times} - 1) div {_BLOCK} AS int))) AS _block"
+    blocks = df.filter(f"{times} > 0").selectExpr("*", block)
+    size = f"CAST(least({_BLOCK}, {times} - _block * {_BLOCK}) AS int)"
+    return blocks.selectExpr(*df.columns, f"explode(array_repeat(0, {size})) AS _copy").drop("_copy")
+
+
 def yes_to_abstract(
     form: DataFrame, users: DataFrame, abstracts: DataFrame, yes_window: DateWindow, abstract_window: DateWindow
 ) -> DataFrame:

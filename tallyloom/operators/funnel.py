@@ -15,12 +15,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions import age_as_of, blank_to_null, ci_key, conversion_pct, mean_ticket, pop_stddev
-from tallyloom.functions.measures import MONEY, TOTAL
+from tallyloom.functions import age_as_of, blank_to_null, ci_key, mean_ticket, pop_stddev
+from tallyloom.functions.measures import MONEY, SQUARES, TOTAL
 from tallyloom.params import DateWindow, Payment
 
 PAIR = ["user_id", "event_id"]
-_SQUARES = "decimal(38,4)"
 
 
 def window_filter(df: DataFrame, column: str, window: DateWindow) -> DataFrame:
@@ -56,13 +55,13 @@ def paid_in_window(registrations: DataFrame, window: DateWindow, payment: Paymen
 
 def payment_sums(registrations: DataFrame, keys: list[str]) -> DataFrame:
     """Additive ticket statistics per key."""
-    price = F.col("total_price").cast(MONEY)
-    return registrations.groupBy(*keys).agg(
+    priced = registrations.select(*keys, F.col("total_price").cast(MONEY).alias("price"))
+    return priced.groupBy(*keys).agg(
         F.count("*").alias("paid_rows"),
-        F.sum(price).alias("revenue"),
-        F.sum(price * price).alias("squares"),
-        F.min(price).alias("lowest"),
-        F.max(price).alias("highest"),
+        F.sum("price").alias("revenue"),
+        F.expr("sum(price * price) AS squares"),
+        F.min("price").alias("lowest"),
+        F.max("price").alias("highest"),
     )
 
 
@@ -74,20 +73,22 @@ def conversion_pairs(
     ``paid_rows`` is 0 and ``revenue`` 0.00 where nothing was paid.
     """
     paid = payment_sums(registrations.filter(is_paid(payment)), PAIR)
-    pairs = submitters(abstracts, window).join(paid, PAIR, "left")
-    return pairs.withColumns({
-        "paid_rows": F.coalesce("paid_rows", F.lit(0)),
-        "revenue": F.coalesce(F.col("revenue"), F.lit(0)).cast(TOTAL),
-        "squares": F.coalesce(F.col("squares"), F.lit(0)).cast(_SQUARES),
-    })
+    return submitters(abstracts, window).join(paid, PAIR, "left").selectExpr(
+        *PAIR,
+        "coalesce(paid_rows, 0) AS paid_rows",
+        f"CAST(coalesce(revenue, 0) AS {TOTAL}) AS revenue",
+        f"CAST(coalesce(squares, 0) AS {SQUARES}) AS squares",
+        "lowest",
+        "highest",
+    )
 
 
 def roll_up(rows: DataFrame, keys: list[str], *extra: Column) -> DataFrame:
     """Add up pair-level sums to ``keys``."""
     return rows.groupBy(*keys).agg(
         F.sum("paid_rows").alias("paid_rows"),
-        F.sum("revenue").cast(TOTAL).alias("revenue"),
-        F.sum("squares").cast(_SQUARES).alias("squares"),
+        F.expr(f"CAST(sum(revenue) AS {TOTAL}) AS revenue"),
+        F.expr(f"CAST(sum(squares) AS {SQUARES}) AS squares"),
         F.min("lowest").alias("lowest"),
         F.max("highest").alias("highest"),
         *extra,
@@ -109,15 +110,14 @@ def user_counts() -> list[Column]:
 
 def ticket_stats() -> list[Column]:
     """Rounded ticket statistics from summed-up columns (zero where nothing was paid)."""
-    zero = F.lit(0).cast(TOTAL)
-    rows, revenue = F.col("paid_rows"), F.col("revenue")
-    return [
-        revenue.cast(TOTAL).alias("revenue_EUR"),
-        F.coalesce(mean_ticket(revenue, rows), zero).alias("avg_ticket_EUR"),
-        F.coalesce(F.col("lowest").cast(TOTAL), zero).alias("min_ticket_EUR"),
-        F.coalesce(F.col("highest").cast(TOTAL), zero).alias("max_ticket_EUR"),
-        F.coalesce(pop_stddev(rows, revenue, F.col("squares")), zero).alias("stddev_ticket_EUR"),
-    ]
+    shown = {
+        "revenue_EUR": "revenue",
+        "avg_ticket_EUR": mean_ticket("revenue", "paid_rows"),
+        "min_ticket_EUR": "lowest",
+        "max_ticket_EUR": "highest",
+        "stddev_ticket_EUR": pop_stddev("paid_rows", "revenue", "squares"),
+    }
+    return [F.expr(f"CAST(coalesce({text}, 0) AS {TOTAL}) AS {name}") for name, text in shown.items()]
 
 
 def user_dim(users: DataFrame, countries: DataFrame, blank: str | None = "Unknown") -> DataFrame:
@@ -202,38 +202,30 @@ def event_names(events: DataFrame) -> DataFrame:
     return events.select(F.col("id").alias("event_id"), event_name(F.col("id"), F.col("name")).alias("event_name"))
 
 
-def event_lists(pairs: DataFrame, events: DataFrame) -> DataFrame:
-    """Per user: ids and names of the conferences submitted to, and of those paid for.
+def per_user_with_events(pairs: DataFrame, events: DataFrame) -> DataFrame:
+    """``per_user`` with the conferences submitted to and those paid for.
 
     Ids are in ascending order and names in the order of their smallest id, each
-    name once. A conference missing from ``events`` has an id but no name.
+    name once. A conference missing from ``events`` has an id but no name. A
+    user's list is as long as the number of conferences at most.
     """
-    named = pairs.join(event_names(events), "event_id", "left")
     entry = F.struct("event_id", "event_name")
-    per = named.groupBy("user_id").agg(
+    lists = roll_up(
+        pairs.join(event_names(events), "event_id", "left"),
+        ["user_id"],
         F.array_sort(F.collect_list(entry)).alias("submitted"),
         F.array_sort(F.collect_list(F.when(F.col("paid_rows") > 0, entry))).alias("paid"),
     )
-
-    def ids(entries: str) -> Column:
-        return _joined(F.transform(entries, lambda e: e["event_id"].cast("string")))
-
-    def names(entries: str) -> Column:
-        known = F.filter(F.transform(entries, lambda e: e["event_name"]), lambda n: n.isNotNull())
-        return _joined(F.array_distinct(known))
-
-    return per.select(
-        "user_id",
-        ids("submitted").alias("submitted_event_ids"),
-        names("submitted").alias("submitted_event_names"),
-        ids("paid").alias("paid_event_ids"),
-        names("paid").alias("paid_event_names"),
-    )
-
-
-def _joined(texts: Column) -> Column:
-    """Comma-joined array; NULL rather than empty text for no entries."""
-    return F.when(F.size(texts) > 0, F.array_join(texts, ","))
+    texts = []
+    for flag in ("submitted", "paid"):
+        ids = f"transform({flag}, e -> CAST(e.event_id AS string))"
+        names = f"array_distinct(filter(transform({flag}, e -> e.event_name), n -> n IS NOT NULL))"
+        # NULL rather than an empty text where there is nothing to list.
+        texts += [
+            f"if(size({entries}) > 0, array_join({entries}, ','), NULL) AS {flag}_event_{what}"
+            for what, entries in (("ids", ids), ("names", names))
+        ]
+    return lists.selectExpr("*", *texts).drop("submitted", "paid")
 
 
 def dropoff(pairs: DataFrame, paid: DataFrame) -> DataFrame:
@@ -241,10 +233,9 @@ def dropoff(pairs: DataFrame, paid: DataFrame) -> DataFrame:
     return pairs.join(paid.select(*PAIR), PAIR, "left_anti")
 
 
-def missed_revenue(unregistered: Column, avg_ticket: Column) -> Column:
-    zero = F.lit(0).cast(TOTAL)
-    count = F.coalesce(unregistered, F.lit(0)).cast("decimal(15,0)")
-    return F.round(count * F.coalesce(avg_ticket, zero), 2).cast(TOTAL)
+def missed_revenue(unregistered: str, avg_ticket: str) -> Column:
+    count = f"CAST(coalesce({unregistered}, 0) AS decimal(15,0))"
+    return F.expr(f"CAST(round({count} * coalesce({avg_ticket}, 0), 2) AS {TOTAL})")
 
 
 def densify(aggregates: list[DataFrame], keys: list[str], fill: dict[str, object]) -> DataFrame:
@@ -254,7 +245,3 @@ def densify(aggregates: list[DataFrame], keys: list[str], fill: dict[str, object
     """
     joined = reduce(lambda left, right: left.join(right, keys, "full_outer"), aggregates)
     return joined.fillna(fill)
-
-
-def conversion_columns(part: str = "paid_users", whole: str = "submitter_users", on_zero: int | None = None) -> Column:
-    return conversion_pct(F.col(part), F.col(whole), on_zero).alias("conversion_pct")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.sources.tables import stage
+
 # Three hex digits of a hash: at most 4,096 buckets, however many members there are.
 _BUCKET_DIGITS = 3
 
@@ -18,11 +20,12 @@ def assign_surrogate_keys(
     new ones follow after its largest. Numbers run bucket by bucket in a hash of
     the natural key and within a bucket in key order, so they depend on the data
     only, not on how it is partitioned, and no window spans the whole table: the
-    running total below is over the at most 4,096 bucket sizes.
+    running total below is over the at most 4,096 bucket sizes. The new members
+    are written once, since both the sizes and the numbering read them.
     """
     new = members if existing is None else members.join(existing.select(*natural), natural, "left_anti")
     text = F.concat_ws("\u001f", *[F.col(c).cast("string") for c in natural])
-    keyed = new.withColumn("_bucket", F.substring(F.md5(text), 1, _BUCKET_DIGITS))
+    keyed = stage(new.withColumn("_bucket", F.substring(F.md5(text), 1, _BUCKET_DIGITS)), f"new_{id_name}")
     sizes = keyed.groupBy("_bucket").agg(F.count("*").alias("_size"))
     so_far = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select("_bucket", F.coalesce(F.sum("_size").over(so_far), F.lit(0)).alias("_before"))

@@ -7,26 +7,45 @@ from pyspark.sql import functions as F
 
 
 def joined_lists(
-    rows: DataFrame, keys: list[str], lists: dict[str, Column], distinct: bool = True, separator: str = ", "
+    rows: DataFrame,
+    keys: list[str],
+    lists: dict[str, str],
+    distinct: bool = True,
+    weight: str = "1",
+    row_count: str | None = None,
+    value_counts: dict[str, str] | None = None,
+    separator: str = ", ",
 ) -> DataFrame:
     """Per key one text for each named column: its values in order, joined.
 
-    All columns go through one shuffle on key, list and value, combined before it,
-    so equal values meet as a count; only the values that make up the final text
-    come together for a key. With ``distinct=False`` a value is repeated as often
-    as it occurs. NULLs are left out; a list without values is NULL.
+    ``lists`` maps an output name to a column. All columns go through one shuffle
+    on key, list and value, combined before it, so equal values meet as a count;
+    only the values that make up the final text come together for a key. With
+    ``distinct=False`` a value is repeated as often as it occurs. NULLs are left
+    out; a list without values is NULL.
+
+    ``weight`` is how many rows an input row stands for. ``row_count`` names an
+    output with the rows of the key, and ``value_counts`` outputs with the number
+    of different values of a list; they come from the same pass.
     """
-    entries = F.array(*[
-        F.struct(F.lit(name).alias("list"), column.cast("string").alias("value")) for name, column in lists.items()
-    ])
-    long = rows.select(*keys, F.explode(entries).alias("entry")).select(*keys, "entry.list", "entry.value")
-    counted = long.filter("value IS NOT NULL").groupBy(*keys, "list", "value").agg(F.count("*").cast("int").alias("n"))
-    text = F.col("value")
-    if not distinct:
-        text = F.concat(F.repeat(F.concat("value", F.lit(separator)), F.col("n") - 1), F.col("value"))
-    per_list = counted.withColumn("text", text).groupBy(*keys, "list").agg(
-        F.expr(f"listagg(text, '{separator}') WITHIN GROUP (ORDER BY value)").alias("text")
+    entries = ", ".join(
+        f"named_struct('list', '{name}', 'value', CAST({column} AS string))" for name, column in lists.items()
     )
-    return per_list.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("list") == name, F.col("text"))).alias(name) for name in lists]
+    long = rows.selectExpr(*keys, f"CAST({weight} AS bigint) AS n", f"explode(array({entries})) AS entry")
+    counted = long.groupBy(*keys, "entry.list", "entry.value").agg(F.sum("n").alias("n"))
+    repeated = f"concat(repeat(concat(value, '{separator}'), CAST(n - 1 AS int)), value)"
+    per_list = counted.withColumn("text", F.col("value") if distinct else F.expr(repeated)).groupBy(*keys, "list").agg(
+        F.expr(f"listagg(text, '{separator}') WITHIN GROUP (ORDER BY value)").alias("text"),
+        F.sum("n").alias("rows"),
+        F.count("value").alias("values"),
     )
+    shown = [_of(name, "text").alias(name) for name in lists]
+    if row_count:
+        shown.append(_of(next(iter(lists)), "rows").alias(row_count))
+    for output, name in (value_counts or {}).items():
+        shown.append(_of(name, "values").alias(output))
+    return per_list.groupBy(*keys).agg(*shown)
+
+
+def _of(name: str, column: str) -> Column:
+    return F.max(F.when(F.col("list") == name, F.col(column)))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import conversion_pct, plain_address
 from tallyloom.functions.measures import TOTAL
 from tallyloom.operators import campaign, funnel
 from tallyloom.params import DateWindow
+from tallyloom.sources.tables import stage
 
 
 def _payments(registrations: DataFrame, window: DateWindow) -> DataFrame:
@@ -19,7 +20,7 @@ def _payments(registrations: DataFrame, window: DateWindow) -> DataFrame:
     )
 
 
-def _revenue(rows: DataFrame, *keys: Column) -> DataFrame:
+def _revenue(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(
         F.sum("payments").alias("paid_registrations"), F.sum("amount").cast(TOTAL).alias("eur_revenue")
     )
@@ -35,8 +36,8 @@ def last_touch_revenue(
     """Paid registrations and revenue by the category that led to them."""
     touches = campaign.mail_touches(mailings, address)
     credited = campaign.last_touch(_payments(registrations, window), users, touches)
-    category = F.coalesce("award_category", F.lit("UNKNOWN")).alias("award_category")
-    return _revenue(credited, category).orderBy(
+    named = credited.withColumn("award_category", F.coalesce("award_category", F.lit("UNKNOWN")))
+    return _revenue(named, "award_category").orderBy(
         F.desc("eur_revenue"), F.desc("paid_registrations"), "award_category"
     )
 
@@ -57,14 +58,16 @@ def award_country_funnel(
     """
     names = countries.select(F.col("id").alias("country_id"), F.col("name").alias("country_name"))
     located = users.join(names, "country_id", "left")
-    touches = campaign.mail_touches(mailings, address)
+    touches = stage(campaign.touch_counts(campaign.mail_touches(mailings, address)), "touches")
     sent = campaign.emails_sent(touches, campaign.user_addresses(located, "country_name"))
     credited = campaign.last_touch(_payments(registrations, window), located, touches, "country_name")
-    known = F.when(F.col("award_category").isNotNull(), F.col("country_name"))
     paid = _revenue(
-        credited,
-        F.coalesce(known, F.lit("UNKNOWN")).alias("country_name"),
-        F.coalesce("award_category", F.lit("UNKNOWN")).alias("award_category"),
+        credited.withColumns({
+            "country_name": F.expr("coalesce(if(award_category IS NULL, NULL, country_name), 'UNKNOWN')"),
+            "award_category": F.coalesce("award_category", F.lit("UNKNOWN")),
+        }),
+        "country_name",
+        "award_category",
     )
     both = sent.join(paid, ["country_name", "award_category"], "full_outer")
     return both.select(
@@ -73,7 +76,7 @@ def award_country_funnel(
         F.coalesce("emails_sent", F.lit(0)).alias("emails_sent_lifetime"),
         F.coalesce("paid_registrations", F.lit(0)).alias("paid_registrations_window"),
         F.coalesce(F.col("eur_revenue"), F.lit(0)).cast(TOTAL).alias("eur_revenue_window"),
-        conversion_pct(F.coalesce("paid_registrations", F.lit(0)), F.col("emails_sent"))
+        conversion_pct("coalesce(paid_registrations, 0)", "emails_sent")
         .alias("conversion_pct_window_over_lifetime"),
     ).orderBy(
         F.asc_nulls_first("country_name"), F.desc("eur_revenue_window"), F.desc("paid_registrations_window"),

@@ -13,12 +13,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions import price_tiers
+from tallyloom.functions import conversion_pct, price_tiers
 from tallyloom.functions.measures import TOTAL
 from tallyloom.operators import funnel
 from tallyloom.operators.ranking import count_label, euro_label, top_k_label
 from tallyloom.params import DateWindow
 from tallyloom.plans.marketing import Inputs
+from tallyloom.sources.tables import stage
 
 
 def _best(stats: DataFrame, keys: list[str], item: str, key: str, plural: str) -> list[DataFrame]:
@@ -40,7 +41,7 @@ def _item_stats(users: DataFrame, keys: list[str], item_key: str, *extra) -> Dat
 
 def _assemble(totals: DataFrame, parts: list[DataFrame], keys: list[str]) -> DataFrame:
     joined = reduce(lambda left, right: left.join(right, keys, "left"), parts, totals)
-    tiers = price_tiers(F.col("avg_ticket_EUR"), F.col("stddev_ticket_EUR"), F.col("min_ticket_EUR"))
+    tiers = price_tiers("avg_ticket_EUR", "stddev_ticket_EUR", "min_ticket_EUR")
     labels = [c for c in joined.columns if c.startswith("top_")]
     return joined.withColumns(tiers).fillna("", labels)
 
@@ -51,15 +52,16 @@ def _totals(users: DataFrame, keys: list[str], *extra) -> DataFrame:
     shown = [c for c in rolled.columns if c not in ("paid_rows", "revenue", "squares", "lowest", "highest")]
     return rolled.select(
         *shown,
-        funnel.conversion_columns(on_zero=0),
+        conversion_pct("paid_users", "submitter_users", on_zero=0).alias("conversion_pct"),
         F.col("paid_rows").alias("paid_registration_rows"),
         *funnel.ticket_stats(),
     )
 
 
 def _located(inputs: Inputs, window: DateWindow, blank: str | None) -> DataFrame:
+    """The pairs with their user's place, stored: every figure of a table is read from them."""
     pairs = funnel.with_returning(inputs.pairs(window), inputs.abstracts, window)
-    return pairs.join(inputs.user_dim(blank), "user_id")
+    return stage(pairs.join(inputs.user_dim(blank), "user_id"), "pairs")
 
 
 def _users(located: DataFrame, attributes: list[str]) -> DataFrame:
@@ -151,7 +153,7 @@ def unconverted(inputs: Inputs, window: DateWindow) -> DataFrame:
     """Country x conference: submitters who did not pay, and what that may have cost."""
     keys = ["country_name", "event_id"]
     shown = "(No affiliation)"
-    located = inputs.pairs(window).join(inputs.user_dim(shown), "user_id")
+    located = stage(inputs.pairs(window).join(inputs.user_dim(shown), "user_id"), "pairs")
     unpaid = F.col("paid_rows") == 0
     cells = funnel.roll_up(
         located, keys, F.count("*").alias("submitter_users"), F.count_if(unpaid).alias("unregistered_users")
@@ -167,9 +169,9 @@ def unconverted(inputs: Inputs, window: DateWindow) -> DataFrame:
         *keys,
         "submitter_users",
         "unregistered_users",
-        funnel.conversion_columns("unregistered_users", "submitter_users", on_zero=0).alias("dropoff_pct"),
+        conversion_pct("unregistered_users", "submitter_users", on_zero=0).alias("dropoff_pct"),
         "avg_ticket_EUR",
-        funnel.missed_revenue(F.col("unregistered_users"), F.col("avg_ticket_EUR")).alias("est_missed_revenue_EUR"),
+        funnel.missed_revenue("unregistered_users", "avg_ticket_EUR").alias("est_missed_revenue_EUR"),
         F.coalesce("top_unregistered_affiliations", F.lit("")).alias("top_unregistered_affiliations"),
     )
     return _with_conference(table, inputs.events)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions import blank_to_null, mean_ticket
+from tallyloom.functions import conversion_pct, mean_ticket
 from tallyloom.functions.measures import TOTAL
 from tallyloom.operators import funnel
 from tallyloom.params import DateWindow, Payment
+from tallyloom.sources.tables import stage
 
 
 @dataclass(frozen=True)
@@ -30,12 +31,19 @@ class Inputs:
         return funnel.user_dim(self.users, self.countries, blank)
 
 
+_PCT = "conversion_pct"
+
+
 def _money() -> list:
-    return [F.col("revenue").cast(TOTAL).alias("revenue_EUR"), _mean().alias("avg_ticket_EUR")]
+    return funnel.ticket_stats()[:2]
+
 
+def _mean(name: str):
+    return F.expr(f"CAST(coalesce({mean_ticket('revenue', 'paid_rows')}, 0) AS {TOTAL}) AS {name}")
 
-def _mean():
-    return F.coalesce(mean_ticket(F.col("revenue"), F.col("paid_rows")), F.lit(0).cast(TOTAL))
+
+def _pct(part: str = "paid_users", whole: str = "submitter_users"):
+    return conversion_pct(part, whole)
 
 
 def submission_rate(inputs: Inputs, window: DateWindow) -> DataFrame:
@@ -56,8 +64,7 @@ def submission_rate(inputs: Inputs, window: DateWindow) -> DataFrame:
         "total_users_in_window",
         "users_who_submitted_in_window",
         "total_abstracts_in_window",
-        funnel.conversion_columns("users_who_submitted_in_window", "total_users_in_window")
-        .alias("user_submission_rate_percent"),
+        _pct("users_who_submitted_in_window", "total_users_in_window").alias("user_submission_rate_percent"),
     )
 
 
@@ -75,18 +82,17 @@ def conversion(inputs: Inputs, window: DateWindow) -> DataFrame:
     return totals.select(
         "submitter_users",
         "paid_users",
-        funnel.conversion_columns().alias("submitter_to_paid_rate_pct"),
+        _pct().alias("submitter_to_paid_rate_pct"),
         "total_revenue_EUR",
     )
 
 
+_USER_MONEY = ["paid_rows AS paid_registrations", "revenue AS eur_revenue"]
+_IS_PAID = "CAST(if(paid_rows > 0, 1, 0) AS bigint) AS is_paid"
+
+
 def _user_revenue(pairs: DataFrame) -> DataFrame:
-    return funnel.per_user(pairs).select(
-        "user_id",
-        F.col("paid_rows").alias("paid_registrations"),
-        F.col("revenue").alias("eur_revenue"),
-        F.when(F.col("paid_rows") > 0, 1).otherwise(0).cast("long").alias("is_paid"),
-    )
+    return funnel.per_user(pairs).selectExpr("user_id", *_USER_MONEY, _IS_PAID)
 
 
 def paid_unpaid(inputs: Inputs, window: DateWindow) -> DataFrame:
@@ -119,15 +125,14 @@ def unpaid_invoices(inputs: Inputs, window: DateWindow) -> DataFrame:
 
 
 def paid_unpaid_events(inputs: Inputs, window: DateWindow) -> DataFrame:
-    pairs = inputs.pairs(window)
-    names = inputs.countries.select(F.col("id").alias("country_id"), F.col("name").alias("country"))
+    users = funnel.per_user_with_events(inputs.pairs(window), inputs.events).selectExpr(
+        "user_id", *_USER_MONEY, _IS_PAID,
+        "submitted_event_ids", "submitted_event_names", "paid_event_ids", "paid_event_names",
+    )
+    names = inputs.countries.selectExpr("id AS country_id", "name AS country")
     people = inputs.users.select(*funnel.person_columns(window.end), "country_id")
-    return (
-        people.join(_user_revenue(pairs), "user_id")
-        .join(funnel.event_lists(pairs, inputs.events), "user_id")
-        .join(names, "country_id", "left")
-        .drop("country_id")
-        .orderBy(F.desc("is_paid"), F.desc("eur_revenue"), "user_id")
+    return people.join(users, "user_id").join(names, "country_id", "left").drop("country_id").orderBy(
+        F.desc("is_paid"), F.desc("eur_revenue"), "user_id"
     )
 
 
@@ -135,7 +140,7 @@ def country_conversion(inputs: Inputs, window: DateWindow) -> DataFrame:
     by_user = funnel.per_user(inputs.pairs(window)).join(inputs.user_dim(), "user_id")
     countries = funnel.roll_up(by_user, ["country_name"], *funnel.user_counts())
     return countries.select(
-        "country_name", "submitter_users", "paid_users", funnel.conversion_columns(), *_money()
+        "country_name", "submitter_users", "paid_users", _pct().alias(_PCT), *_money()
     ).orderBy(F.desc("revenue_EUR"), F.desc("conversion_pct"), "country_name")
 
 
@@ -145,7 +150,7 @@ def country_event(inputs: Inputs, window: DateWindow) -> DataFrame:
     cells = funnel.roll_up(located, ["country_name", "event_id"], *funnel.user_counts())
     return cells.join(events, "event_id").select(
         "country_name", "event_id", "event_name", "submitter_users", "paid_users",
-        funnel.conversion_columns(), *_money(),
+        _pct().alias(_PCT), *_money(),
     ).orderBy(F.desc("revenue_EUR"), "country_name", "event_id")
 
 
@@ -184,39 +189,45 @@ def affiliation_event(inputs: Inputs, window: DateWindow) -> DataFrame:
     ).orderBy(F.desc("revenue_EUR"), F.desc("paid_users"), "affiliation", "country_name", "event_id")
 
 
-def affiliation_rollup2(inputs: Inputs, window: DateWindow) -> DataFrame:
-    """Affiliation x conference rows, each with the affiliation's total.
-
-    The totals cover conferences missing from the conference table too, and count
-    users, so they are not sums of the rows. Rows without an affiliation drop out.
-    """
-    located = _paid_located(inputs, window).filter("affiliation_key IS NOT NULL")
-    totals = _sites(located).select(
+def _rollup2(located: DataFrame, events: DataFrame) -> DataFrame:
+    named = located.filter("affiliation_key IS NOT NULL")
+    totals = _sites(named).select(
         *_SITE,
         F.col("paid_users").alias("paid_users_total"),
         F.col("revenue").alias("revenue_total_EUR"),
-        _mean().alias("avg_ticket_total_EUR"),
+        _mean("avg_ticket_total_EUR"),
     )
-    detail = _site_events(located, inputs.events).select(
+    detail = _site_events(named, events).select(
         *_SITE, "affiliation", "event_id", "event_name", "paid_users", *_money()
     )
-    return detail.join(totals, _SITE).drop("affiliation_key").orderBy(
+    return detail.join(totals, _SITE).drop("affiliation_key")
+
+
+def affiliation_rollup2(inputs: Inputs, window: DateWindow) -> DataFrame:
+    """Affiliation x conference rows, each with the affiliation's total.
+
+    The totals cover conferences missing from the conference table too, and count
+    users, so they are not sums of the rows. Rows without an affiliation drop out.
+    """
+    located = stage(_paid_located(inputs, window), "paid_pairs")
+    return _rollup2(located, inputs.events).orderBy(
         F.desc("revenue_total_EUR"), F.desc("paid_users_total"), "affiliation", "country_name", "event_id"
     )
 
 
 def affiliation_rollup3(inputs: Inputs, window: DateWindow) -> DataFrame:
     """As ``affiliation_rollup2``, with the country's total on each row as well."""
-    located = _paid_located(inputs, window)
+    located = stage(_paid_located(inputs, window), "paid_pairs")
     by_user = funnel.roll_up(located, ["country_name", "user_id"])
     countries = funnel.roll_up(by_user, ["country_name"], F.count("*").alias("paid_users_country")).select(
         "country_name",
         "paid_users_country",
         F.col("revenue").alias("revenue_country_EUR"),
-        _mean().alias("avg_ticket_country_EUR"),
+        _mean("avg_ticket_country_EUR"),
     )
-    return affiliation_rollup2(inputs, window).join(countries, "country_name").orderBy(
-        F.desc("revenue_country_EUR"), F.desc("revenue_total_EUR"), F.desc("revenue_EUR"), "affiliation", "event_id"
+    return _rollup2(located, inputs.events).join(countries, "country_name").orderBy(
+        F.desc("revenue_country_EUR"), F.desc("revenue_total_EUR"), F.desc("revenue_EUR"),
+        "affiliation", "country_name", "event_id",
     )
 
 
@@ -240,7 +251,7 @@ def grand_total(inputs: Inputs, window: DateWindow) -> DataFrame:
         "country_name", F.when(F.col("is_total") == 1, "ALL COUNTRIES").otherwise(F.col("country_name"))
     )
     return shown.select(
-        "country_name", "submitter_users", "paid_users", funnel.conversion_columns(), *_money()
+        "country_name", "submitter_users", "paid_users", _pct().alias(_PCT), *_money()
     ).orderBy(
         (F.col("country_name") == "ALL COUNTRIES").desc(),
         F.desc("revenue_EUR"), F.desc("conversion_pct"), "country_name",

@@ -7,7 +7,7 @@ only the dimensions it shows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import ci_key
@@ -80,14 +80,15 @@ def _counted(fact: DataFrame, *columns: str) -> DataFrame:
 
 
 def country_lists(fact: DataFrame, dims: Dimensions) -> DataFrame:
-    combos = _counted(fact, "country_id", "author_id", "session_topic")
+    people = _named(_counted(fact, "country_id", "author_id", "session_topic"), dims, "author")
     lists = joined_lists(
-        _named(combos, dims, "author"),
+        people,
         ["country_id"],
-        {"authors": F.col("full_name"), "emails": F.col("email_norm"), "research_areas": F.col("session_topic")},
+        {"authors": "full_name", "emails": "email_norm", "research_areas": "session_topic"},
+        weight="n",
+        row_count="total_awards",
     )
-    totals = combos.groupBy("country_id").agg(F.sum("n").alias("total_awards"))
-    return _named(totals.join(lists, "country_id", "left"), dims, "country").select(
+    return _named(lists, dims, "country").select(
         F.col("country_name").alias("country"), "total_awards", "authors", "emails", "research_areas"
     ).orderBy(F.desc("total_awards"), "country")
 
@@ -110,26 +111,20 @@ def author_lists(fact: DataFrame, dims: Dimensions) -> DataFrame:
 
 def country_affiliation_rank(fact: DataFrame, dims: Dimensions, country: str) -> DataFrame:
     """Affiliations of a country by number of awardees."""
-    combos = _of_country(fact, dims, country).groupBy(
-        "affiliation_id", "author_id", "session_topic", "award_type_id"
-    ).agg(
-        F.count("*").alias("n"), F.min("award_year").alias("first_year"), F.max("award_year").alias("last_year")
-    )
-    people = combos.groupBy("affiliation_id", "author_id").agg(
-        F.sum("n").alias("n"), F.min("first_year").alias("first_year"), F.max("last_year").alias("last_year")
-    )
-    totals = people.groupBy("affiliation_id").agg(
-        F.count("*").alias("awardees"),
-        F.sum("n").alias("awards"),
-        F.min("first_year").cast("long").alias("first_year"),
-        F.max("last_year").cast("long").alias("last_year"),
+    rows = _of_country(fact, dims, country)
+    years = rows.groupBy("affiliation_id").agg(
+        F.min("award_year").cast("long").alias("first_year"), F.max("award_year").cast("long").alias("last_year")
     )
+    combos = _counted(rows, "affiliation_id", "author_id", "session_topic", "award_type_id")
     lists = joined_lists(
         _named(combos, dims, "award_type"),
         ["affiliation_id"],
-        {"research_areas": F.col("session_topic"), "award_names": F.col("award_name")},
-    )
-    return _named(totals.join(lists, "affiliation_id", "left"), dims, "affiliation").drop("affiliation_id").orderBy(
+        {"research_areas": "session_topic", "award_names": "award_name", "people": "author_id"},
+        weight="n",
+        row_count="awards",
+        value_counts={"awardees": "people"},
+    ).drop("people")
+    return _named(lists.join(years, "affiliation_id"), dims, "affiliation").drop("affiliation_id").orderBy(
         F.desc("awardees"), F.desc("awards"), "affiliation_name"
     )
 
@@ -167,18 +162,22 @@ def affiliation_lists(fact: DataFrame, dims: Dimensions, country: str, distinct:
     ``total_awards`` counts different award names with ``distinct``, else rows;
     without ``distinct`` the lists repeat a value as often as it occurs.
     """
-    rows = _of_country(fact, dims, country)
-    named = _named(rows, dims, "author", "award_type")
-    lists: dict[str, Column] = {
-        "authors": F.col("full_name"),
-        "emails": F.col("email_norm"),
-        "research_areas": F.col("session_topic"),
-        "award_names": F.col("award_name"),
-    }
-    joined = joined_lists(named, ["affiliation_id"], lists, distinct)
-    awards = _counted(rows, "affiliation_id", "award_type_id")
-    total = F.count("*") if distinct else F.sum("n")
-    totals = awards.groupBy("affiliation_id").agg(total.alias("total_awards"))
-    return _named(totals.join(joined, "affiliation_id", "left"), dims, "affiliation").drop("affiliation_id").orderBy(
+    combos = _counted(
+        _of_country(fact, dims, country), "affiliation_id", "author_id", "session_topic", "award_type_id"
+    )
+    lists = joined_lists(
+        _named(combos, dims, "author", "award_type"),
+        ["affiliation_id"],
+        {
+            "authors": "full_name",
+            "emails": "email_norm",
+            "research_areas": "session_topic",
+            "award_names": "award_name",
+        },
+        distinct,
+        weight="n",
+        **({"value_counts": {"total_awards": "award_names"}} if distinct else {"row_count": "total_awards"}),
+    )
+    return _named(lists, dims, "affiliation").drop("affiliation_id").orderBy(
         F.desc("total_awards"), "affiliation_name"
     )

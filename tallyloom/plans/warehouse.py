@@ -17,6 +17,7 @@ class Warehouse:
     # The author dimension after the load by e-mail, and with the strict identities added.
     author_by_email: DataFrame
     author_by_person: DataFrame
+    people: DataFrame
     fact: DataFrame
 
     @property
@@ -44,15 +45,13 @@ def load_warehouse(spark: SparkSession, staging: DataFrame, folder: str) -> Ware
     award_type = store(w.dim_award_type(staging), "dim_award_type")
     by_email = store(w.dim_author(staging), "dim_author_by_email")
     by_person = store(w.add_people(by_email, staging), "dim_author_by_person")
+    people = store(w.build_people(staging), "people")
     author = store(
-        w.upsert_dimension(
-            w.split_email_columns(by_person), w.build_people(staging), "email_norm", "author_id"
-        ),
-        "dim_author",
+        w.upsert_dimension(w.split_email_columns(by_person), people, "email_norm", "author_id"), "dim_author"
     )
     dims = w.Dimensions(country, affiliation, award_type, author)
 
     fact_path = f"{folder}/fact_award"
     first = reload_table(w.load_fact_by_person(staging, dims.with_author(by_person, "email")), fact_path)
     append_rows(w.load_fact_incremental(staging, dims, first), fact_path)
-    return Warehouse(staging, dims, by_email, by_person, read_table(spark, fact_path))
+    return Warehouse(staging, dims, by_email, by_person, people, read_table(spark, fact_path))

@@ -27,6 +27,18 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/tallyloom/{uuid.uuid4().hex}/{name}"
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a result once so that several steps can read it.
+
+    Spark plans each use of a DataFrame afresh, with the columns that use needs,
+    so a result used in several branches would scan its inputs in each of them.
+    The stored copy also lets a lost task be redone without its inputs.
+    """
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -7,8 +7,7 @@ all rows of the table it is made from.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Mailer tables by number; the names are those the campaign reports use.
 MAILERS = {
@@ -33,131 +32,109 @@ class TestTables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def countries(self) -> DataFrame:
-        return self.raw("nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+        return self.raw("nation").selectExpr("n_nationkey AS id", "n_name AS name")
 
     def conferences(self) -> DataFrame:
         """Ids 0-9 (submissions name 0-11, so some are missing); one has no name."""
-        return self.raw("part").filter("p_partkey < 10").select(
-            F.col("p_partkey").alias("id"),
-            F.when(F.col("p_partkey") != 3, F.col("p_name")).alias("name"),
+        return self.raw("part").filter("p_partkey < 10").selectExpr(
+            "p_partkey AS id", "if(p_partkey = 3, NULL, p_name) AS name"
         )
 
     def users(self) -> DataFrame:
-        key = F.col("c_custkey")
-        login = F.replace(F.col("c_name"), F.lit("#"), F.lit("."))
-        return self.raw("customer").select(
-            key.alias("id"),
-            F.when(key % 23 != 0, F.substring("c_name", 1, 8)).alias("first_name"),
-            F.expr("substring(c_name, 10)").alias("last_name"),
-            F.when(key % 7 == 0, F.concat(F.lit("  "), F.upper(login), F.lit("@EX.ORG ")))
-            .otherwise(F.concat(F.lower(login), F.lit("@ex.org"))).alias("email"),
-            F.when(key % 11 == 0, F.lit(None)).when(key % 13 == 0, F.lit("   "))
-            .otherwise(F.concat("c_mktsegment", F.lit(" Lab "), (key % 40).cast("string")))
-            .alias("affiliation"),
-            F.when(key % 5 != 0, _day_after("1950-01-01", (key * 37) % 18000)).alias("date_of_birth"),
-            F.when(key % 17 != 0, F.col("c_nationkey")).alias("country_id"),
-            _day_after("1995-01-01", (key * 13) % 2400).alias("created_at"),
+        return self.raw("customer").selectExpr(
+            "c_custkey AS id",
+            "if(c_custkey % 23 = 0, NULL, substring(c_name, 1, 8)) AS first_name",
+            "substring(c_name, 10) AS last_name",
+            "if(c_custkey % 7 = 0, concat('  ', upper(replace(c_name, '#', '.')), '@EX.ORG '), "
+            "concat(lower(replace(c_name, '#', '.')), '@ex.org')) AS email",
+            "CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 13 = 0 THEN '   ' "
+            "ELSE concat(c_mktsegment, ' Lab ', c_custkey % 40) END AS affiliation",
+            "if(c_custkey % 5 = 0, NULL, date_add(DATE'1950-01-01', CAST(c_custkey * 37 % 18000 AS int))) "
+            "AS date_of_birth",
+            "if(c_custkey % 17 = 0, NULL, c_nationkey) AS country_id",
+            "date_add(DATE'1995-01-01', CAST(c_custkey * 13 % 2400 AS int)) AS created_at",
         )
 
     def abstracts(self) -> DataFrame:
-        day = F.col("o_orderdate").cast("date")
-        return self.raw("orders").select(
-            F.col("o_orderkey").alias("id"),
-            F.col("o_custkey").alias("user_id"),
-            (F.col("o_orderkey") % 12).alias("event_id"),
-            day.alias("statusdate"),
-            day.alias("created_at"),
+        return self.raw("orders").selectExpr(
+            "o_orderkey AS id",
+            "o_custkey AS user_id",
+            "o_orderkey % 12 AS event_id",
+            "CAST(o_orderdate AS date) AS statusdate",
+            "CAST(o_orderdate AS date) AS created_at",
         )
 
     def registrations(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        day = F.col("o_orderdate").cast("date")
-        return self.raw("orders").select(
-            key.alias("id"),
-            F.col("o_custkey").alias("user_id"),
-            F.when(key % 5 == 0, (key + 1) % 12).otherwise(key % 12).alias("event_id"),
-            F.when(key % 19 != 0, F.col("o_totalprice").cast("decimal(12,2)")).alias("total_price"),
-            F.when(key % 4 == 0, F.lit("USD")).otherwise(F.lit("EUR")).alias("currency_type"),
-            F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("status"),
-            (key % 2).cast("int").alias("sendinvoice"),
-            day.alias("created_at"),
-            F.date_add(day, (key % 30).cast("int")).alias("updated_at"),
+        return self.raw("orders").selectExpr(
+            "o_orderkey AS id",
+            "o_custkey AS user_id",
+            "if(o_orderkey % 5 = 0, (o_orderkey + 1) % 12, o_orderkey % 12) AS event_id",
+            "if(o_orderkey % 19 = 0, NULL, CAST(o_totalprice AS decimal(12,2))) AS total_price",
+            "if(o_orderkey % 4 = 0, 'USD', 'EUR') AS currency_type",
+            "if(o_orderstatus = 'F', 1, 0) AS status",
+            "CAST(o_orderkey % 2 AS int) AS sendinvoice",
+            "CAST(o_orderdate AS date) AS created_at",
+            "date_add(CAST(o_orderdate AS date), CAST(o_orderkey % 30 AS int)) AS updated_at",
         )
 
     def _clicks_with_users(self) -> DataFrame:
-        users = self.users().select(F.col("id").alias("uid"), "email", "last_name", "affiliation")
-        clicks = self.raw("events")
-        return clicks.join(users, clicks["user_id"] == users["uid"])
+        users = self.users().selectExpr("id AS user_id", "trim(email) AS address", "last_name", "affiliation")
+        return self.raw("events").join(users, "user_id")
 
     def mailings(self) -> DataFrame:
-        key = F.col("event_id")
-        return self._clicks_with_users().select(
-            key.alias("id"),
-            (key % 6).alias("mailer_no"),
-            F.concat(F.lit(" Dr <"), F.trim("email"), F.lit("> ")).alias("to_address"),
-            F.col("last_name").alias("p1"),
-            F.when(key % 4 == 0, F.lit("  ")).otherwise(F.col("affiliation")).alias("p2"),
-            F.col("props").alias("p3"),
-            F.when(key % 9 == 0, F.lit("")).otherwise(F.col("event_type")).alias("p4"),
-            F.when(key % 5 == 0, F.lit(" ")).otherwise(F.concat(F.lit("batch "), (key % 7).cast("string")))
-            .alias("p5"),
-            F.col("event_type").alias("subject"),
-            F.concat(F.lit("template_"), F.col("event_type")).alias("template_name"),
-            F.when(key % 3 != 0, F.expr("ts - INTERVAL 9000 DAY")).alias("date_sent"),
-            F.expr("ts - INTERVAL 9001 DAY").alias("date_added"),
+        return self._clicks_with_users().selectExpr(
+            "event_id AS id",
+            "event_id % 6 AS mailer_no",
+            "concat(' Dr <', address, '> ') AS to_address",
+            "last_name AS p1",
+            "if(event_id % 4 = 0, '  ', affiliation) AS p2",
+            "props AS p3",
+            "if(event_id % 9 = 0, '', event_type) AS p4",
+            "if(event_id % 5 = 0, ' ', concat('batch ', event_id % 7)) AS p5",
+            "event_type AS subject",
+            "concat('template_', event_type) AS template_name",
+            "if(event_id % 3 = 0, NULL, ts - INTERVAL 9000 DAY) AS date_sent",
+            "ts - INTERVAL 9001 DAY AS date_added",
         )
 
     def mailers(self, *names: str) -> dict[str, DataFrame]:
         """Some of the mailer tables, by name."""
         every = self.mailings()
-        return {name: every.filter(F.col("mailer_no") == MAILERS[name]).drop("mailer_no") for name in names}
+        return {name: every.filter(f"mailer_no = {MAILERS[name]}").drop("mailer_no") for name in names}
 
     def yes_no_form(self) -> DataFrame:
-        key, kind = F.col("event_id"), F.col("event_type")
-        return self._clicks_with_users().select(
-            key.alias("id"),
-            F.when(key % 8 == 0, F.lit("no-address"))
-            .otherwise(F.concat(F.lit("Dr "), F.col("last_name"), F.lit(" <"), F.trim("email"), F.lit(">")))
-            .alias("email"),
-            F.when(kind == "signup", " YES ").when(kind == "click", "yes").when(kind == "error", "No")
-            .otherwise("maybe").alias("response"),
-            F.when(key % 6 == 0, F.lit("  ")).otherwise(F.col("last_name")).alias("full_name"),
-            F.expr("ts - INTERVAL 9000 DAY").alias("created_at"),
+        return self._clicks_with_users().selectExpr(
+            "event_id AS id",
+            "if(event_id % 8 = 0, 'no-address', concat('Dr ', last_name, ' <', address, '>')) AS email",
+            "CASE event_type WHEN 'signup' THEN ' YES ' WHEN 'click' THEN 'yes' WHEN 'error' THEN 'No' "
+            "ELSE 'maybe' END AS response",
+            "if(event_id % 6 = 0, '  ', last_name) AS full_name",
+            "ts - INTERVAL 9000 DAY AS created_at",
         )
 
     def staging(self) -> DataFrame:
         """Award staging rows: padded names, odd cases, missing and unusable e-mails."""
-        orders, customer, nation = self.raw("orders"), self.raw("customer"), self.raw("nation")
-        users = self.users().select(F.col("id").alias("uid"), F.col("email").alias("user_email"), "affiliation")
-        rows = (
-            orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
-            .join(nation, customer["c_nationkey"] == nation["n_nationkey"])
-            .join(users, customer["c_custkey"] == users["uid"])
+        users = self.users().selectExpr("id AS c_custkey", "email AS user_email", "affiliation")
+        people = self.raw("customer").join(users, "c_custkey").withColumnRenamed("c_nationkey", "n_nationkey")
+        rows = self.raw("orders").withColumnRenamed("o_custkey", "c_custkey").join(people, "c_custkey").join(
+            self.raw("nation"), "n_nationkey"
         )
-        order, person = F.col("o_orderkey"), F.col("c_custkey")
-        return rows.select(
-            order.alias("id"),
-            (order % 1000).cast("int").alias("s_no"),
-            F.concat(F.lit("A"), (order % 9).cast("string"), F.lit(" AMC")).alias("assembly_number"),
-            F.when(order % 3 != 0, F.year("o_orderdate")).alias("award_year"),
-            F.when(person % 2 == 0, "Prof.").otherwise("Dr.").alias("title"),
-            F.col("c_name").alias("name"),
-            F.when(person % 5 == 0, F.lit(None)).when(person % 2 == 0, "F").otherwise("M").alias("gender"),
-            F.col("affiliation"),
-            F.when(person % 4 == 0, F.concat(F.lower("n_name"), F.lit("  "))).otherwise(F.col("n_name"))
-            .alias("country"),
-            F.when((order % 31 == 0) | (person % 6 == 0), F.lit(None)).when(person % 10 == 1, F.lit("n/a"))
-            .otherwise(F.col("user_email")).alias("email"),
-            F.when(F.col("o_orderstatus") == "P", F.lit(" ")).otherwise(F.concat(F.col("o_orderstatus"), F.lit(" talk")))
-            .alias("presentation_type"),
-            F.when(order % 29 != 0, F.concat(F.lit(" "), F.col("o_orderpriority"), F.lit(" ")))
-            .alias("award_certificate_type"),
-            F.concat(F.lit("C"), order.cast("string")).alias("certificate_number"),
-            F.concat(F.lit(" Session "), (order % 4).cast("string")).alias("session"),
-            F.when(order % 6 == 0, F.lit("")).otherwise(F.col("c_mktsegment")).alias("session_topic"),
-            F.concat(F.lit("On "), F.col("c_mktsegment")).alias("paper_title"),
+        return rows.selectExpr(
+            "o_orderkey AS id",
+            "CAST(o_orderkey % 1000 AS int) AS s_no",
+            "concat('A', o_orderkey % 9, ' AMC') AS assembly_number",
+            "if(o_orderkey % 3 = 0, NULL, year(o_orderdate)) AS award_year",
+            "if(c_custkey % 2 = 0, 'Prof.', 'Dr.') AS title",
+            "c_name AS name",
+            "CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender",
+            "affiliation",
+            "if(c_custkey % 4 = 0, concat(lower(n_name), '  '), n_name) AS country",
+            "CASE WHEN o_orderkey % 31 = 0 OR c_custkey % 6 = 0 THEN NULL WHEN c_custkey % 10 = 1 THEN 'n/a' "
+            "ELSE user_email END AS email",
+            "if(o_orderstatus = 'P', ' ', concat(o_orderstatus, ' talk')) AS presentation_type",
+            "if(o_orderkey % 29 = 0, NULL, concat(' ', o_orderpriority, ' ')) AS award_certificate_type",
+            "concat('C', o_orderkey) AS certificate_number",
+            "concat(' Session ', o_orderkey % 4) AS session",
+            "if(o_orderkey % 6 = 0, '', c_mktsegment) AS session_topic",
+            "concat('On ', c_mktsegment) AS paper_title",
         )
-
-
-def _day_after(start: str, days: Column) -> Column:
-    return F.date_add(F.lit(start).cast("date"), days.cast("int"))
