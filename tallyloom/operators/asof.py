@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.sources.tables import stage
+
 
 def latest_before(
     rows: DataFrame, touches: DataFrame, key: str, row_ts: str, touch_ts: str, value: str, time_slice: str = "day"
@@ -19,7 +21,7 @@ def latest_before(
     task however many rows it has: each key's time line is cut into slices. A
     window runs within each slice; what a slice inherits comes from a second
     window over one row per key and slice, whose number is limited by the calendar.
-    Both read one shuffle of the time line.
+    The time line is written once for the two.
     """
     payload = [c for c in rows.columns if c != key]
     when = f"CAST({row_ts} AS timestamp_ntz)"
@@ -34,7 +36,7 @@ def latest_before(
     touched = seen.groupBy("_key", "_slice", "_ts").agg(F.max("v").alias("v")).selectExpr(
         "_key", "_ts", "_slice", "0 AS _is_row", "named_struct('ts', _ts, 'v', v) AS _touch"
     )
-    line = asked.unionByName(touched, allowMissingColumns=True).repartition("_key", "_slice")
+    line = stage(asked.unionByName(touched, allowMissingColumns=True), "time_line")
 
     within = Window.partitionBy("_key", "_slice").orderBy("_ts", "_is_row").rowsBetween(
         Window.unboundedPreceding, Window.currentRow

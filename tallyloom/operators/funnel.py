@@ -54,7 +54,7 @@ def paid_in_window(registrations: DataFrame, window: DateWindow, payment: Paymen
 
 
 def payment_sums(registrations: DataFrame, keys: list[str]) -> DataFrame:
-    """Additive ticket statistics per key."""
+    """Additive ticket statistics per key, of registrations that have a price."""
     priced = registrations.select(*keys, F.col("total_price").cast(MONEY).alias("price"))
     return priced.groupBy(*keys).agg(
         F.count("*").alias("paid_rows"),

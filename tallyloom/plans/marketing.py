@@ -161,19 +161,23 @@ def _paid_located(inputs: Inputs, window: DateWindow) -> DataFrame:
 
 
 _SITE = ["affiliation_key", "country_name"]
-_SHOWN = F.min("affiliation").alias("affiliation")
+
+
+def _shown():
+    """The affiliation as shown: the smallest spelling of the group."""
+    return F.min("affiliation").alias("affiliation")
 
 
 def _sites(located: DataFrame) -> DataFrame:
     """Paid totals per affiliation and country."""
-    by_user = funnel.roll_up(located, [*_SITE, "user_id"], _SHOWN)
-    return funnel.roll_up(by_user, _SITE, _SHOWN, F.count("*").alias("paid_users"))
+    by_user = funnel.roll_up(located, [*_SITE, "user_id"], _shown())
+    return funnel.roll_up(by_user, _SITE, _shown(), F.count("*").alias("paid_users"))
 
 
 def _site_events(located: DataFrame, events: DataFrame) -> DataFrame:
     """Paid totals per affiliation, country and known conference."""
     known = events.select(F.col("id").alias("event_id"), F.col("name").alias("event_name"))
-    cells = funnel.roll_up(located, [*_SITE, "event_id"], _SHOWN, F.count("*").alias("paid_users"))
+    cells = funnel.roll_up(located, [*_SITE, "event_id"], _shown(), F.count("*").alias("paid_users"))
     return cells.join(known, "event_id")
 
 

@@ -220,7 +220,7 @@ def _campaigns() -> dict[str, Callable[[TestTables], DataFrame]]:
     def reminder_load(t: TestTables) -> DataFrame:
         path = work_folder(t.spark, "yes_no_reminder")
         rows = follow_up(t, ALL_MAILERS, EXTENDED_FIELDS)
-        create_table(rows.limit(0), path, "ignore")
+        create_table(t.spark.createDataFrame([], rows.schema), path, "ignore")
         return append_rows(rows, path)
 
     queries = {

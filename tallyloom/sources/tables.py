@@ -60,18 +60,18 @@ def reload_table(df: DataFrame, path: str) -> DataFrame:
     return create_table(df, path, "overwrite")
 
 
-def only_new(df: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key (the smallest), without the keys the target already holds.
-
-    An aggregate, not a window, picks the row: it combines before the shuffle.
-    """
+def first_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The smallest row of each key. An aggregate, so it combines before the shuffle."""
     others = [c for c in df.columns if c not in keys]
-    if others:
-        first = df.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_row"))
-        first = first.select(*keys, *[F.col("_row")[c].alias(c) for c in others])
-    else:
-        first = df.distinct()
-    return first.select(*df.columns).join(target.select(*keys), keys, "left_anti")
+    if not others:
+        return df.distinct()
+    first = df.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_row"))
+    return first.select(*keys, "_row.*").select(*df.columns)
+
+
+def only_new(df: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key, without the keys the target already holds."""
+    return first_per_key(df, keys).join(target.select(*keys), keys, "left_anti")
 
 
 def insert_ignore(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
