@@ -35,8 +35,10 @@ _ACCENTED, _BASE = _accent_rule()
 
 
 def ci_key(text: Column) -> Column:
-    """Case- and accent-insensitive comparison key."""
-    return F.translate(F.lower(text), _ACCENTED, _BASE)
+    """Case- and accent-insensitive comparison key. Plain ASCII text skips the accents."""
+    lower = F.lower(text)
+    is_ascii = F.octet_length(lower) == F.char_length(lower)
+    return F.when(is_ascii, lower).otherwise(F.translate(lower, _ACCENTED, _BASE))
 
 
 def clean_trim(text: Column) -> Column:
