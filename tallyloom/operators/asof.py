@@ -9,42 +9,55 @@ from tallyloom.sources.tables import stage
 
 
 def latest_before(
-    rows: DataFrame, touches: DataFrame, key: str, row_ts: str, touch_ts: str, value: str, time_slice: str = "day"
+    rows: DataFrame, touches: DataFrame, key: str, row_ts: str, touch_ts: str, value: str, collapse: bool = True
 ) -> DataFrame:
     """``rows`` with the ``value`` of the last touch of the same key at or before ``row_ts``.
 
     Every row is kept; without an earlier touch the value is NULL. Of touches at
-    the same instant the greatest value wins. Callers add up rows that agree in
-    key and time beforehand, as touches are here.
+    the same instant the greatest value wins.
 
-    No row is paired with more than one touch, and no key is worked off in one
-    task however many rows it has: each key's time line is cut into slices. A
-    window runs within each slice; what a slice inherits comes from a second
-    window over one row per key and slice, whose number is limited by the calendar.
-    The time line is written once for the two.
+    Rows are not paired with touches. The value is found once per key and instant
+    and joined back to the rows; ``collapse=False`` skips that for rows that are
+    already about one per key and instant.
+    """
+    if not collapse:
+        return _along_time_line(rows, touches, key, row_ts, touch_ts, value)
+    at = F.col(row_ts).cast("timestamp_ntz").alias("_at")
+    instants = rows.filter(F.col(key).isNotNull()).select(key, at).distinct()
+    found = _along_time_line(instants, touches, key, "_at", touch_ts, value)
+    return rows.withColumn("_at", at).join(found, [key, "_at"], "left").drop("_at")
+
+
+def _along_time_line(
+    rows: DataFrame, touches: DataFrame, key: str, row_ts: str, touch_ts: str, value: str
+) -> DataFrame:
+    """Rows and touches in one line, ordered by key and time and cut into even slices.
+
+    The cuts fall where the data is, also within a key, so a key with very many
+    rows spreads over many slices. A window runs within each slice and key; what a
+    slice inherits comes from a second window over one row per key and slice. The
+    line is written once, which fixes the slices for both.
     """
     payload = [c for c in rows.columns if c != key]
-    when = f"CAST({row_ts} AS timestamp_ntz)"
     asked = rows.selectExpr(
-        f"{key} AS _key", f"{when} AS _ts", f"date_trunc('{time_slice}', {when}) AS _slice", "1 AS _is_row",
-        f"struct({', '.join(payload)}) AS _row",
+        f"{key} AS _key", f"CAST({row_ts} AS timestamp_ntz) AS _ts", "1 AS _is_row", f"struct({', '.join(payload)}) AS _row"
     )
-    seen = touches.selectExpr(f"{key} AS _key", f"CAST({touch_ts} AS timestamp_ntz) AS _ts", f"{value} AS v").filter(
-        "_key IS NOT NULL AND _ts IS NOT NULL"
-    ).selectExpr("*", f"date_trunc('{time_slice}', _ts) AS _slice")
-    # 0 before 1: a touch at the very instant counts as earlier.
-    touched = seen.groupBy("_key", "_slice", "_ts").agg(F.max("v").alias("v")).selectExpr(
-        "_key", "_ts", "_slice", "0 AS _is_row", "named_struct('ts', _ts, 'v', v) AS _touch"
+    seen = touches.selectExpr(f"{key} AS _key", f"CAST({touch_ts} AS timestamp_ntz) AS _ts", f"{value} AS v")
+    touched = seen.filter("_key IS NOT NULL AND _ts IS NOT NULL").groupBy("_key", "_ts").agg(F.max("v").alias("v"))
+    # 0 before 1: a touch at the very instant counts as earlier. Equal key and time fall in the same slice.
+    line = asked.unionByName(
+        touched.selectExpr("_key", "_ts", "0 AS _is_row", "named_struct('ts', _ts, 'v', v) AS _touch"),
+        allowMissingColumns=True,
     )
-    line = stage(asked.unionByName(touched, allowMissingColumns=True), "time_line")
+    line = stage(line.repartitionByRange("_key", "_ts").withColumn("_slice", F.spark_partition_id()), "time_line")
 
     within = Window.partitionBy("_key", "_slice").orderBy("_ts", "_is_row").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     in_slice = line.withColumn("_touch", F.last("_touch", ignorenulls=True).over(within)).filter("_is_row = 1")
-    last_of_slice = line.groupBy("_key", "_slice").agg(F.max("_touch").alias("_last"))
+    last_of_slice = line.filter("_key IS NOT NULL").groupBy("_key", "_slice").agg(F.max("_touch").alias("_last"))
     earlier = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    inherited = last_of_slice.filter("_key IS NOT NULL").select(
+    inherited = last_of_slice.select(
         "_key", "_slice", F.last("_last", ignorenulls=True).over(earlier).alias("_inherited")
     )
     return in_slice.join(inherited, ["_key", "_slice"], "left").selectExpr(

@@ -48,7 +48,7 @@ def last_touch(payments: DataFrame, users: DataFrame, touches: DataFrame, *user_
     summed = addressed.groupBy("email_norm", *user_columns, "paid_at").agg(
         F.sum("payments").alias("payments"), F.sum("amount").alias("amount")
     )
-    return latest_before(summed, touches, "email_norm", "paid_at", "sent_at", "award_category")
+    return latest_before(summed, touches, "email_norm", "paid_at", "sent_at", "award_category", collapse=False)
 
 
 def emails_sent(counts: DataFrame, users: DataFrame) -> DataFrame:

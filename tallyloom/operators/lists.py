@@ -6,6 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def list_values(rows: DataFrame, keys: list[str], lists: dict[str, str], weight: str = "1") -> DataFrame:
+    """Per key, list and value the number of rows (``n``): the lists one value per row.
+
+    The form to use where a key has more values than fit in one text cell.
+    """
+    entries = ", ".join(
+        f"named_struct('list', '{name}', 'value', CAST({column} AS string))" for name, column in lists.items()
+    )
+    long = rows.selectExpr(*keys, f"CAST({weight} AS bigint) AS n", f"explode(array({entries})) AS entry")
+    return long.groupBy(*keys, "entry.list", "entry.value").agg(F.sum("n").alias("n"))
+
+
 def joined_lists(
     rows: DataFrame,
     keys: list[str],
@@ -28,11 +40,7 @@ def joined_lists(
     output with the rows of the key, and ``value_counts`` outputs with the number
     of different values of a list; they come from the same pass.
     """
-    entries = ", ".join(
-        f"named_struct('list', '{name}', 'value', CAST({column} AS string))" for name, column in lists.items()
-    )
-    long = rows.selectExpr(*keys, f"CAST({weight} AS bigint) AS n", f"explode(array({entries})) AS entry")
-    counted = long.groupBy(*keys, "entry.list", "entry.value").agg(F.sum("n").alias("n"))
+    counted = list_values(rows, keys, lists, weight)
     repeated = f"concat(repeat(concat(value, '{separator}'), CAST(n - 1 AS int)), value)"
     per_list = counted.withColumn("text", F.col("value") if distinct else F.expr(repeated)).groupBy(*keys, "list").agg(
         F.expr(f"listagg(text, '{separator}') WITHIN GROUP (ORDER BY value)").alias("text"),

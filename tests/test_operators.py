@@ -9,7 +9,7 @@ from tallyloom.operators import campaign, funnel, quality
 from tallyloom.operators import warehouse as w
 from tallyloom.operators.asof import latest_before, latest_before_by_pairs
 from tallyloom.operators.keys import assign_surrogate_keys
-from tallyloom.operators.lists import joined_lists
+from tallyloom.operators.lists import joined_lists, list_values
 from tallyloom.operators.ranking import count_label, top_k_label
 from tallyloom.params import DateWindow
 from tallyloom.plans import campaigns, insights, marketing
@@ -70,10 +70,11 @@ def test_latest_before_agrees_with_the_pairing_form(rows, seed):
         [(rng.choice(keys), moment() if rng.random() > 0.1 else None, rng.choice("abc")) for _ in range(300)],
         "k string, sent timestamp_ntz, v string",
     )
-    for unit in ("day", "hour", "year"):
-        assert tuples(latest_before(asked, touches, "k", "at", "sent", "v", unit).select("id", "v")) == tuples(
-            latest_before_by_pairs(asked, touches, "k", "id", "at", "sent", "v").select("id", "v")
-        )
+    wanted = tuples(latest_before_by_pairs(asked, touches, "k", "id", "at", "sent", "v").select("id", "v"))
+    for collapse in (True, False):
+        found = latest_before(asked, touches, "k", "at", "sent", "v", collapse)
+        assert found.columns == ["k", "id", "at", "v"]
+        assert tuples(found.select("id", "v")) == wanted
 
 
 def test_latest_before_ties_and_order(rows):
@@ -91,6 +92,9 @@ def test_joined_lists(rows):
     data = rows([(1, "b", 1), (1, "a", 2), (1, None, 5), (2, None, 1)], "k int, v string, n int")
     distinct = joined_lists(data, ["k"], {"vs": "v"}, weight="n", row_count="rows", value_counts={"values": "vs"})
     assert tuples(distinct) == [(1, "a, b", 8, 2), (2, None, 1, 0)]
+    assert tuples(list_values(data, ["k"], {"vs": "v"}, "n")) == [
+        (1, "vs", "a", 2), (1, "vs", "b", 1), (1, "vs", None, 5), (2, "vs", None, 1),
+    ]
     repeated = joined_lists(data, ["k"], {"vs": "v"}, distinct=False, weight="n", separator="|")
     assert tuples(repeated) == [(1, "a|a|b"), (2, None)]
 

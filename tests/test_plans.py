@@ -6,9 +6,8 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators import funnel, quality
+from tallyloom.operators import asof, funnel, quality
 from tallyloom.operators import warehouse as w
-from tallyloom.operators.asof import latest_before
 from tallyloom.operators.ranking import top_k
 from tallyloom.params import DateWindow
 from tallyloom.plans import insights, marketing, registry
@@ -146,18 +145,21 @@ def test_conversion_with_a_hot_user_and_conference(spark):
     assert len(hot) == 1 and hot[0].paid_rows >= n // 3 and total == n
 
 
-def test_last_touch_of_a_hot_key_runs_slice_by_slice(spark):
+def test_time_line_of_a_hot_key_spreads_over_slices(spark, monkeypatch):
     n = 30_000
     base = spark.range(n).selectExpr(
         "id", "if(id % 3 = 0, 'hot', concat('k', id % 700)) AS k",
         "TIMESTAMP_NTZ'2025-01-01 00:00:00' + make_dt_interval(0, 0, CAST(id % 40000 AS int)) AS at",
     )
     touches = base.selectExpr("k", "at AS sent", "concat('v', id) AS v")
-    with settings(spark, **NO_BROADCAST):
-        found = latest_before(base, touches, "k", "at", "sent", "v")
-        assert "hashpartitioning(_key, _slice, " in final_plan(found)
+    lines = []
+    monkeypatch.setattr(asof, "stage", lambda df, name: lines.append(tables.stage(df, name)) or lines[-1])
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false", **NO_BROADCAST):
+        found = asof.latest_before(base, touches, "k", "at", "sent", "v")
         # Each row's own touch is the latest at its instant.
         assert found.filter("v = concat('v', id)").count() == n
+    slices = lines[0].filter("_key = 'hot'").groupBy("_slice").count().collect()
+    assert len(slices) >= 3 and max(r["count"] for r in slices) < n / 4
 
 
 def test_marketing_totals_survive_many_partitions(spark):
