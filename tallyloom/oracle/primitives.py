@@ -43,7 +43,8 @@ def primitives() -> dict[str, str]:
 WHERE trim(affiliation, ' ') <> ''""",
     }
     queries = {
-        "io01_scan": "SELECT CAST(id AS BIGINT) AS id, name FROM countries",
+        "io01_scan": f"""SELECT id, first_name, last_name, email, affiliation, {day('date_of_birth')} AS date_of_birth,
+  CAST(country_id AS BIGINT) AS country_id, {day('created_at')} AS created_at FROM users""",
         "io02_union_sources": """SELECT CASE mailer_no WHEN 0 THEN 'emails2' WHEN 1 THEN 'emails2_' WHEN 2 THEN 'emails3'
   WHEN 3 THEN 'reminders' WHEN 4 THEN 'campaign_aml' ELSE 'campaign_amf' END AS source,
   count(*) AS mailings, max(id) AS last_id FROM mailers GROUP BY 1""",
@@ -58,15 +59,15 @@ WHERE created_at >= DATE '1999-07-01' GROUP BY 1""",
 FROM member_rows GROUP BY 1""",
         "io07_truncate_reload": f"""SELECT DISTINCT user_id, event_id FROM abstract_submissions
 WHERE statusdate >= DATE '{_YEAR_START}' AND statusdate < DATE '{_YEAR_END}'""",
-        "io08_create_if_not_exists": "SELECT CAST(id AS BIGINT) AS id, name FROM countries",
+        "io08_create_if_not_exists": "SELECT id, email FROM users",
         "io09_delete_where": """SELECT id, CAST(country_id AS BIGINT) AS country_id FROM users
 WHERE country_id <= 12 OR country_id IS NULL""",
         "io12_update_join": """SELECT u.id AS user_id, coalesce(l.p2, u.affiliation) AS affiliation FROM users u LEFT JOIN (
   SELECT """ + address("to_address") + """ AS addr, nullif(trim(p2, ' '), '') AS p2 FROM mailers WHERE mailer_no IN (0, 1)
   QUALIFY row_number() OVER (PARTITION BY addr ORDER BY coalesce(date_sent, date_added) DESC NULLS LAST,
     mailer_no DESC, id DESC) = 1) l ON l.addr = lower(trim(u.email, ' '))""",
-        "io14_column_defaults": """SELECT CAST(id AS BIGINT) AS id, name, '2000-09-30 12:00:00.000000' AS created_at,
-  CAST(0 AS BIGINT) AS email_is_pseudo FROM countries""",
+        "io14_column_defaults": """SELECT id, email, '2000-09-30 12:00:00.000000' AS created_at,
+  CAST(0 AS BIGINT) AS email_is_pseudo FROM users""",
         "p01_projection": f"""SELECT s_suppkey AS id, s_name AS name, CASE WHEN s_acctbal < 0 THEN 'owes'
   WHEN s_acctbal < 1000 THEN 'low' ELSE 'fine' END AS state, 'PENDING' AS code, '{_START}' AS start_date FROM supplier""",
         "p03_half_open_window": f"""SELECT id, user_id, event_id, {day('statusdate')} AS statusdate,
@@ -128,8 +129,8 @@ FROM registrations GROUP BY 1""",
   max(CASE WHEN status = 0 THEN user_id END) AS last_unpaid_user FROM registrations GROUP BY 1""",
         "g15_distinct_list": """SELECT event_id, string_agg(DISTINCT currency_type, ', ' ORDER BY currency_type) AS currencies,
   count(*) AS "rows" FROM registrations GROUP BY 1""",
-        "g16_list_with_repeats": """SELECT id % 2 AS side, string_agg(name, ', ' ORDER BY name) AS names
-FROM conferences GROUP BY 1""",
+        "g16_list_with_repeats": """SELECT user_id, string_agg(currency_type, ', ' ORDER BY currency_type) AS currencies
+FROM registrations GROUP BY 1""",
         "g19_group_by_expression": """SELECT year(statusdate) AS year, event_id % 3 AS series, count(*) AS "rows"
 FROM abstract_submissions GROUP BY ALL""",
         "g26_latest_date_per_key": f"""SELECT {address('email')} AS email_norm, {instant('max(created_at)')} AS yes_created_at

@@ -102,8 +102,8 @@ def truncate_and_reload(t: TestTables) -> DataFrame:
 def create_if_not_exists(t: TestTables) -> DataFrame:
     """The second create leaves the table as it is."""
     path = tables.work_folder(t.spark, "kept")
-    tables.create_table(t.countries(), path, "ignore")
-    return tables.create_table(t.countries().filter("id < 0"), path, "ignore")
+    tables.create_table(t.users().select("id", "email"), path, "ignore")
+    return tables.create_table(t.users().select("id", "email").filter("id IS NULL"), path, "ignore")
 
 
 def update_join(t: TestTables) -> DataFrame:
@@ -115,7 +115,7 @@ def update_join(t: TestTables) -> DataFrame:
 
 
 def column_defaults(t: TestTables) -> DataFrame:
-    return tables.with_load_columns(t.countries(), LOAD_TS, email_is_pseudo=0)
+    return tables.with_load_columns(t.users().select("id", "email"), LOAD_TS, email_is_pseudo=0)
 
 
 # Projections, filters, predicates
@@ -258,7 +258,7 @@ def distinct_list(t: TestTables) -> DataFrame:
 
 
 def list_with_repeats(t: TestTables) -> DataFrame:
-    return joined_lists(t.conferences().selectExpr("id % 2 AS side", "name"), ["side"], {"names": "name"}, distinct=False)
+    return joined_lists(t.registrations(), ["user_id"], {"currencies": "currency_type"}, distinct=False)
 
 
 def group_by_expression(t: TestTables) -> DataFrame:
@@ -403,7 +403,7 @@ def last_contact(t: TestTables) -> DataFrame:
 
 def primitives() -> dict[str, Callable[[TestTables], DataFrame]]:
     return {
-        "io01_scan": lambda t: t.countries(),
+        "io01_scan": lambda t: t.users(),
         "io02_union_sources": union_mailers,
         "io03_create_table_as": create_table_as,
         "io04_temp_view": temp_view,

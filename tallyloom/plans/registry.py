@@ -13,7 +13,7 @@ from tallyloom.operators import warehouse as w
 from tallyloom.params import DateWindow
 from tallyloom.plans import campaigns, insights, marketing, reports
 from tallyloom.plans.warehouse import Warehouse, load_warehouse
-from tallyloom.sources.tables import append_rows, create_table, insert_ignore, union_sources, work_folder
+from tallyloom.sources.tables import append_rows, create_table, stage, union_sources, work_folder
 from tallyloom.sources.testdata import TestTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,10 +59,15 @@ _loaded: dict[tuple[str, str], Warehouse] = {}
 
 
 def loaded(t: TestTables) -> Warehouse:
-    """The warehouse of a folder, loaded once per Spark application."""
+    """The warehouse of a folder, loaded once per Spark application.
+
+    The staging rows are derived from the test tables, so they are stored first,
+    as a staging table would be.
+    """
     key = (t.spark.sparkContext.applicationId, t.folder)
     if key not in _loaded:
-        _loaded[key] = load_warehouse(t.spark, staging(t), work_folder(t.spark, "warehouse"))
+        rows = stage(staging(t), "stg_awards")
+        _loaded[key] = load_warehouse(t.spark, rows, work_folder(t.spark, "warehouse"))
     return _loaded[key]
 
 

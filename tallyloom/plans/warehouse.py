@@ -29,23 +29,29 @@ class Warehouse:
         return self.dims.with_author(self.author_by_person, "email")
 
 
+# All the text the dimensions are made from.
+_MEMBER_TEXTS = ["name", "email", "affiliation", "country", "award_certificate_type"]
+
+
 def load_warehouse(spark: SparkSession, staging: DataFrame, folder: str) -> Warehouse:
     """Build every table below ``folder``.
 
-    Each dimension is stored before anything looks up its ids, and the next stage
-    reads the stored table: its size is known to the planner, and its keys stay
-    as they are whatever is recomputed later.
+    The dimensions depend only on which texts occur together, so the staging table
+    is read once for all of them, down to its distinct combinations, and then once
+    per fact load. Each dimension is stored before anything looks up its ids, and
+    the next stage reads the stored table: its size is known to the planner, and
+    its keys stay as they are whatever is recomputed later.
     """
     def store(df: DataFrame, name: str) -> DataFrame:
         return create_table(df, f"{folder}/{name}", "overwrite")
 
-    staging = store(staging, "stg_awards")
-    country = store(w.dim_country(staging), "dim_country")
-    affiliation = store(w.dim_affiliation(staging, country), "dim_affiliation")
-    award_type = store(w.dim_award_type(staging), "dim_award_type")
-    by_email = store(w.dim_author(staging), "dim_author_by_email")
-    by_person = store(w.add_people(by_email, staging), "dim_author_by_person")
-    people = store(w.build_people(staging), "people")
+    texts = store(staging.select(*_MEMBER_TEXTS).distinct(), "member_texts")
+    country = store(w.dim_country(texts), "dim_country")
+    affiliation = store(w.dim_affiliation(texts, country), "dim_affiliation")
+    award_type = store(w.dim_award_type(texts), "dim_award_type")
+    by_email = store(w.dim_author(texts), "dim_author_by_email")
+    by_person = store(w.add_people(by_email, texts), "dim_author_by_person")
+    people = store(w.build_people(texts), "people")
     author = store(
         w.upsert_dimension(w.split_email_columns(by_person), people, "email_norm", "author_id"), "dim_author"
     )
