@@ -3,8 +3,8 @@
 ``BENCH_SF_DIR`` names the data folder, ``BENCH_CPUS`` the local cores and
 ``BENCH_RUNS`` the timed runs per query (after one that is not timed). A run
 builds the DataFrame and works it off whole into a sink that keeps nothing.
-The warehouse behind the ``dwh_``, ``qa_`` and ``rpt_`` queries is loaded once
-and timed as ``load_warehouse``.
+The load of the warehouse behind the ``dwh_``, ``qa_`` and ``rpt_`` queries is
+timed as ``load_warehouse``, likewise after a load that is not timed.
 """
 
 from __future__ import annotations
@@ -19,7 +19,9 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 from tallyloom.plans import registry
+from tallyloom.plans.warehouse import load_warehouse
 from tallyloom.session import configure
+from tallyloom.sources.tables import work_folder
 from tallyloom.sources.testdata import TestTables
 
 HEADLINE = [
@@ -70,8 +72,9 @@ def main() -> None:
     queries = registry.queries()
     seconds: dict[str, float] = {}
     if any(name.startswith(("dwh_", "qa_", "rpt_")) for name in names):
+        stored = registry.loaded(TestTables(spark, folder))
         started = time.perf_counter()
-        registry.loaded(TestTables(spark, folder))
+        load_warehouse(spark, stored.staging, work_folder(spark, "bench"))
         seconds["load_warehouse"] = round(time.perf_counter() - started, 3)
     for name in names:
         timed(queries[name], spark, folder)

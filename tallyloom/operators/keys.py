@@ -16,28 +16,38 @@ def assign_surrogate_keys(
 ) -> DataFrame:
     """Number the members 1, 2, 3 ... without gaps, each by its natural key alone.
 
-    ``members`` is unique on ``natural``. Members in ``existing`` keep their id;
-    new ones follow after its largest. Numbers run bucket by bucket in a hash of
-    the natural key and within a bucket in key order, so they depend on the data
-    only, not on how it is partitioned, and no window spans the whole table: the
-    running total below is over the at most 4,096 bucket sizes. The new members
-    are written once, since both the sizes and the numbering read them.
+    ``members`` is unique on ``natural``. Members in ``existing`` keep their row
+    and id; new ones follow after its largest id.
+    """
+    if existing is None:
+        return _numbered(members, natural, id_name, F.lit(0))
+    fresh = number_new_members(members, natural, id_name, existing)
+    return existing.select(*fresh.columns).unionByName(fresh)
+
+
+def number_new_members(members: DataFrame, natural: list[str], id_name: str, existing: DataFrame) -> DataFrame:
+    """The members that ``existing`` lacks, numbered after its largest id."""
+    new = members.join(existing.select(*natural), natural, "left_anti")
+    largest = existing.agg(F.coalesce(F.max(id_name), F.lit(0).cast("long"))).scalar()
+    return _numbered(new, natural, id_name, largest)
+
+
+def _numbered(members: DataFrame, natural: list[str], id_name: str, after: Column) -> DataFrame:
+    """Numbers run bucket by bucket in a hash of the natural key, and in key order within a bucket.
+
+    They depend on the data only, not on how it is partitioned, and no window
+    spans the whole table: the running total below is over the at most 4,096
+    bucket sizes. The members are written once, since both the sizes and the
+    numbering read them.
     """
-    new = members if existing is None else members.join(existing.select(*natural), natural, "left_anti")
     text = F.concat_ws("\u001f", *[F.col(c).cast("string") for c in natural])
-    keyed = stage(new.withColumn("_bucket", F.substring(F.md5(text), 1, _BUCKET_DIGITS)), f"new_{id_name}")
+    bucketed = members.withColumn("_bucket", F.substring(F.md5(text), 1, _BUCKET_DIGITS))
+    keyed = stage(bucketed, f"new_{id_name}")
     sizes = keyed.groupBy("_bucket").agg(F.count("*").alias("_size"))
     so_far = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select("_bucket", F.coalesce(F.sum("_size").over(so_far), F.lit(0)).alias("_before"))
     place = F.row_number().over(Window.partitionBy("_bucket").orderBy(*natural))
-    numbered = keyed.withColumn("_place", place).join(F.broadcast(before), "_bucket")
-    number = F.col("_before") + F.col("_place")
-    if existing is not None:
-        number = number + _largest(existing, id_name)
-    columns = [c for c in members.columns if c != id_name]
-    fresh = numbered.select(number.cast("long").alias(id_name), *columns)
-    return fresh if existing is None else existing.select(id_name, *columns).unionByName(fresh)
-
-
-def _largest(existing: DataFrame, id_name: str) -> Column:
-    return existing.agg(F.coalesce(F.max(id_name), F.lit(0).cast("long"))).scalar()
+    number = F.col("_before") + F.col("_place") + after
+    return keyed.withColumn("_place", place).join(F.broadcast(before), "_bucket").select(
+        number.cast("long").alias(id_name), *members.columns
+    )

@@ -26,8 +26,8 @@ from tallyloom.functions import (
     person_key_without_context,
     plain_address,
 )
-from tallyloom.operators.keys import assign_surrogate_keys
-from tallyloom.sources.tables import delete_where, only_new
+from tallyloom.operators.keys import assign_surrogate_keys, number_new_members
+from tallyloom.sources.tables import delete_where
 
 # Meetings whose year is set by hand.
 ASSEMBLY_YEARS = {
@@ -134,8 +134,8 @@ def build_people(staging: DataFrame) -> DataFrame:
 
 def add_people(author: DataFrame, staging: DataFrame) -> DataFrame:
     """The author dimension with the strict identities it lacks."""
-    new = only_new(people_strict(staging), author, ["email"])
-    return assign_surrogate_keys(new.select("full_name", "email"), ["email"], "author_id", author)
+    people = people_strict(staging).select("full_name", "email")
+    return assign_surrogate_keys(people, ["email"], "author_id", author)
 
 
 def split_email_columns(author: DataFrame) -> DataFrame:
@@ -160,7 +160,8 @@ def upsert_dimension(dim: DataFrame, new: DataFrame, key: str, id_name: str) ->
     known = dim.join(update, key, "left").select(
         id_name, key, *[F.coalesce(f"_new_{c}", c).alias(c) for c in attributes]
     )
-    return assign_surrogate_keys(new.select(key, *attributes), [key], id_name, known).select(*dim.columns)
+    added = number_new_members(new.select(key, *attributes), [key], id_name, dim)
+    return known.unionByName(added).select(*dim.columns)
 
 
 def author_dimension(staging: DataFrame) -> DataFrame:

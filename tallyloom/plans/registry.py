@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tallyloom.functions import extract_email, plain_address
-from tallyloom.operators import campaign, funnel, quality
+from tallyloom.operators import campaign, quality
 from tallyloom.operators import warehouse as w
 from tallyloom.params import DateWindow
 from tallyloom.plans import campaigns, insights, marketing, reports
