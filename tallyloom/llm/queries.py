@@ -7,14 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import quality, secrets, simhash
-from tallyloom.llm.texts import SPACE_CLASS
+from tallyloom.llm import packing, quality, secrets, simhash, tokens
+from tallyloom.llm.texts import SPACE_CLASS, importable
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents against a budget of 4096."""
+    return tokens.budgets(_table(spark, sf_dir, "documents"), limit=4096, model="piece_bpe_32k.model")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 1024 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"), capacity=1024, tokenizer="byte_bpe_50k.json", end_id=2)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 3-word shingles, 2 bits."""
     rows = simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, max_bits=2)
@@ -71,6 +82,8 @@ FROM x LEFT JOIN s ON x.lang IS NOT DISTINCT FROM s.lang AND x.source IS NOT DIS
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_counts": op2_token_counts,
+    "op4_packing": op4_packing,
     "op6_simhash": op6_simhash,
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,

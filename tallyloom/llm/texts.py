@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Fixed value: white space that parts words (space and U+0009 to U+000D), for Java and RE2 patterns.
@@ -39,3 +40,15 @@ def let(value: Column, body) -> Column:
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns under the operator's own names, so that other columns cannot clash."""
     return df.select(*(F.col(f"`{old}`").alias(new) for new, old in columns.items()))
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on the driver's machine import this library from where the driver has it.
+
+    Workers inherit the search path of the process that began the JVM, which may be older than the driver's
+    own. On a cluster the library is shipped with the job, and this path is not there to be found.
+    """
+    here = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(":")
+    if here not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = ":".join([here, *filter(None, paths)])
