@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import packing, quality, secrets, simhash, tokens
+from tallyloom.llm import html, packing, quality, secrets, simhash, tokens, topk
 from tallyloom.llm.texts import SPACE_CLASS, importable
 
 
@@ -21,6 +21,25 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.budgets(_table(spark, sf_dir, "documents"), limit=4096, model="piece_bpe_32k.model")
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best of all other vectors for every twentieth vector."""
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+OP3_SQL = """
+WITH v AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.r <> c.r AND len(q.v) = len(c.v))
+SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 1024 tokens."""
     return packing.pack(_table(spark, sf_dir, "documents"), capacity=1024, tokenizer="byte_bpe_50k.json", end_id=2)
@@ -32,6 +51,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    rows = html.extract(_table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def _spans_text(found: str) -> str:
     return f"array_join(transform({found}, s -> concat(s.kind, ':', s.start, ':', s.stop)), ',')"
 
@@ -83,12 +108,15 @@ FROM x LEFT JOIN s ON x.lang IS NOT DISTINCT FROM s.lang AND x.source IS NOT DIS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op3_top_k": op3_top_k,
     "op4_packing": op4_packing,
     "op6_simhash": op6_simhash,
+    "op8_html": op8_html,
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
 }
 
 SQL: dict[str, str] = {
+    "op3_top_k": OP3_SQL,
     "op10_quality": OP10_SQL,
 }
