@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import html, packing, quality, secrets, simhash, tokens, topk
+from tallyloom.llm import html, packing, quality, secrets, simhash, substrings, tokens, topk
 from tallyloom.llm.texts import SPACE_CLASS, importable
 
 
@@ -16,6 +16,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of repeated 35-word windows."""
+    rows = substrings.remove_repeats(_table(spark, sf_dir, "documents"), window=35)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP1_SQL = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACE_CLASS}+'), lambda x: x <> '') AS w
+    FROM documents),
+g AS (SELECT r, i, array_to_string(w[i:i + 34], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+twin AS (SELECT r, i FROM g QUALIFY count(*) OVER (PARTITION BY g) > 1),
+gone AS (SELECT DISTINCT r, i + k AS i FROM twin, range(35) t(k)),
+word AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS kept FROM word ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents against a budget of 4096."""
     return tokens.budgets(_table(spark, sf_dir, "documents"), limit=4096, model="piece_bpe_32k.model")
@@ -107,6 +129,7 @@ FROM x LEFT JOIN s ON x.lang IS NOT DISTINCT FROM s.lang AND x.source IS NOT DIS
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substrings": op1_substrings,
     "op2_token_counts": op2_token_counts,
     "op3_top_k": op3_top_k,
     "op4_packing": op4_packing,
@@ -117,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_substrings": OP1_SQL,
     "op3_top_k": OP3_SQL,
     "op10_quality": OP10_SQL,
 }
