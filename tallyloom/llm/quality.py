@@ -119,6 +119,14 @@ def fences(sketched: DataFrame, spread: int = 4) -> DataFrame:
     return sketched.select("lang", "source", *columns)
 
 
+def _inside() -> Column:
+    """Whether every measure lies within the fences; a group without fences has none to break."""
+    inside = F.lit(True)
+    for name in SLACK:
+        inside = inside & F.col(name).between(F.col(f"low_{name}"), F.col(f"high_{name}"))
+    return F.coalesce(inside, F.lit(True))
+
+
 def judge(docs: DataFrame, k: int = 4096, spread: int = 4, **columns: str) -> DataFrame:
     """The measures of every row with ``base_failed`` and ``kept``.
 
@@ -132,10 +140,20 @@ def judge(docs: DataFrame, k: int = 4096, spread: int = 4, **columns: str) -> Da
     limits = stage(fences(sketches(measured, k), spread), "quality_fences")
     rows, group = _rates(measured).alias("r"), limits.alias("g")
     on = F.col("r.lang").eqNullSafe(F.col("g.lang")) & F.col("r.source").eqNullSafe(F.col("g.source"))
-    inside = F.lit(True)
-    for name in SLACK:
-        inside = inside & F.col(name).between(F.col(f"low_{name}"), F.col(f"high_{name}"))
     bad = base_failed()
-    return rows.join(group, on, "left").select(
-        "r.*", bad.alias("base_failed"), (~bad & F.coalesce(inside, F.lit(True))).alias("kept")
-    )
+    return rows.join(group, on, "left").select("r.*", bad.alias("base_failed"), (~bad & _inside()).alias("kept"))
+
+
+def keep(docs: DataFrame, k: int = 4096, spread: int = 4, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """``docs`` without the rows that ``judge`` does not keep, all columns as they are.
+
+    Texts are measured a second time instead of being shuffled to meet their verdicts, so ids play no part.
+    """
+    columns = {"text_col": text_col, "lang_col": lang_col, "source_col": source_col}
+    spare = docs.columns[0]
+    limits = stage(fences(sketches(measures(docs, id_col=spare, **columns), k), spread), "quality_fences")
+    limits = limits.select(*(F.col(c).alias(f"_g_{c}" if c in ("lang", "source") else c) for c in limits.columns))
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    measured = _rates(measures(docs.select(whole.alias("_row"), *(F.col(f"`{c}`").alias(n) for n, c in (("text", text_col), ("lang", lang_col), ("source", source_col)))), id_col="_row"))
+    on = F.col("lang").eqNullSafe(F.col("_g_lang")) & F.col("source").eqNullSafe(F.col("_g_source"))
+    return measured.filter(~base_failed()).join(limits, on, "left").filter(_inside()).select("doc_id.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import html, packing, quality, secrets, simhash, substrings, tokens, topk
+from tallyloom.llm import html, mixing, packing, quality, secrets, simhash, substrings, tokens, topk
 from tallyloom.llm.texts import SPACE_CLASS, importable
 
 
@@ -67,6 +67,15 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), capacity=1024, tokenizer="byte_bpe_50k.json", end_id=2)
 
 
+#: How much of each domain's expected tokens is wanted.
+MIX_WEIGHTS = {"clean": 1.05, "low": 0.5, "toxic": 0.02}
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors and rates of all documents."""
+    return mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), MIX_WEIGHTS).drop("key1", "key2")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 3-word shingles, 2 bits."""
     rows = simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, max_bits=2)
@@ -133,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_top_k": op3_top_k,
     "op4_packing": op4_packing,
+    "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
     "op8_html": op8_html,
     "op9_secrets": op9_secrets,

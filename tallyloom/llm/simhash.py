@@ -100,3 +100,135 @@ def near_duplicates(
     rooted = marked.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rooted.join(names, "root", "left").select("doc_id", "fp", "component_id")
+
+
+# --- Near copies of a given similarity: fingerprints of single words find them, shingles confirm them. ---
+
+#: Words without order vary little between near copies: most pairs of similarity 0.8 lie within two bits.
+TABLES = 3
+SKETCH = 256
+
+#: Odd numbers that derive one hash from another (fixed values without meaning).
+STIR = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
+
+
+def _bits(hashes: np.ndarray) -> int:
+    ones = np.zeros(BITS, dtype=np.int64)
+    for start in range(0, len(hashes), 1 << 14):
+        block = hashes[start:start + (1 << 14)].view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
+
+
+def _stirred(hashes: np.ndarray, factor: np.uint64) -> np.ndarray:
+    mixed = (hashes ^ (hashes >> np.uint64(31))) * factor
+    return mixed ^ (mixed >> np.uint64(29))
+
+
+def describe(text: str, words: int = 5) -> tuple[list[int], bytes]:
+    """Word fingerprints, one per table, and a sketch: the least hashes of the distinct shingles, ascending.
+
+    A sketch holds ``SKETCH`` hashes at most; where a text has no more shingles it is the whole set.
+    """
+    parts = text.encode("utf-8", "replace").lower().split()
+    digest = xxhash.xxh3_64_intdigest
+    hashes = np.fromiter(map(digest, parts), dtype=np.uint64, count=len(parts))
+    fps = [_bits(_stirred(hashes, f)) for f in STIR[:TABLES]]
+    n = len(hashes) - words + 1
+    if n < 1:
+        rolled = np.array([digest(b" ".join(parts))], dtype=np.uint64)
+    else:
+        rolled = hashes[:n].copy()
+        for i in range(1, words):
+            rolled = rolled * STIR[0] + hashes[i:i + n]
+    shingles = np.unique(_stirred(rolled, STIR[1]))[:SKETCH]
+    return fps, shingles.astype("<u8").tobytes()
+
+
+def similarity(a: bytes, b: bytes) -> float:
+    """Jaccard similarity of two sketches: exact for whole sets, else over the least hashes of the union."""
+    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+    union = np.union1d(x, y)
+    if len(x) == SKETCH or len(y) == SKETCH:
+        union = union[:SKETCH]
+    return np.isin(union, np.intersect1d(x, y, assume_unique=True), assume_unique=True).sum() / max(1, len(union))
+
+
+def _described(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """``(doc_id, content, fps, sketch)`` per row; ``content`` addresses the text, copies share it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            made = [describe(t, words) for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("content"), pa.array([f for f, _ in made], pa.list_(pa.int64())),
+                 pa.array([s for _, s in made], pa.binary())],
+                names=["doc_id", "content", "fps", "sketch"],
+            )
+
+    text = F.coalesce("text", F.lit(""))
+    source = only(docs, doc_id=id_col, text=text_col).select("doc_id", text.alias("text"), content(text).alias("content"))
+    kind = source.schema["doc_id"].dataType.simpleString()
+    return source.mapInArrow(run, f"doc_id {kind}, content string, fps array<long>, sketch binary")
+
+
+def content(text):
+    """128 bits of a text, as a string."""
+    return F.concat(F.hex(F.xxhash64(text)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), text)))
+
+
+def near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8, max_bits: int = 2
+) -> DataFrame:
+    """``(doc_id, content, group_id)`` per row: groups of texts whose shingles of ``words`` words are ``least`` similar.
+
+    Candidates come from the ball hashing above, over fingerprints of single words under several hashes; each
+    candidate pair is then verified on its shingles. Copies are one content. Contents of one fingerprint are
+    compared with the least of them, and linked fingerprints by their least contents, so pairs grow with the
+    number of texts. ``group_id`` is the least content that can be reached over verified links. Null and empty
+    texts are one content; an empty table gives an empty result; further columns are not read.
+    """
+    rows = stage(_described(docs, id_col, text_col, words), "described")
+    contents = rows.groupBy("content").agg(F.first("fps").alias("fps"))
+    flat = contents.select("content", F.posexplode("fps").alias("table", "fp"))
+    heads = stage(flat.groupBy("table", "fp").agg(F.min("content").alias("head")), "heads")
+    same = flat.join(heads, ["table", "fp"]).filter("content > head").select(F.col("content").alias("x"), F.col("head").alias("y"))
+    pairs = same
+    for table in range(TABLES):
+        of = heads.filter(F.col("table") == table)
+        linked = links(of.select("fp"), max_bits)
+        a, b = (of.select(F.col("fp").alias(c), F.col("head").alias(n)) for c, n in (("a", "x"), ("b", "y")))
+        pairs = pairs.unionAll(linked.join(a, "a").join(b, "b").select("x", "y"))
+    pairs = pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+    sketches = rows.groupBy("content").agg(F.first("sketch").alias("sketch"))
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            same = [similarity(x, y) >= least for x, y in zip(part.column("sa").to_pylist(), part.column("sb").to_pylist())]
+            yield part.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
+
+    both = (
+        pairs.join(sketches.select(F.col("content").alias("a"), F.col("sketch").alias("sa")), "a")
+        .join(sketches.select(F.col("content").alias("b"), F.col("sketch").alias("sb")), "b").select("a", "b", "sa", "sb")
+    )
+    roots = connected(both.mapInArrow(verify, "a string, b string"))
+    return (
+        rows.select("doc_id", "content").join(roots.withColumnRenamed("node", "content"), "content", "left")
+        .select("doc_id", "content", F.coalesce("root", "content").alias("group_id"))
+    )
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each group of near copies: that of the least id, then of the least content.
+
+    A row with an id goes before rows without. All columns stay as they are.
+    """
+    groups = near_copies(docs, id_col, text_col, **options)
+    order = F.struct(F.col("doc_id").isNull().alias("blank"), F.col("doc_id"), F.col("content"))
+    kept = groups.groupBy("group_id").agg(F.min(order).alias("row"))
+    name = lambda i, c: F.concat(F.coalesce(i.cast("string"), F.lit("")), F.lit("/"), c)
+    kept = kept.select(name(F.col("row.doc_id"), F.col("row.content")).alias("_name"))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    named = docs.withColumn("_name", name(F.col(f"`{id_col}`"), content(text)))
+    # Rows that agree in id and text are copies of one another too.
+    return named.join(kept, "_name", "left_semi").dropDuplicates(["_name"]).select(*docs.columns)
