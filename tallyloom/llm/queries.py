@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import html, mixing, packing, quality, secrets, simhash, substrings, tokens, topk
+from tallyloom.llm import chat, html, mixing, packing, quality, secrets, simhash, substrings, tokens, topk
 from tallyloom.llm.texts import SPACE_CLASS, importable
 
 
@@ -82,6 +82,34 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Preference pairs of all conversations: each against the answer to the next one."""
+    rows = chat.format_preferences(chat.pairs_with_next(_table(spark, sf_dir, "conversations")))
+    spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat(s["start"], F.lit(":"), s["stop"])), ",").alias(c)
+    return rows.select("pair_id", "n_common", "prompt", "chosen", "rejected", spans("chosen_mask"), spans("rejected_mask"))
+
+
+OP7_SQL = """
+WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM t),
+a AS (SELECT conv_id, max(i) AS last FROM n WHERE role = 'assistant' GROUP BY conv_id),
+c AS (SELECT n.conv_id, n.i, n.role, n.text, a.last FROM n JOIN a USING (conv_id) WHERE n.i <= a.last),
+ans AS (SELECT conv_id - 1 AS conv_id, text AS other FROM c WHERE i = last),
+r AS (SELECT c.conv_id, i, last, role, text, CASE WHEN i = last THEN coalesce(other, '') ELSE text END AS rtext FROM c LEFT JOIN ans USING (conv_id)),
+k AS (SELECT conv_id, last, CASE WHEN bool_and(text = rtext) THEN last ELSE last - 1 END AS n_common FROM r GROUP BY conv_id, last),
+p AS (SELECT conv_id, string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), '' ORDER BY i) AS prompt
+      FROM r JOIN k USING (conv_id) WHERE i <= n_common GROUP BY conv_id),
+e AS (SELECT r.conv_id, '<|assistant|>' || chr(10) || text || '<|end|>' || chr(10) AS chosen,
+             '<|assistant|>' || chr(10) || rtext || '<|end|>' || chr(10) AS rejected
+      FROM r JOIN k USING (conv_id) WHERE i > n_common)
+SELECT k.conv_id AS pair_id, CAST(n_common AS INTEGER) AS n_common, coalesce(prompt, '') AS prompt,
+       coalesce(chosen, '') AS chosen, coalesce(rejected, '') AS rejected,
+       CASE WHEN chosen IS NULL THEN '' ELSE '14:' || length(chosen) END AS chosen_mask,
+       CASE WHEN rejected IS NULL THEN '' ELSE '14:' || length(rejected) END AS rejected_mask
+FROM k LEFT JOIN p USING (conv_id) LEFT JOIN e USING (conv_id)
+"""
+
+
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
     rows = html.extract(_table(spark, sf_dir, "pages"))
@@ -144,6 +172,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
+    "op7_chat": op7_chat,
     "op8_html": op8_html,
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
@@ -152,5 +181,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op1_substrings": OP1_SQL,
     "op3_top_k": OP3_SQL,
+    "op7_chat": OP7_SQL,
     "op10_quality": OP10_SQL,
 }
