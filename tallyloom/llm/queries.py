@@ -68,7 +68,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: How much of each domain's expected tokens is wanted.
-MIX_WEIGHTS = {"clean": 1.05, "low": 0.5, "toxic": 0.02}
+MIX_WEIGHTS = {"clean": 1.5, "low": 0.5, "toxic": 0.1}
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
