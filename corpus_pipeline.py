@@ -37,10 +37,13 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn by rates that meet the wanted tokens per domain."""
+    """Documents drawn by rates that meet the wanted tokens per domain.
+
+    More clean text is wanted than there is, so that clean documents have rates of 1 and more and all stay.
+    """
     importable(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return mixing.draw(docs, mixing.mix(docs, labels, {"clean": 1.05, "low": 0.5, "toxic": 0.02}))
+    return mixing.draw(docs, mixing.mix(docs, labels, {"clean": 1.5, "low": 0.5, "toxic": 0.1}))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
