@@ -32,17 +32,18 @@ def mean_ticket(total: str, count: str) -> str:
 def pop_stddev(count: str, total: str, total_of_squares: str) -> str:
     """SQL text of the population standard deviation to two places, from sums that add up over groups.
 
-    ``n * sum(x^2) - sum(x)^2`` is exact in decimals, and taken in cents so that a
-    root halfway between two cents is met exactly. Totals beyond about 1e15 go
-    through the same formula in doubles.
+    In whole cents, with the mean ``q = s div n`` and the rest ``r = s - q * n``, the squares about ``q`` add up to
+    ``d = sum(x^2) - q * (s + r)``, and the variance is ``(d * n - r^2) / n^2``. ``d`` and ``r`` are exact and no
+    step is larger than the sum of squares, so one formula serves all sizes; it meets a root halfway between two
+    cents exactly where ``d * n`` fits a double's 53 bits.
     """
-    n, s = f"CAST({count} AS decimal(19,0))", f"try_cast({total} AS decimal(19,2))"
-    spread = f"try_subtract(try_multiply({n}, {total_of_squares}), try_multiply({s}, {s}))"
-    exact = f"CAST(try_multiply({spread}, CAST(10000 AS decimal(5,0))) AS double)"
-    wide_n, wide_s = f"CAST({count} AS double)", f"CAST({total} AS double)"
-    rough = f"greatest({wide_n} * CAST({total_of_squares} AS double) - {wide_s} * {wide_s}, 0D) * 10000D"
-    in_cents = f"round(sqrt(coalesce({exact}, {rough})) / nullif({wide_n}, 0D), 0)"
-    return f"CAST(CAST({in_cents} AS decimal(22,0)) / 100 AS {TOTAL})"
+    n, s = f"CAST({count} AS decimal(19,0))", f"CAST({total} * 100 AS decimal(25,0))"
+    q = f"CAST({s} div nullif({n}, 0) AS decimal(13,0))"
+    r = f"CAST({s} - {q} * {n} AS decimal(19,0))"
+    d = f"CAST(CAST({total_of_squares} * 10000 AS decimal(38,0)) - {q} * CAST({s} + {r} AS decimal(25,0)) AS double)"
+    wide = f"CAST({count} AS double)"
+    spread = f"greatest({d} * {wide} - CAST({r} AS double) * CAST({r} AS double), 0D)"
+    return f"CAST(CAST(round(sqrt({spread}) / nullif({wide}, 0D), 0) AS decimal(22,0)) / 100 AS {TOTAL})"
 
 
 def price_tiers(mean: str, stddev: str, lowest: str) -> dict[str, Column]:

@@ -18,17 +18,22 @@ EMAIL_PATTERN = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 
 
 def _accent_rule() -> tuple[str, str]:
-    """(from, to) for ``translate``: accented Latin letters to their base letter,
-    and combining marks to nothing. Derived from Unicode decomposition."""
-    source, target = [], []
-    for code in (*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)):
+    """(from, to) for ``translate``: in every script, letters with marks to their base letter and marks to nothing.
+
+    Derived from Unicode decomposition. Hangul syllables decompose into letters, not marks, and stay.
+    """
+    source, target, marks = [], [], []
+    # The planes in between hold no letters with marks.
+    for code in (*range(0x80, 0x30000), *range(0xE0000, 0xE0200)):
         letter = chr(code)
-        base = unicodedata.normalize("NFD", letter)[0]
-        if letter == letter.lower() and base != letter and base.isascii():
+        if unicodedata.category(letter) == "Mn":
+            marks.append(letter)
+            continue
+        base, *rest = unicodedata.normalize("NFD", letter)
+        if base != letter and all(unicodedata.category(c) == "Mn" for c in rest) and letter == letter.lower():
             source.append(letter)
             target.append(base)
-    source.extend(chr(code) for code in range(0x0300, 0x0370))
-    return "".join(source), "".join(target)
+    return "".join(source + marks), "".join(target)
 
 
 _ACCENTED, _BASE = _accent_rule()

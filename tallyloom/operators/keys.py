@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from tallyloom.sources.tables import stage
 
-# Three hex digits of a hash: at most 4,096 buckets, however many members there are.
-_BUCKET_DIGITS = 3
+# Hex digits of a hash: three make 4,096 buckets that are numbered side by side. Ids depend on it, so a dimension
+# keeps the number it began with; a larger one begins with more (each digit makes the table of sizes 16 times longer).
+BUCKET_DIGITS = 3
 
 
 def assign_surrogate_keys(
-    members: DataFrame, natural: list[str], id_name: str, existing: DataFrame | None = None
+    members: DataFrame, natural: list[str], id_name: str, existing: DataFrame | None = None, bucket_digits: int = BUCKET_DIGITS
 ) -> DataFrame:
     """Number the members 1, 2, 3 ... without gaps, each by its natural key alone.
 
@@ -20,28 +21,30 @@ def assign_surrogate_keys(
     and id; new ones follow after its largest id.
     """
     if existing is None:
-        return _numbered(members, natural, id_name, F.lit(0))
-    fresh = number_new_members(members, natural, id_name, existing)
+        return _numbered(members, natural, id_name, F.lit(0), bucket_digits)
+    fresh = number_new_members(members, natural, id_name, existing, bucket_digits)
     return existing.select(*fresh.columns).unionByName(fresh)
 
 
-def number_new_members(members: DataFrame, natural: list[str], id_name: str, existing: DataFrame) -> DataFrame:
+def number_new_members(
+    members: DataFrame, natural: list[str], id_name: str, existing: DataFrame, bucket_digits: int = BUCKET_DIGITS
+) -> DataFrame:
     """The members that ``existing`` lacks, numbered after its largest id."""
     new = members.join(existing.select(*natural), natural, "left_anti")
     largest = existing.agg(F.coalesce(F.max(id_name), F.lit(0).cast("long"))).scalar()
-    return _numbered(new, natural, id_name, largest)
+    return _numbered(new, natural, id_name, largest, bucket_digits)
 
 
-def _numbered(members: DataFrame, natural: list[str], id_name: str, after: Column) -> DataFrame:
+def _numbered(members: DataFrame, natural: list[str], id_name: str, after: Column, bucket_digits: int) -> DataFrame:
     """Numbers run bucket by bucket in a hash of the natural key, and in key order within a bucket.
 
     They depend on the data only, not on how it is partitioned, and no window
-    spans the whole table: the running total below is over the at most 4,096
-    bucket sizes. The members are written once, since both the sizes and the
+    spans the whole table: the running total below is over the bucket sizes, at
+    most 16 to the power of ``bucket_digits``. The members are written once, since both the sizes and the
     numbering read them.
     """
     text = F.concat_ws("\u001f", *[F.col(c).cast("string") for c in natural])
-    bucketed = members.withColumn("_bucket", F.substring(F.md5(text), 1, _BUCKET_DIGITS))
+    bucketed = members.withColumn("_bucket", F.substring(F.md5(text), 1, bucket_digits))
     keyed = stage(bucketed, f"new_{id_name}")
     sizes = keyed.groupBy("_bucket").agg(F.count("*").alias("_size"))
     so_far = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

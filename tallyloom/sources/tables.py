@@ -7,7 +7,6 @@ on recomputation, so the loss of an executor cannot change it.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from functools import reduce
 
@@ -18,12 +17,11 @@ from pyspark.sql import functions as F
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder in ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a test on one machine) gets a folder of its own.
+    Without that setting there is no place that all executors see, and nothing is written.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="tallyloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{root.rstrip('/')}/tallyloom/{uuid.uuid4().hex}/{name}"
 
 

@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyloom import functions as fn
@@ -90,9 +91,20 @@ def test_ticket_statistics_are_exact(spark):
     assert tuple(stats(spark, ["1.00", "2.00", "3.00", "4.00"])) == (D("2.50"), D("1.12"))
 
 
-def test_stddev_beyond_the_exact_range(spark):
-    df = spark.createDataFrame([(2, D("9" * 19 + ".00"), D("9" * 33 + ".0000"))], "n long, s decimal(22,2), q decimal(38,4)")
-    assert df.selectExpr(f"{pop_stddev('n', 's', 'q')} AS sd").first().sd is not None
+@pytest.mark.parametrize("factor", [1, 10**6, 10**9])
+def test_stddev_of_large_totals_by_the_same_formula(spark, factor):
+    # Prices 9,999,999,999.98 and .99 many times over: totals to 2e19, deviation half a cent.
+    prices = [D("9999999999.98"), D("9999999999.99")]
+    n, s, q = 2 * factor, sum(prices) * factor, sum(p * p for p in prices) * factor
+    df = spark.createDataFrame([(n, s, q)], "n long, s decimal(22,2), q decimal(38,4)")
+    assert df.selectExpr(f"{pop_stddev('n', 's', 'q')} AS sd").first().sd == D("0.01")
+    empty = spark.createDataFrame([(0, None, None)], "n long, s decimal(22,2), q decimal(38,4)")
+    assert empty.selectExpr(f"{pop_stddev('n', 's', 'q')} AS sd").first().sd is None
+
+
+def test_accents_fold_in_every_script(spark):
+    for raw, key in {"Ά": "α", "Й": "и", "Ệ": "e", "ĞÜL": "gul", "ё": "е", "한": "한", "e\u0301": "e"}.items():
+        assert one(spark, fn.ci_key(F.lit(raw))) == key
 
 
 def test_price_tiers(spark):
