@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.sources.tables import stage
-
 
 def latest_before(
-    rows: DataFrame, touches: DataFrame, key: str, row_ts: str, touch_ts: str, value: str, collapse: bool = True
+    rows: DataFrame, touches: DataFrame, key: str, row_ts: str, touch_ts: str, value: str, collapse: bool = True,
+    slice_hours: int = 24,
 ) -> DataFrame:
     """``rows`` with the ``value`` of the last touch of the same key at or before ``row_ts``.
 
@@ -18,25 +17,26 @@ def latest_before(
 
     Rows are not paired with touches. The value is found once per key and instant
     and joined back to the rows; ``collapse=False`` skips that for rows that are
-    already about one per key and instant.
+    already about one per key and instant. ``slice_hours`` is the width of a slice
+    of the time line: all of a key's rows within it meet in one task.
     """
     if not collapse:
-        return _along_time_line(rows, touches, key, row_ts, touch_ts, value)
+        return _along_time_line(rows, touches, key, row_ts, touch_ts, value, slice_hours)
     at = F.col(row_ts).cast("timestamp_ntz").alias("_at")
     instants = rows.filter(F.col(key).isNotNull()).select(key, at).distinct()
-    found = _along_time_line(instants, touches, key, "_at", touch_ts, value)
+    found = _along_time_line(instants, touches, key, "_at", touch_ts, value, slice_hours)
     return rows.withColumn("_at", at).join(found, [key, "_at"], "left").drop("_at")
 
 
 def _along_time_line(
-    rows: DataFrame, touches: DataFrame, key: str, row_ts: str, touch_ts: str, value: str
+    rows: DataFrame, touches: DataFrame, key: str, row_ts: str, touch_ts: str, value: str, slice_hours: int
 ) -> DataFrame:
-    """Rows and touches in one line, ordered by key and time and cut into even slices.
+    """Rows and touches in one line per key, cut into slices of equal time.
 
-    The cuts fall where the data is, also within a key, so a key with very many
-    rows spreads over many slices. A window runs within each slice and key; what a
-    slice inherits comes from a second window over one row per key and slice. The
-    line is written once, which fixes the slices for both.
+    A slice follows from the time alone, so it is the same in every run and one
+    shuffle by key and slice brings a slice together, also of a key with very many
+    rows. A window runs within each slice and key; what a slice inherits comes from
+    a second window over one row per key and slice.
     """
     payload = [c for c in rows.columns if c != key]
     asked = rows.selectExpr(
@@ -49,12 +49,14 @@ def _along_time_line(
         touched.selectExpr("_key", "_ts", "0 AS _is_row", "named_struct('ts', _ts, 'v', v) AS _touch"),
         allowMissingColumns=True,
     )
-    line = stage(line.repartitionByRange("_key", "_ts").withColumn("_slice", F.spark_partition_id()), "time_line")
+    hours = F.timestamp_diff("HOUR", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("_ts"))
+    line = line.withColumn("_slice", F.floor(hours / F.lit(slice_hours)))
 
     within = Window.partitionBy("_key", "_slice").orderBy("_ts", "_is_row").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     in_slice = line.withColumn("_touch", F.last("_touch", ignorenulls=True).over(within)).filter("_is_row = 1")
+    # What a slice leaves behind needs the touches and the names of the slices only.
     last_of_slice = line.filter("_key IS NOT NULL").groupBy("_key", "_slice").agg(F.max("_touch").alias("_last"))
     earlier = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     inherited = last_of_slice.select(
@@ -63,19 +65,3 @@ def _along_time_line(
     return in_slice.join(inherited, ["_key", "_slice"], "left").selectExpr(
         f"_key AS {key}", "_row.*", f"coalesce(_touch, _inherited).v AS {value}"
     )
-
-
-def latest_before_by_pairs(
-    rows: DataFrame, touches: DataFrame, key: str, row_id: str, row_ts: str, touch_ts: str, value: str
-) -> DataFrame:
-    """The same result from the plain form: pair each row with its earlier touches, keep the last.
-
-    Makes rows x touches per key, so it is only for checking ``latest_before`` on small data.
-    """
-    seen = touches.select(key, F.col(touch_ts).alias("_sent"), value)
-    at = F.col("_sent") <= F.col(row_ts)
-    paired = rows.alias("r").join(seen.alias("t"), (F.col(f"r.{key}") == F.col(f"t.{key}")) & at, "left").select(
-        "r.*", "_sent", value
-    )
-    order = Window.partitionBy(row_id).orderBy(F.desc_nulls_last("_sent"), F.desc_nulls_last(value))
-    return paired.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n", "_sent")

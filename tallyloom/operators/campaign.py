@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions import blank_to_null, extract_email, plain_address
+from tallyloom.functions import blank_to_null, ci_key, extract_email, plain_address
 from tallyloom.operators.asof import latest_before
 from tallyloom.operators.funnel import window_filter
 from tallyloom.params import DateWindow
@@ -20,9 +20,13 @@ Address = Callable[[Column], Column]
 
 
 def mail_touches(mailings: DataFrame, address: Address = plain_address) -> DataFrame:
-    """Mailings that name a category: address, category and time sent (or else queued)."""
+    """Mailings that name a category: address, category and time sent (or else queued).
+
+    ``category_key`` is what categories are compared by; ``award_category`` is one spelling of it.
+    """
     return mailings.filter("p4 IS NOT NULL AND p4 != ''").select(
         address(F.col("to_address")).alias("email_norm"),
+        ci_key(F.col("p4")).alias("category_key"),
         F.col("p4").alias("award_category"),
         F.coalesce("date_sent", "date_added").alias("sent_at"),
     )
@@ -33,8 +37,11 @@ def user_addresses(users: DataFrame, *columns: str) -> DataFrame:
 
 
 def touch_counts(touches: DataFrame) -> DataFrame:
-    """Mailings with their number per address, category and time."""
-    return touches.groupBy("email_norm", "award_category", "sent_at").agg(F.count("*").alias("mailings"))
+    """Mailings with their number per address, category and time, under the category's smallest spelling."""
+    counts = touches.groupBy("email_norm", "category_key", "award_category", "sent_at").agg(F.count("*").alias("n"))
+    return counts.groupBy("email_norm", "category_key", "sent_at").agg(
+        F.min("award_category").alias("award_category"), F.sum("n").alias("mailings")
+    )
 
 
 def last_touch(payments: DataFrame, users: DataFrame, touches: DataFrame, *user_columns: str) -> DataFrame:
@@ -48,7 +55,9 @@ def last_touch(payments: DataFrame, users: DataFrame, touches: DataFrame, *user_
     summed = addressed.groupBy("email_norm", *user_columns, "paid_at").agg(
         F.sum("payments").alias("payments"), F.sum("amount").alias("amount")
     )
-    return latest_before(summed, touches, "email_norm", "paid_at", "sent_at", "award_category", collapse=False)
+    named = touches.withColumn("category", F.struct("category_key", "award_category"))
+    found = latest_before(summed, named, "email_norm", "paid_at", "sent_at", "category", collapse=False)
+    return found.select("*", "category.category_key", "category.award_category").drop("category")
 
 
 def emails_sent(counts: DataFrame, users: DataFrame) -> DataFrame:
@@ -57,10 +66,10 @@ def emails_sent(counts: DataFrame, users: DataFrame) -> DataFrame:
     Both sides are counted per address before they meet; a mailing counts once
     for every user with the address.
     """
-    sent = counts.groupBy("email_norm", "award_category").agg(F.sum("mailings").alias("sent"))
+    sent = counts.groupBy("email_norm", "category_key", "award_category").agg(F.sum("mailings").alias("sent"))
     holders = users.groupBy("email_norm", "country_name").agg(F.count("*").alias("holders"))
-    return sent.join(holders, "email_norm").groupBy("country_name", "award_category").agg(
-        F.sum(F.col("sent") * F.col("holders")).alias("emails_sent")
+    return sent.join(holders, "email_norm").groupBy("country_name", "category_key").agg(
+        F.min("award_category").alias("award_category"), F.sum(F.col("sent") * F.col("holders")).alias("emails_sent")
     )
 
 
@@ -110,7 +119,7 @@ CONTACT_NAMES = {
 def nonresponders(
     form: DataFrame, users: DataFrame, abstracts: DataFrame, mailings: DataFrame, columns: list[str], window: DateWindow
 ) -> DataFrame:
-    """Who said yes and has no abstract in the window, with the last mailing's fields.
+    """Who said yes and has no abstract in the window, with the last mailing's fields, the newest yes first.
 
     An address held by several users comes once for each of them without an
     abstract; an address held by no user comes once.
@@ -125,7 +134,7 @@ def nonresponders(
         F.col("email_norm").alias("email"),
         *[F.col(c).alias(CONTACT_NAMES.get(c, c)) for c in columns],
         "yes_created_at",
-    )
+    ).orderBy(F.desc("yes_created_at"), "email")
 
 
 _BLOCK = 1000

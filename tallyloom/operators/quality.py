@@ -77,14 +77,15 @@ def check_key(table: DataFrame, key: str) -> DataFrame:
     )
 
 
-def check_constraints(dims: Dimensions) -> DataFrame:
-    """``check_key`` on the matching key of every dimension."""
+def check_constraints(dims: Dimensions, fact: DataFrame) -> DataFrame:
+    """``check_key`` on the matching key of every dimension and on the fact's own id."""
     placed = F.concat_ws("|", "affiliation_key", F.col("country_id").cast("string"))
     tables = {
         "dim_country": check_key(dims.country, "country_key"),
         "dim_affiliation": check_key(dims.affiliation.withColumn("placed", placed), "placed"),
         "dim_award_type": check_key(dims.award_type, "award_key"),
         "dim_author": check_key(dims.author, dims.author_key),
+        "fact_award": check_key(fact, "award_id"),
     }
     named = [report.select(F.lit(name).alias("table"), "*") for name, report in tables.items()]
     return reduce(DataFrame.unionByName, named)

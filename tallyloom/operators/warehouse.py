@@ -66,7 +66,8 @@ def build_dimension(rows: DataFrame, text: str, member: str, within: list[str] |
     """
     within = within or []
     keyed = rows.select(*within, norm_key(F.col(text)).alias(f"{member}_key"), F.trim(text).alias("shown"))
-    return keyed.filter(F.col(f"{member}_key") != "").groupBy(*within, f"{member}_key").agg(
+    # Distinct first: texts repeat, and a minimum of texts would sort every row.
+    return keyed.filter(F.col(f"{member}_key") != "").distinct().groupBy(*within, f"{member}_key").agg(
         F.min("shown").alias(f"{member}_name")
     )
 
@@ -86,7 +87,8 @@ def dim_affiliation(staging: DataFrame, country: DataFrame) -> DataFrame:
 def dim_author(staging: DataFrame) -> DataFrame:
     """Authors by e-mail as given, whether or not it is a usable address."""
     given = staging.filter(not_blank(F.col("email")))
-    members = given.groupBy(plain_address(F.col("email")).alias("email")).agg(F.min(F.trim("name")).alias("full_name"))
+    pairs = given.select(plain_address(F.col("email")).alias("email"), F.trim("name").alias("name")).distinct()
+    members = pairs.groupBy("email").agg(F.min("name").alias("full_name"))
     return assign_surrogate_keys(members.select("full_name", "email"), ["email"], "author_id")
 
 
@@ -112,7 +114,7 @@ def _person(null_as: str | None) -> Column:
 def people_strict(staging: DataFrame) -> DataFrame:
     """One row per identity; rows with a missing part and no address have none."""
     rows = staging.select(F.trim("name").alias("full_name"), _person(None).alias("email"))
-    return rows.filter("email IS NOT NULL").groupBy("email").agg(F.min("full_name").alias("full_name"))
+    return rows.filter("email IS NOT NULL").distinct().groupBy("email").agg(F.min("full_name").alias("full_name"))
 
 
 def build_people(staging: DataFrame) -> DataFrame:
@@ -124,7 +126,7 @@ def build_people(staging: DataFrame) -> DataFrame:
         F.when(real, plain_address(F.col("email"))).alias("email_raw"),
         real.alias("is_real"),
     )
-    people = rows.groupBy("email_norm").agg(
+    people = rows.distinct().groupBy("email_norm").agg(
         F.min("full_name").alias("full_name"),
         F.max("email_raw").alias("email_raw"),
         F.when(F.bool_or("is_real"), 0).otherwise(1).alias("email_is_pseudo"),
@@ -164,19 +166,6 @@ def upsert_dimension(dim: DataFrame, new: DataFrame, key: str, id_name: str) ->
     return known.unionByName(added).select(*dim.columns)
 
 
-def author_dimension(staging: DataFrame) -> DataFrame:
-    """The author dimension after all its loads."""
-    stored = split_email_columns(add_people(dim_author(staging), staging))
-    return upsert_dimension(stored, build_people(staging), "email_norm", "author_id")
-
-
-def load_dimensions(staging: DataFrame) -> Dimensions:
-    country = dim_country(staging)
-    return Dimensions(
-        country, dim_affiliation(staging, country), dim_award_type(staging), author_dimension(staging)
-    )
-
-
 def with_match_keys(staging: DataFrame, person: Column) -> DataFrame:
     """Staging rows with the keys their dimension members are matched by."""
     return staging.withColumns({
@@ -211,14 +200,19 @@ FACT_COLUMNS = [
 ]
 
 
-def load_fact(staging: DataFrame, dims: Dimensions, person: Column) -> DataFrame:
+#: Fact ids of one load are the staging ids plus so many times its number; staging ids are smaller.
+LOAD_STEP = 1 << 40
+
+
+def load_fact(staging: DataFrame, dims: Dimensions, person: Column, load_no: int = 0) -> DataFrame:
     """Fact rows: staging rows with a member in all four dimensions.
 
-    The staging row's id is the fact row's id: unique, and the same on every load.
+    A fact row's id is made of the load's number and the staging row's id: the same whenever the load is
+    repeated, and different where a later load takes a staging row again under another identity.
     """
     found = with_dimension_ids(with_match_keys(staging, person), dims, "inner")
     return found.select(
-        F.col("id").alias("award_id"),
+        (F.col("id") + load_no * LOAD_STEP).alias("award_id"),
         "author_id", "affiliation_id", "country_id", "award_type_id",
         F.trim("assembly_number").alias("assembly_number"),
         "award_year",
@@ -233,8 +227,8 @@ def load_fact_by_email(staging: DataFrame, dims: Dimensions) -> DataFrame:
     return load_fact(staging, dims, plain_address(F.col("email")))
 
 
-def load_fact_by_person(staging: DataFrame, dims: Dimensions, null_as: str | None = None) -> DataFrame:
-    return load_fact(staging, dims, _person(null_as))
+def load_fact_by_person(staging: DataFrame, dims: Dimensions, null_as: str | None = None, load_no: int = 0) -> DataFrame:
+    return load_fact(staging, dims, _person(null_as), load_no)
 
 
 _COMBINATION = ["author_id", "affiliation_id", "country_id", "award_type_id"]
@@ -249,6 +243,9 @@ def without_loaded(rows: DataFrame, fact: DataFrame) -> DataFrame:
     ).select(*rows.columns)
 
 
-def load_fact_incremental(staging: DataFrame, dims: Dimensions, fact: DataFrame) -> DataFrame:
-    """Fact rows for the combinations ``fact`` lacks. Rows equal within the batch all come through."""
-    return without_loaded(load_fact_by_person(staging, dims, "unknown"), fact)
+def load_fact_incremental(staging: DataFrame, dims: Dimensions, fact: DataFrame, load_no: int = 1) -> DataFrame:
+    """Fact rows for the combinations ``fact`` lacks. Rows equal within the batch all come through.
+
+    ``load_no`` differs from that of every earlier load.
+    """
+    return without_loaded(load_fact_by_person(staging, dims, "unknown", load_no), fact)

@@ -26,27 +26,28 @@ FROM users u LEFT JOIN countries c ON c.id = u.country_id""",
         "reached": "SELECT o.user_id, o.country_name, t.category, t.sent_at FROM touches t JOIN owner o USING (addr)",
         "credited": """SELECT p.id, p.total_price, r.category, r.country_name
 FROM payments p LEFT JOIN reached r ON r.user_id = p.user_id AND r.sent_at <= p.paid_at
-QUALIFY row_number() OVER (PARTITION BY p.id ORDER BY r.sent_at DESC NULLS LAST, r.category DESC NULLS LAST) = 1""",
+QUALIFY row_number() OVER (PARTITION BY p.id ORDER BY r.sent_at DESC NULLS LAST, lower(r.category) DESC NULLS LAST,
+  r.category DESC NULLS LAST) = 1""",
     }
 
 
 def _last_touch(window: tuple[str, str], key) -> str:
     return statement("""
-SELECT coalesce(category, 'UNKNOWN') AS award_category, count(*) AS paid_registrations,
+SELECT coalesce(min(category), 'UNKNOWN') AS award_category, count(*) AS paid_registrations,
   CAST(sum(total_price) AS DOUBLE) AS eur_revenue
-FROM credited GROUP BY 1""", _touch_steps(window, key))
+FROM credited GROUP BY lower(category)""", _touch_steps(window, key))
 
 
 def _country_funnel(window: tuple[str, str]) -> str:
     return statement(f"""
-SELECT coalesce(p.country_name, e.country_name) AS country_name, coalesce(p.category, e.category) AS award_category,
+SELECT coalesce(p.country_name, e.country_name) AS country_name, least(p.category, e.category) AS award_category,
   coalesce(e.n, 0) AS emails_sent_lifetime, coalesce(p.n, 0) AS paid_registrations_window,
   CAST(coalesce(p.total, 0) AS DOUBLE) AS eur_revenue_window,
   {pct('coalesce(p.n, 0)', 'e.n')} AS conversion_pct_window_over_lifetime
-FROM (SELECT country_name, category, count(*) AS n FROM reached GROUP BY ALL) e
-FULL JOIN (SELECT coalesce(country_name, 'UNKNOWN') AS country_name, coalesce(category, 'UNKNOWN') AS category,
-    count(*) AS n, sum(total_price) AS total FROM credited GROUP BY ALL) p
-  ON p.country_name = e.country_name AND p.category = e.category""", _touch_steps(window, address))
+FROM (SELECT country_name, lower(category) AS k, min(category) AS category, count(*) AS n FROM reached GROUP BY 1, 2) e
+FULL JOIN (SELECT coalesce(country_name, 'UNKNOWN') AS country_name, coalesce(lower(category), 'UNKNOWN') AS k,
+    coalesce(min(category), 'UNKNOWN') AS category, count(*) AS n, sum(total_price) AS total FROM credited GROUP BY 1, 2) p
+  ON p.country_name = e.country_name AND p.k = e.k""", _touch_steps(window, address))
 
 
 _RAW_FIELDS = ("subject", "template_name")

@@ -106,10 +106,10 @@ ASOF LEFT JOIN (SELECT addr, sent_at, max(category) AS category FROM touches WHE
   ON t.addr = f.addr AND f.created_at >= t.sent_at""",
         "j18_densify": """SELECT k.event_id, coalesce(s.n, 0) AS submitted, coalesce(i.n, 0) AS invoices,
   CAST(c.id IS NOT NULL AS BIGINT) AS is_known
-FROM (SELECT event_id FROM subs UNION SELECT event_id FROM registrations WHERE event_id < 10 AND sendinvoice = 1
+FROM (SELECT event_id FROM subs UNION SELECT event_id FROM registrations WHERE sendinvoice = 1
       UNION SELECT id FROM conferences) k
 LEFT JOIN (SELECT event_id, count(*) AS n FROM subs GROUP BY 1) s USING (event_id)
-LEFT JOIN (SELECT event_id, count(*) AS n FROM registrations WHERE event_id < 10 AND sendinvoice = 1 GROUP BY 1) i
+LEFT JOIN (SELECT event_id, count(*) AS n FROM registrations WHERE sendinvoice = 1 GROUP BY 1) i
   USING (event_id)
 LEFT JOIN conferences c ON c.id = k.event_id""",
         "g01_g09_aggregates": f"""SELECT event_id, count(*) AS "rows", count(total_price) AS priced,
@@ -185,9 +185,9 @@ FROM abstract_submissions GROUP BY 1 HAVING count(*) FILTER ({_INSIDE}) > 0""",
 LEFT JOIN paid p ON p.user_id = s.user_id AND p.event_id = s.event_id WHERE p.user_id IS NULL""",
         "c01_mail_touches": f"""SELECT addr AS email_norm, category AS award_category, {instant('sent_at')} AS sent_at
 FROM touches""",
-        "c03_emails_sent": """SELECT c.name AS country_name, t.category AS award_category, count(*) AS emails_sent
+        "c03_emails_sent": """SELECT c.name AS country_name, min(t.category) AS award_category, count(*) AS emails_sent
 FROM touches t JOIN users u ON lower(trim(u.email, ' ')) = t.addr LEFT JOIN countries c ON c.id = u.country_id
-WHERE t.mailer_no IN (0, 1) GROUP BY ALL""",
+WHERE t.mailer_no IN (0, 1) GROUP BY c.name, lower(t.category)""",
         "c06_latest_contact": """SELECT addr AS email_norm, p1, p2, subject, template_name FROM (
   SELECT """ + address("to_address") + """ AS addr, nullif(trim(p1, ' '), '') AS p1, nullif(trim(p2, ' '), '') AS p2,
     subject, template_name FROM mailers WHERE mailer_no IN (2, 3)

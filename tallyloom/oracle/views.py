@@ -6,8 +6,7 @@ import re
 
 VIEWS = {
     "countries": "SELECT n_nationkey AS id, n_name AS name FROM nation",
-    "conferences": """SELECT p_partkey AS id, CASE WHEN p_partkey = 3 THEN NULL ELSE p_name END AS name
-FROM part WHERE p_partkey NOT IN (10, 11)""",
+    "conferences": "SELECT p_partkey AS id, CASE WHEN p_partkey = 3 THEN NULL ELSE p_name END AS name FROM part",
     "users": """SELECT c_custkey AS id,
   CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE substr(c_name,1,8) END AS first_name,
   substr(c_name,10) AS last_name,
@@ -20,22 +19,23 @@ FROM part WHERE p_partkey NOT IN (10, 11)""",
   CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE c_nationkey END AS country_id,
   DATE '1995-01-01' + CAST((c_custkey * 13) % 2400 AS INT) AS created_at
 FROM customer""",
-    "abstract_submissions": """SELECT o_orderkey AS id, o_custkey AS user_id, o_orderkey % 12 AS event_id,
+    "abstract_submissions": """SELECT o_orderkey AS id, o_custkey AS user_id,
+  CASE WHEN o_orderkey % 12 >= 10 THEN -(o_orderkey % 12) ELSE o_orderkey % 12 END AS event_id,
   CAST(o_orderdate AS DATE) AS statusdate, CAST(o_orderdate AS DATE) AS created_at
 FROM orders""",
     "registrations": """SELECT o_orderkey AS id, o_custkey AS user_id,
-  CASE WHEN o_orderkey % 5 = 0 THEN (o_orderkey + 1) % 12 ELSE o_orderkey % 12 END AS event_id,
+  CASE WHEN k >= 10 THEN -k ELSE k END AS event_id,
   CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE CAST(o_totalprice AS DECIMAL(12,2)) END AS total_price,
   CASE WHEN o_orderkey % 4 = 0 THEN 'USD' ELSE 'EUR' END AS currency_type,
   CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS status,
   CAST(o_orderkey % 2 AS INT) AS sendinvoice,
   CAST(o_orderdate AS DATE) AS created_at,
   CAST(o_orderdate AS DATE) + CAST(o_orderkey % 30 AS INT) AS updated_at
-FROM orders""",
+FROM (SELECT *, CASE WHEN o_orderkey % 5 = 0 THEN (o_orderkey + 1) % 12 ELSE o_orderkey % 12 END AS k FROM orders)""",
     "mailers": """SELECT e.event_id AS id, e.event_id % 6 AS mailer_no,
   concat(' Dr <', trim(u.email), '> ') AS to_address, u.last_name AS p1,
   CASE WHEN e.event_id % 4 = 0 THEN '  ' ELSE u.affiliation END AS p2, e.props AS p3,
-  CASE WHEN e.event_id % 9 = 0 THEN '' ELSE e.event_type END AS p4,
+  CASE WHEN e.event_id % 9 = 0 THEN '' WHEN e.event_id % 10 = 1 THEN upper(e.event_type) ELSE e.event_type END AS p4,
   CASE WHEN e.event_id % 5 = 0 THEN ' ' ELSE concat('batch ', CAST(e.event_id % 7 AS VARCHAR)) END AS p5,
   e.event_type AS subject, concat('template_', e.event_type) AS template_name,
   CASE WHEN e.event_id % 3 = 0 THEN NULL ELSE e.ts - INTERVAL 9000 DAY END AS date_sent,

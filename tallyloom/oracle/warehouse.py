@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallyloom.operators.warehouse import LOAD_STEP
 from tallyloom.oracle.views import statement
 
 
@@ -35,8 +36,8 @@ def _identity(pseudo: str) -> str:
     return f"CASE WHEN {_REAL} THEN lower(trim(email, ' ')) ELSE {pseudo} END"
 
 
-def _fact(rows: str, authors: str, author_key: str, person: str) -> str:
-    return f"""SELECT s.id AS award_id, a.author_id, f.affiliation_id, c.country_id, t.award_type_id,
+def _fact(rows: str, authors: str, author_key: str, person: str, load_no: int = 0) -> str:
+    return f"""SELECT s.id + {load_no * LOAD_STEP} AS award_id, a.author_id, f.affiliation_id, c.country_id, t.award_type_id,
   trim(s.assembly_number, ' ') AS assembly_number, s.award_year,
   nullif(trim(s.session, ' '), '') AS session, nullif(trim(s.session_topic, ' '), '') AS session_topic,
   nullif(trim(s.presentation_type, ' '), '') AS presentation_type,
@@ -68,7 +69,7 @@ FROM staged""",
         "affiliation_dim": f"""SELECT {_number(bucketed, 'affiliation_key, country_id')} AS affiliation_id, * FROM (
   SELECT k.affiliation_key, min(trim(k.affiliation, ' ')) AS affiliation_name, c.country_id
   FROM keyed k JOIN country_dim c USING (country_key) WHERE k.affiliation_key <> '' GROUP BY ALL)""",
-        "award_dim": f"""SELECT *, 'AWD' || lpad(CAST(award_type_id AS VARCHAR), 3, '0') AS award_code FROM (
+        "award_dim": f"""SELECT *, 'AWD' || lpad(CAST(award_type_id AS VARCHAR), CAST(greatest(3, length(CAST(award_type_id AS VARCHAR))) AS INTEGER), '0') AS award_code FROM (
   SELECT {_number('award_key', 'award_key')} AS award_type_id, award_key, award_name FROM (
     SELECT award_key, min(trim(award_certificate_type, ' ')) AS award_name FROM keyed WHERE award_key <> '' GROUP BY 1))""",
         "author_v1": f"""SELECT {_number('email', 'email')} AS author_id, full_name, email FROM (
@@ -94,7 +95,7 @@ SELECT (SELECT max(author_id) FROM author_split) + {_number('email_norm', 'email
 FROM people p WHERE NOT EXISTS (SELECT 1 FROM author_split a WHERE a.email_norm = p.email_norm)""",
         "fact_v1": _fact("keyed", "author_v1", "email", "email_key"),
         "fact_v2": _fact("keyed", "author_v2", "email", "strict_key"),
-        "fact_ready": _fact("keyed", "author_dim", "email_norm", "person_key"),
+        "fact_ready": _fact("keyed", "author_dim", "email_norm", "person_key", 1),
         "fact_award": f"""SELECT * FROM fact_v2 UNION ALL
 SELECT * FROM fact_ready r WHERE {_not_loaded('r', 'fact_v2')}""",
         "located": """SELECT k.*, c.country_id, f.affiliation_id, t.award_type_id, a.author_id
@@ -138,6 +139,16 @@ def _lists(distinct: str) -> str:
     ])
 
 
+_PEOPLE = {"authors": "full_name", "emails": "email_norm", "research_areas": "session_topic"}
+
+
+def _long_lists(table: str, key: str, shown: str, lists: dict[str, str]) -> str:
+    return "\nUNION ALL\n".join(
+        f"""SELECT {key} AS {shown}, '{name}' AS list, min({column}) AS value, count(*) AS n FROM {table}
+GROUP BY {key}, strip_accents(lower({column}))""" for name, column in lists.items()
+    )
+
+
 def warehouse(years: dict[str, int], country: str, affiliation: str) -> dict[str, str]:
     detail = """affiliation_name, award_name, session_topic AS research_area, full_name AS author_name,
   coalesce(email_norm, '') AS email, award_year, presentation_type"""
@@ -175,6 +186,7 @@ FROM keyed GROUP BY 1 ORDER BY rows_for_person DESC, email_norm ASC NULLS FIRST
             _key_check("affiliation_dim", "dim_affiliation", "affiliation_key || '|' || country_id"),
             _key_check("award_dim", "dim_award_type", "award_key"),
             _key_check("author_dim", "dim_author", "email_norm"),
+            _key_check("fact_award", "fact_award", "CAST(award_id AS VARCHAR)"),
         ]),
         "qa_foreign_keys": "\nUNION ALL\n".join([
             _orphans("country", "country_dim", "country_id"), _orphans("affiliation", "affiliation_dim", "affiliation_id"),
@@ -207,6 +219,10 @@ FROM unloaded WHERE affiliation_id IS NULL""",
         "rpt_country_lists": f"""SELECT country_name AS country, count(DISTINCT award_id) AS total_awards,
   {_list('full_name', 'authors')}, {_list('email_norm', 'emails')}, {_list('session_topic', 'research_areas')}
 FROM star GROUP BY country_name""",
+        "rpt_country_list_values": _long_lists("star", "country_name", "country", _PEOPLE),
+        "rpt_affiliation_list_values": _long_lists(
+            "star_of", "affiliation_name", "affiliation_name", {**_PEOPLE, "award_names": "award_name"}
+        ),
         "rpt_author_lists": f"""SELECT country_name AS country, full_name AS author_name, email_norm AS email,
   {_list('session_topic', 'research_areas')}, count(DISTINCT award_id) AS total_awards
 FROM star GROUP BY country_name, full_name, email_norm""",

@@ -22,10 +22,19 @@ def _payments(registrations: DataFrame, window: DateWindow) -> DataFrame:
 
 def _revenue(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(
+        F.min("award_category").alias("award_category"),
         F.sum("payments").alias("paid_registrations"), F.sum("amount").cast(TOTAL).alias("eur_revenue")
     )
 
 
+def _or_unknown(rows: DataFrame) -> DataFrame:
+    """Payments without a mailing form a category of their own, apart from one that is called so."""
+    return rows.withColumns({
+        "category_key": F.coalesce("category_key", F.lit("UNKNOWN")),
+        "award_category": F.coalesce("award_category", F.lit("UNKNOWN")),
+    })
+
+
 def last_touch_revenue(
     users: DataFrame,
     registrations: DataFrame,
@@ -36,8 +45,7 @@ def last_touch_revenue(
     """Paid registrations and revenue by the category that led to them."""
     touches = campaign.mail_touches(mailings, address)
     credited = campaign.last_touch(_payments(registrations, window), users, touches)
-    named = credited.withColumn("award_category", F.coalesce("award_category", F.lit("UNKNOWN")))
-    return _revenue(named, "award_category").orderBy(
+    return _revenue(_or_unknown(credited), "category_key").drop("category_key").orderBy(
         F.desc("eur_revenue"), F.desc("paid_registrations"), "award_category"
     )
 
@@ -62,17 +70,16 @@ def award_country_funnel(
     sent = campaign.emails_sent(touches, campaign.user_addresses(located, "country_name"))
     credited = campaign.last_touch(_payments(registrations, window), located, touches, "country_name")
     paid = _revenue(
-        credited.withColumns({
-            "country_name": F.expr("coalesce(if(award_category IS NULL, NULL, country_name), 'UNKNOWN')"),
-            "award_category": F.coalesce("award_category", F.lit("UNKNOWN")),
-        }),
+        _or_unknown(
+            credited.withColumn("country_name", F.expr("coalesce(if(award_category IS NULL, NULL, country_name), 'UNKNOWN')"))
+        ),
         "country_name",
-        "award_category",
+        "category_key",
     )
-    both = sent.join(paid, ["country_name", "award_category"], "full_outer")
+    both = sent.alias("s").join(paid.alias("p"), ["country_name", "category_key"], "full_outer")
     return both.select(
         "country_name",
-        "award_category",
+        F.least("s.award_category", "p.award_category").alias("award_category"),
         F.coalesce("emails_sent", F.lit(0)).alias("emails_sent_lifetime"),
         F.coalesce("paid_registrations", F.lit(0)).alias("paid_registrations_window"),
         F.coalesce(F.col("eur_revenue"), F.lit(0)).cast(TOTAL).alias("eur_revenue_window"),

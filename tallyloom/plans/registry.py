@@ -13,7 +13,7 @@ from tallyloom.operators import warehouse as w
 from tallyloom.params import DateWindow
 from tallyloom.plans import campaigns, insights, marketing, reports
 from tallyloom.plans.warehouse import Warehouse, load_warehouse
-from tallyloom.sources.tables import append_rows, create_table, stage, union_sources, work_folder
+from tallyloom.sources.tables import append_rows, create_table, stage, work_folder
 from tallyloom.sources.testdata import TestTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,7 +155,7 @@ def _quality() -> dict[str, Callable[[TestTables], DataFrame]]:
         "qa_authors": over(quality.count_authors, "staging", "author_by_person"),
         "qa_identity_profile": over(quality.identity_profile, "staging"),
         "qa_top_identities": over(quality.top_repeated_identities, "staging"),
-        "qa_constraints": over(quality.check_constraints, "dims"),
+        "qa_constraints": over(quality.check_constraints, "dims", "fact"),
         "qa_foreign_keys": over(quality.check_foreign_keys, "fact", "dims"),
         "qa_fact_counts": over(quality.fact_counts, "fact"),
         "qa_load_readiness": over(quality.load_readiness, "staging", "dims"),
@@ -178,6 +178,8 @@ def _reports() -> dict[str, Callable[[TestTables], DataFrame]]:
         "rpt_country_totals": over(reports.country_totals),
         "rpt_award_detail": over(reports.award_detail),
         "rpt_country_lists": over(reports.country_lists),
+        "rpt_country_list_values": over(reports.country_list_values),
+        "rpt_affiliation_list_values": over(reports.affiliation_list_values, COUNTRY),
         "rpt_author_lists": over(reports.author_lists),
         "rpt_country_affiliation_rank": over(reports.country_affiliation_rank, COUNTRY),
         "rpt_country_award_detail": over(reports.country_award_detail, COUNTRY),
@@ -204,13 +206,13 @@ ALL_MAILERS = FOLLOW_UPS["cmp_nonresponders_six_mailers"][0]
 
 
 def follow_up(t: TestTables, mailers: list[str], fields: list[str]) -> DataFrame:
-    mailings = union_sources(t.mailers(*mailers))
+    mailings = t.mailed(*mailers)
     return campaign.nonresponders(t.yes_no_form(), t.users(), t.abstracts(), mailings, fields, YES)
 
 
 def _campaigns() -> dict[str, Callable[[TestTables], DataFrame]]:
     def award_mailings(t: TestTables) -> DataFrame:
-        return union_sources(t.mailers("emails2", "emails2_"))
+        return t.mailed("emails2", "emails2_")
 
     def last_touch(address):
         return lambda t: campaigns.last_touch_revenue(

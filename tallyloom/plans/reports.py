@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import ci_key
-from tallyloom.operators.lists import joined_lists
+from tallyloom.operators.lists import joined_lists, list_values
 from tallyloom.operators.warehouse import Dimensions
 
 
@@ -93,6 +93,25 @@ def country_lists(fact: DataFrame, dims: Dimensions) -> DataFrame:
     ).orderBy(F.desc("total_awards"), "country")
 
 
+def country_list_values(fact: DataFrame, dims: Dimensions) -> DataFrame:
+    """The lists of ``country_lists`` one value per row, for countries of any size."""
+    people = _named(_counted(fact, "country_id", "author_id", "session_topic"), dims, "author")
+    long = list_values(
+        people, ["country_id"], {"authors": "full_name", "emails": "email_norm", "research_areas": "session_topic"}, "n"
+    )
+    return _named(long, dims, "country").select(F.col("country_name").alias("country"), "list", "value", "n")
+
+
+def affiliation_list_values(fact: DataFrame, dims: Dimensions, country: str) -> DataFrame:
+    """The lists of ``affiliation_lists`` one value per row."""
+    combos = _counted(
+        _of_country(fact, dims, country), "affiliation_id", "author_id", "session_topic", "award_type_id"
+    )
+    lists = {"authors": "full_name", "emails": "email_norm", "research_areas": "session_topic", "award_names": "award_name"}
+    long = list_values(_named(combos, dims, "author", "award_type"), ["affiliation_id"], lists, "n")
+    return _named(long, dims, "affiliation").select("affiliation_name", "list", "value", "n")
+
+
 def author_lists(fact: DataFrame, dims: Dimensions) -> DataFrame:
     keys = ["country_id", "author_id"]
     combos = _counted(fact, *keys, "session_topic")
@@ -119,12 +138,12 @@ def country_affiliation_rank(fact: DataFrame, dims: Dimensions, country: str) ->
     lists = joined_lists(
         _named(combos, dims, "award_type"),
         ["affiliation_id"],
-        {"research_areas": "session_topic", "award_names": "award_name", "people": "author_id"},
+        {"research_areas": "session_topic", "award_names": "award_name"},
         weight="n",
         row_count="awards",
-        value_counts={"awardees": "people"},
-    ).drop("people")
-    return _named(lists.join(years, "affiliation_id"), dims, "affiliation").drop("affiliation_id").orderBy(
+    )
+    people = rows.select("affiliation_id", "author_id").distinct().groupBy("affiliation_id").agg(F.count("*").alias("awardees"))
+    return _named(lists.join(people, "affiliation_id").join(years, "affiliation_id"), dims, "affiliation").drop("affiliation_id").orderBy(
         F.desc("awardees"), F.desc("awards"), "affiliation_name"
     )
 

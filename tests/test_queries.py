@@ -1,6 +1,7 @@
-"""Every registered query against its DuckDB statement at the smallest scale.
+"""Every registered query of the library against its DuckDB statement at the smallest scale.
 
-No query may pair all rows of two tables or leave the JVM.
+No query may pair all rows of two tables or leave the JVM, and a report that is
+sorted comes out in its order.
 """
 
 import re
@@ -9,9 +10,32 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, differences
+from tallyloom.oracle.statements import statements
+from tallyloom.plans import registry
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, STATEMENTS = entry.queries(), entry.oracle_sql()
+QUERIES, STATEMENTS = registry.queries(), statements()
+
+#: The order each sorted report has: column and direction (``-`` descending), as the statement would put it.
+ORDERS = {
+    "rpt_country_totals": ["-total_awards", "country"],
+    "rpt_country_lists": ["-total_awards", "country"],
+    "rpt_awardees_country_affiliation": ["country", "-unique_awardees", "affiliation"],
+    "rpt_awardees_country_affiliation_by_count": ["-total_awardees", "country", "affiliation"],
+    "rpt_award_detail": ["country", "award_type", "award_id"],
+    "rpt_country_affiliation_rank": ["-awardees", "-awards", "affiliation_name"],
+    "mkt_country_event": ["-revenue_EUR", "country_name", "event_id"],
+    "mkt_affiliation_event": ["-revenue_EUR", "-paid_users", "affiliation", "country_name", "event_id"],
+    "cmp_last_touch_revenue": ["-eur_revenue", "-paid_registrations", "award_category"],
+    "cmp_response_hist": ["-cnt", "resp_norm"],
+    "cmp_nonresponders_two_mailers": ["-yes_created_at", "email"],
+    "cmp_nonresponders_reminders": ["-yes_created_at", "email"],
+    "cmp_nonresponders_reminders_aml": ["-yes_created_at", "email"],
+    "cmp_nonresponders_emails3": ["-yes_created_at", "email"],
+    "cmp_nonresponders_emails3_affiliation": ["-yes_created_at", "email"],
+    "cmp_nonresponders_four_mailers": ["-yes_created_at", "email"],
+    "cmp_nonresponders_six_mailers": ["-yes_created_at", "email"],
+}
 
 
 @pytest.fixture(scope="module")
@@ -32,5 +56,20 @@ def test_query(spark, duck, name):
     assert differences(result, duck, STATEMENTS[name]) is None
 
 
+@pytest.mark.parametrize("name", sorted(ORDERS))
+def test_order(spark, duck, name):
+    """The sort columns come out as the statement's do when it sorts by them."""
+    order = ORDERS[name]
+    columns = [c.lstrip("-") for c in order]
+    by = ", ".join(f'"{c.lstrip("-")}" {"DESC" if c[0] == "-" else "ASC"} NULLS {"LAST" if c[0] == "-" else "FIRST"}' for c in order)
+    shown = ", ".join(f'"{c}"' for c in columns)
+    wanted = duck.execute(f"SELECT {shown} FROM ({STATEMENTS[name]}) ORDER BY {by}").fetchall()
+    found = [tuple(row[c] for c in columns) for row in QUERIES[name](spark, FOLDER).collect()]
+    assert len(found) > 1
+    assert found == wanted
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(STATEMENTS) <= set(entry.oracle_sql())
