@@ -78,9 +78,12 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], domains: np.ndarray, least_do
 
     A word takes part if it tells domains apart: in ``least_docs`` documents, and far more often in one domain than
     in the others. Weights of words are log ratios of their document shares, which needs no iteration and does not
-    overfit rare words; the dense part and the overall weight are then fitted by gradient steps.
+    overfit rare words; the dense part and the overall weight are then fitted by gradient steps. Without rows every
+    domain is equally likely.
     """
     k = len(DOMAINS)
+    if not rows:
+        return Classifier(np.zeros((k, 1 << HASH_BITS)), np.zeros((k, DENSE)), np.zeros(k))
     counts, docs = np.zeros((k, 1 << HASH_BITS)), np.bincount(domains, minlength=k).astype(float)
     for (hashed, _), d in zip(rows, domains):
         np.add.at(counts[d], hashed, 1)

@@ -18,7 +18,7 @@ from tallyloom.sources.tables import stage
 SYMBOLS = "#*$%&|<>"
 
 #: Measures under adaptive fences: name, and how far from the group's median is always allowed, in thousandths.
-SLACK = {"word_len": 3000, "symbol_rate": 300, "dup_line_rate": 300}
+SLACK = {"word_len": 5000, "symbol_rate": 300, "dup_line_rate": 500}
 
 WINDOW = 5
 
