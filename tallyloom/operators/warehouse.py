@@ -176,22 +176,14 @@ def with_match_keys(staging: DataFrame, person: Column) -> DataFrame:
     })
 
 
-def with_dimension_ids(rows: DataFrame, dims: Dimensions, how: str = "left") -> DataFrame:
-    """Look up the four ids by match key. ``how="inner"`` keeps fully matched rows only.
-
-    An affiliation lies in one country, so the affiliation lookup, by both names,
-    brings the country id too; only the outer form looks countries up themselves.
-    """
+def with_dimension_ids(rows: DataFrame, dims: Dimensions) -> DataFrame:
+    """Look up the four ids by match key; an id is NULL where no member matches."""
     homes = dims.country.select("country_id", "country_key")
-    places = dims.affiliation.join(homes, "country_id").select(
-        "affiliation_key", "country_key", "affiliation_id", *(["country_id"] if how == "inner" else [])
-    )
-    found = rows.join(places, ["affiliation_key", "country_key"], how)
-    if how != "inner":
-        found = found.join(homes, "country_key", how)
+    places = dims.affiliation.join(homes, "country_id").select("affiliation_key", "country_key", "affiliation_id")
     awards = dims.award_type.select("award_type_id", "award_key")
     authors = dims.author.select("author_id", F.col(dims.author_key).alias("person_key"))
-    return found.join(awards, "award_key", how).join(authors, "person_key", how)
+    found = rows.join(places, ["affiliation_key", "country_key"], "left").join(homes, "country_key", "left")
+    return found.join(awards, "award_key", "left").join(authors, "person_key", "left")
 
 
 FACT_COLUMNS = [
@@ -204,16 +196,22 @@ FACT_COLUMNS = [
 LOAD_STEP = 1 << 40
 
 
-def load_fact(staging: DataFrame, dims: Dimensions, person: Column, load_no: int = 0) -> DataFrame:
-    """Fact rows: staging rows with a member in all four dimensions.
+#: The identities an author can be looked up by.
+IDENTITIES = {"by_email": lambda: plain_address(F.col("email")), "strict": lambda: _person(None), "lenient": lambda: _person("unknown")}
 
-    A fact row's id is made of the load's number and the staging row's id: the same whenever the load is
-    repeated, and different where a later load takes a staging row again under another identity.
+
+def located(staging: DataFrame, dims: Dimensions) -> DataFrame:
+    """Staging rows with a country, an affiliation and an award type: all of a fact row but its author.
+
+    The author's possible identities come along, so several loads can share one look-up of the rest.
     """
-    found = with_dimension_ids(with_match_keys(staging, person), dims, "inner")
+    keyed = with_match_keys(staging, F.lit(None).cast("string")).withColumns({f"_{n}": key() for n, key in IDENTITIES.items()})
+    homes = dims.country.select("country_id", "country_key")
+    places = dims.affiliation.join(homes, "country_id").select("affiliation_key", "country_key", "affiliation_id", "country_id")
+    awards = dims.award_type.select("award_type_id", "award_key")
+    found = keyed.join(places, ["affiliation_key", "country_key"]).join(awards, "award_key")
     return found.select(
-        (F.col("id") + load_no * LOAD_STEP).alias("award_id"),
-        "author_id", "affiliation_id", "country_id", "award_type_id",
+        "id", "affiliation_id", "country_id", "award_type_id", *(f"_{n}" for n in IDENTITIES),
         F.trim("assembly_number").alias("assembly_number"),
         "award_year",
         *[
@@ -223,12 +221,23 @@ def load_fact(staging: DataFrame, dims: Dimensions, person: Column, load_no: int
     )
 
 
+def with_authors(rows: DataFrame, dims: Dimensions, identity: str, load_no: int = 0) -> DataFrame:
+    """Fact rows: ``located`` rows whose identity is in the author dimension.
+
+    A fact row's id is made of the load's number and the staging row's id: the same whenever the load is
+    repeated, and different where a later load takes a staging row again under another identity.
+    """
+    authors = dims.author.select("author_id", F.col(dims.author_key).alias(f"_{identity}"))
+    found = rows.join(authors, f"_{identity}").withColumn("award_id", F.col("id") + load_no * LOAD_STEP)
+    return found.select(*FACT_COLUMNS)
+
+
 def load_fact_by_email(staging: DataFrame, dims: Dimensions) -> DataFrame:
-    return load_fact(staging, dims, plain_address(F.col("email")))
+    return with_authors(located(staging, dims), dims, "by_email")
 
 
-def load_fact_by_person(staging: DataFrame, dims: Dimensions, null_as: str | None = None, load_no: int = 0) -> DataFrame:
-    return load_fact(staging, dims, _person(null_as), load_no)
+def load_fact_by_person(staging: DataFrame, dims: Dimensions) -> DataFrame:
+    return with_authors(located(staging, dims), dims, "strict")
 
 
 _COMBINATION = ["author_id", "affiliation_id", "country_id", "award_type_id"]
@@ -248,4 +257,9 @@ def load_fact_incremental(staging: DataFrame, dims: Dimensions, fact: DataFrame,
 
     ``load_no`` differs from that of every earlier load.
     """
-    return without_loaded(load_fact_by_person(staging, dims, "unknown", load_no), fact)
+    return add_to_fact(located(staging, dims), dims, fact, load_no)
+
+
+def add_to_fact(rows: DataFrame, dims: Dimensions, fact: DataFrame, load_no: int = 1) -> DataFrame:
+    """``load_fact_incremental`` from rows already ``located``."""
+    return without_loaded(with_authors(rows, dims, "lenient", load_no), fact)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.operators import warehouse as w
@@ -33,12 +36,18 @@ class Warehouse:
 _MEMBER_TEXTS = ["name", "email", "affiliation", "country", "award_certificate_type"]
 
 
+def together(*steps: Callable) -> list:
+    """Results of steps that do not depend on each other, their jobs run side by side."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [done.result() for done in [pool.submit(inheritable_thread_target(step)) for step in steps]]
+
+
 def load_warehouse(spark: SparkSession, staging: DataFrame, folder: str) -> Warehouse:
     """Build every table below ``folder``.
 
     The dimensions depend only on which texts occur together, so the staging table
-    is read once for all of them, down to its distinct combinations, and then once
-    per fact load. Each dimension is stored before anything looks up its ids, and
+    is read once for all of them, down to its distinct combinations, and once more
+    for both fact loads. Each dimension is stored before anything looks up its ids, and
     the next stage reads the stored table: its size is known to the planner, and
     its keys stay as they are whatever is recomputed later.
     """
@@ -46,18 +55,25 @@ def load_warehouse(spark: SparkSession, staging: DataFrame, folder: str) -> Ware
         return create_table(df, f"{folder}/{name}", "overwrite")
 
     texts = store(staging.select(*_MEMBER_TEXTS).distinct(), "member_texts")
-    country = store(w.dim_country(texts), "dim_country")
-    affiliation = store(w.dim_affiliation(texts, country), "dim_affiliation")
-    award_type = store(w.dim_award_type(texts), "dim_award_type")
-    by_email = store(w.dim_author(texts), "dim_author_by_email")
-    by_person = store(w.add_people(by_email, texts), "dim_author_by_person")
-    people = store(w.build_people(texts), "people")
-    author = store(
-        w.upsert_dimension(w.split_email_columns(by_person), people, "email_norm", "author_id"), "dim_author"
+
+    def places():
+        country = store(w.dim_country(texts), "dim_country")
+        return country, store(w.dim_affiliation(texts, country), "dim_affiliation")
+
+    def authors():
+        by_email = store(w.dim_author(texts), "dim_author_by_email")
+        return by_email, store(w.add_people(by_email, texts), "dim_author_by_person")
+
+    (country, affiliation), (by_email, by_person), award_type, people = together(
+        places, authors, lambda: store(w.dim_award_type(texts), "dim_award_type"), lambda: store(w.build_people(texts), "people")
     )
-    dims = w.Dimensions(country, affiliation, award_type, author)
+    dims = w.Dimensions(country, affiliation, award_type, by_person, "email")
+    upserted = w.upsert_dimension(w.split_email_columns(by_person), people, "email_norm", "author_id")
+    # Both loads share the look-up of all but the author.
+    author, rows = together(lambda: store(upserted, "dim_author"), lambda: store(w.located(staging, dims), "located"))
 
     fact_path = f"{folder}/fact_award"
-    first = reload_table(w.load_fact_by_person(staging, dims.with_author(by_person, "email")), fact_path)
-    append_rows(w.load_fact_incremental(staging, dims, first), fact_path)
+    first = reload_table(w.with_authors(rows, dims, "strict"), fact_path)
+    dims = dims.with_author(author, "email_norm")
+    append_rows(w.add_to_fact(rows, dims, first), fact_path)
     return Warehouse(staging, dims, by_email, by_person, people, read_table(spark, fact_path))

@@ -109,7 +109,7 @@ def test_fact_load_splits_a_hot_person(spark):
     staging = tables.stage(hot_staging(spark, 120_000), "hot")
     dims = registry.load_warehouse(spark, staging, tables.work_folder(spark, "hot")).dims
     with settings(spark, **HOT):
-        fact = w.load_fact_by_person(staging, dims, "unknown")
+        fact = w.with_authors(w.located(staging, dims), dims, "lenient")
         text = final_plan(fact)
         assert "SortMergeJoin(skew=true)" in text
         assert "BroadcastHashJoin" not in text
