@@ -53,17 +53,18 @@ FROM events e JOIN users u ON u.id = e.user_id""",
   concat('A', CAST(o.o_orderkey % 9 AS VARCHAR(10)), ' AMC') AS assembly_number,
   CASE WHEN o.o_orderkey % 3 = 0 THEN NULL ELSE CAST(year(o.o_orderdate) AS INT) END AS award_year,
   CASE WHEN c.c_custkey % 2 = 0 THEN 'Prof.' ELSE 'Dr.' END AS title,
-  c.c_name AS name,
+  CASE WHEN o.o_orderkey % 41 = 0 THEN '  ' WHEN o.o_orderkey % 10 = 3 THEN upper(c.c_name) ELSE c.c_name END AS name,
   CASE WHEN c.c_custkey % 5 = 0 THEN NULL WHEN c.c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
-  u.affiliation AS affiliation,
-  CASE WHEN c.c_custkey % 4 = 0 THEN concat(lower(n.n_name), '  ') ELSE n.n_name END AS country,
+  CASE WHEN o.o_orderkey % 10 = 7 THEN upper(u.affiliation) ELSE u.affiliation END AS affiliation,
+  CASE WHEN o.o_orderkey % 43 = 0 THEN ' ' WHEN c.c_custkey % 4 = 0 THEN concat(lower(n.n_name), '  ') ELSE n.n_name END AS country,
   CASE WHEN o.o_orderkey % 31 = 0 THEN NULL WHEN c.c_custkey % 6 = 0 THEN NULL
        WHEN c.c_custkey % 10 = 1 THEN 'n/a' ELSE u.email END AS email,
   CASE WHEN o.o_orderstatus = 'P' THEN ' ' ELSE concat(o.o_orderstatus, ' talk') END AS presentation_type,
   CASE WHEN o.o_orderkey % 29 = 0 THEN NULL ELSE concat(' ', o.o_orderpriority, ' ') END AS award_certificate_type,
   concat('C', CAST(o.o_orderkey AS VARCHAR(20))) AS certificate_number,
   concat(' Session ', CAST(o.o_orderkey % 4 AS VARCHAR)) AS session,
-  CASE WHEN o.o_orderkey % 6 = 0 THEN '' ELSE c.c_mktsegment END AS session_topic,
+  CASE WHEN o.o_orderkey % 6 = 0 THEN '' WHEN o.o_orderkey % 10 = 1 THEN lower(c.c_mktsegment)
+       ELSE c.c_mktsegment END AS session_topic,
   concat('On ', c.c_mktsegment) AS paper_title
 FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
 JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN users u ON u.id = c.c_custkey""",

@@ -114,6 +114,12 @@ def _list(column: str, name: str, distinct: str = "DISTINCT ") -> str:
     return f"string_agg({distinct}{column}, ', ' ORDER BY {column}) AS {name}"
 
 
+def _folded(table: str, key: str, *columns: str) -> str:
+    """Rows of a table with the smallest spelling of each listed text within its group."""
+    shown = ", ".join(f"min({c}) OVER (PARTITION BY {key}, strip_accents(lower({c}))) AS {c}" for c in columns)
+    return f"(SELECT * REPLACE ({shown}) FROM {table})"
+
+
 def _missing(prefix: str) -> str:
     return f"""count(*) AS {prefix}, count(*) FILTER (country_id IS NULL) AS missing_country,
   count(*) FILTER (affiliation_id IS NULL) AS missing_affiliation,
@@ -218,22 +224,23 @@ FROM unloaded WHERE affiliation_id IS NULL""",
   assembly_number, award_year, presentation_type FROM star""",
         "rpt_country_lists": f"""SELECT country_name AS country, count(DISTINCT award_id) AS total_awards,
   {_list('full_name', 'authors')}, {_list('email_norm', 'emails')}, {_list('session_topic', 'research_areas')}
-FROM star GROUP BY country_name""",
+FROM {_folded('star', 'country_name', 'full_name', 'email_norm', 'session_topic')} GROUP BY country_name""",
         "rpt_country_list_values": _long_lists("star", "country_name", "country", _PEOPLE),
         "rpt_affiliation_list_values": _long_lists(
             "star_of", "affiliation_name", "affiliation_name", {**_PEOPLE, "award_names": "award_name"}
         ),
         "rpt_author_lists": f"""SELECT country_name AS country, full_name AS author_name, email_norm AS email,
   {_list('session_topic', 'research_areas')}, count(DISTINCT award_id) AS total_awards
-FROM star GROUP BY country_name, full_name, email_norm""",
+FROM {_folded('star', 'country_name, full_name, email_norm', 'session_topic')} GROUP BY country_name, full_name, email_norm""",
         "rpt_country_affiliation_rank": f"""SELECT affiliation_name, count(DISTINCT author_id) AS awardees,
   count(DISTINCT award_id) AS awards, min(award_year) AS first_year, max(award_year) AS last_year,
   {_list('session_topic', 'research_areas')}, {_list('award_name', 'award_names')}
-FROM star_of GROUP BY affiliation_id, affiliation_name""",
+FROM {_folded('star_of', 'affiliation_id', 'session_topic', 'award_name')} GROUP BY affiliation_id, affiliation_name""",
         "rpt_country_award_detail": f"SELECT {detail} FROM star_of",
         "rpt_affiliation_award_detail": f"SELECT {detail} FROM star_of WHERE affiliation_name = '{affiliation}'",
         "rpt_affiliation_lists_distinct": f"""SELECT affiliation_name, count(DISTINCT award_name) AS total_awards,
-  {_lists('DISTINCT ')} FROM star_of GROUP BY affiliation_name""",
+  {_lists('DISTINCT ')}
+FROM {_folded('star_of', 'affiliation_name', 'full_name', 'email_norm', 'session_topic', 'award_name')} GROUP BY affiliation_name""",
         "rpt_affiliation_lists_all": f"""SELECT affiliation_name, count(award_name) AS total_awards,
   {_lists('')} FROM star_of GROUP BY affiliation_name""",
     }

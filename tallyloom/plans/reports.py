@@ -114,7 +114,9 @@ def affiliation_list_values(fact: DataFrame, dims: Dimensions, country: str) ->
 
 def author_lists(fact: DataFrame, dims: Dimensions) -> DataFrame:
     keys = ["country_id", "author_id"]
-    combos = _counted(fact, *keys, "session_topic")
+    combos = _counted(fact, *keys, "session_topic").groupBy(*keys, ci_key(F.col("session_topic")).alias("_key")).agg(
+        F.min("session_topic").alias("session_topic"), F.sum("n").alias("n")
+    )
     per = combos.groupBy(*keys).agg(
         F.expr("listagg(session_topic, ', ') WITHIN GROUP (ORDER BY session_topic)").alias("research_areas"),
         F.sum("n").alias("total_awards"),

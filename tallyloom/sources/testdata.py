@@ -131,16 +131,17 @@ class TestTables:
             "concat('A', o_orderkey % 9, ' AMC') AS assembly_number",
             "if(o_orderkey % 3 = 0, NULL, year(o_orderdate)) AS award_year",
             "if(c_custkey % 2 = 0, 'Prof.', 'Dr.') AS title",
-            "c_name AS name",
+            "if(o_orderkey % 41 = 0, '  ', if(o_orderkey % 10 = 3, upper(c_name), c_name)) AS name",
             "CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender",
-            "affiliation",
-            "if(c_custkey % 4 = 0, concat(lower(n_name), '  '), n_name) AS country",
+            "if(o_orderkey % 10 = 7, upper(affiliation), affiliation) AS affiliation",
+            "CASE WHEN o_orderkey % 43 = 0 THEN ' ' WHEN c_custkey % 4 = 0 THEN concat(lower(n_name), '  ') ELSE n_name END "
+            "AS country",
             "CASE WHEN o_orderkey % 31 = 0 OR c_custkey % 6 = 0 THEN NULL WHEN c_custkey % 10 = 1 THEN 'n/a' "
             "ELSE user_email END AS email",
             "if(o_orderstatus = 'P', ' ', concat(o_orderstatus, ' talk')) AS presentation_type",
             "if(o_orderkey % 29 = 0, NULL, concat(' ', o_orderpriority, ' ')) AS award_certificate_type",
             "concat('C', o_orderkey) AS certificate_number",
             "concat(' Session ', o_orderkey % 4) AS session",
-            "if(o_orderkey % 6 = 0, '', c_mktsegment) AS session_topic",
+            "if(o_orderkey % 6 = 0, '', if(o_orderkey % 10 = 1, lower(c_mktsegment), c_mktsegment)) AS session_topic",
             "concat('On ', c_mktsegment) AS paper_title",
         )
