@@ -427,3 +427,22 @@ def test_create_table_refuses_to_replace(spark, rows):
 
 def test_work_folder_lies_in_the_shared_folder(spark):
     assert tables.work_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_lists_count_values_beyond_any_cell_and_fold_spellings(rows):
+    data = rows([("a", "Anna", 3_000_000_000), ("a", "ANNA", 1), ("a", "Änna", 1), ("a", "Bo", 2)], "k string, v string, n long")
+    assert tuples(list_values(data, ["k"], {"vs": "v"}, "n")) == [("a", "vs", "ANNA", 3_000_000_002), ("a", "vs", "Bo", 2)]
+    assert joined_lists(data, ["k"], {"vs": "v"}, weight="n").first().vs == "ANNA, Bo"
+    with pytest.raises(Exception, match="use list_values"):
+        joined_lists(data, ["k"], {"vs": "v"}, distinct=False, weight="n").collect()
+
+
+def test_categories_of_different_spelling_are_one(rows):
+    mailings = rows(
+        [(1, "a@b.org", c, f"2025-01-0{i} 00:00:00") for i, c in enumerate(["Gold", "GOLD", "gold", "Silver"], 1)],
+        "id long, to_address string, p4 string, sent string",
+    ).selectExpr("id", "to_address", "p4", "CAST(sent AS timestamp_ntz) AS date_sent", "CAST(NULL AS timestamp_ntz) AS date_added")
+    users = rows([(1, "a@b.org")], "id long, email string").withColumn("country_name", F.lit("FR"))
+    counts = campaign.touch_counts(campaign.mail_touches(mailings))
+    sent = campaign.emails_sent(counts, campaign.user_addresses(users, "country_name"))
+    assert sorted((r.award_category, r.emails_sent) for r in sent.collect()) == [("GOLD", 3), ("Silver", 1)]
