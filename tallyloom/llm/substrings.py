@@ -21,8 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.fmindex import FMIndex
-from tallyloom.llm.texts import only, slices
-from tallyloom.sources.tables import stage
+from tallyloom.llm.texts import only, settle, slices
 
 #: An odd number for rolling hashes, and one to mix them (fixed values without meaning).
 ROLL, MIX = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
@@ -163,14 +162,15 @@ def repeated_spans(docs: DataFrame, window: int = 35, group: int = 16, hot: int
     with a weight; they are counted before the texts are shuffled.
     """
     texts = only(docs, text=text_col).select(*_content_key(), F.coalesce("text", F.lit("")).alias("text"))
-    table = stage(_anchor_table(texts, window, group), "anchors")
+    table = settle(_anchor_table(texts, window, group), "anchors")
     twice = table.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
     runs = (
         table.join(twice, "anchor").select(*KEY, F.struct("first", "windows", "anchor", (F.col("n") > hot).alias("hot")).alias("run"))
         .distinct().groupBy(*KEY).agg(F.collect_list("run").alias("runs"))
     )
+    runs = settle(runs, "runs")
     contents = texts.groupBy(*KEY).agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    passages = stage(_passages(contents.join(runs, KEY), window), "passages")
+    passages = settle(_passages(contents.join(runs, KEY), window), "passages")
     distinct = passages.groupBy("id", "route").agg(F.first("passage").alias("passage"), F.sum("copies").alias("copies"))
     total = passages.agg(F.sum(F.length("passage"))).first()[0] or 0
     shards = max(1, total // (6 * shard_words))
@@ -178,7 +178,7 @@ def repeated_spans(docs: DataFrame, window: int = 35, group: int = 16, hot: int
         distinct.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards))).groupBy("shard")
         .applyInPandas(_shard_search(window), "id binary, begin int, end int")
     )
-    placed = passages.select(*KEY, "first", "id").join(stage(found, "matches"), "id")
+    placed = passages.select(*KEY, "first", "id").join(settle(found, "matches"), "id")
     span = F.struct((F.col("first") + F.col("begin")).alias("begin"), (F.col("first") + F.col("end")).alias("end"))
     return placed.groupBy(*KEY).agg(F.collect_list(span).alias("spans"))
 

@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.sources.tables import stage
+
 #: Fixed value: white space that parts words (space and U+0009 to U+000D), for Java and RE2 patterns.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
@@ -32,6 +34,21 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 <<
             yield batch.slice(start)
 
 
+#: Spark drops the shuffle files of a statement when it has ended, not when the driver happens to collect garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """``stage``, and free the shuffle files that led to the result: it is stored, and never worked out again."""
+    conf = df.sparkSession.conf
+    before = conf.get(FREE_SHUFFLES, "false")
+    conf.set(FREE_SHUFFLES, "true")
+    try:
+        return stage(df, name)
+    finally:
+        conf.set(FREE_SHUFFLES, before)
+
+
 def let(value: Column, body) -> Column:
     """``body`` of ``value``, with ``value`` computed once per row however often ``body`` uses it."""
     return F.transform(F.array(value), body)[0]
