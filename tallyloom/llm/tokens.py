@@ -13,6 +13,7 @@ kept for reuse within a worker.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,8 +28,8 @@ from tallyloom.llm.texts import only, slices
 SPACE = "▁"
 
 #: Unit tables and prefixes a worker keeps; what comes later is worked out each time it is met.
-KEPT_UNITS = 500_000
-KEPT_PREFIXES = 500_000
+KEPT_UNITS = 800_000
+KEPT_PREFIXES = 800_000
 
 
 class PrefixCounter:
@@ -55,7 +56,10 @@ class PrefixCounter:
             parts, last = self.merge(piece)
             if len(parts) == 1:
                 self.made[piece] = last
-        self.longest = max(map(len, self.made))
+        #: The longest piece by its last two characters; no piece that ends so reaches back further.
+        self.reach: dict[str, int] = {}
+        for piece in self.made:
+            self.reach[piece[-2:]] = max(len(piece), self.reach.get(piece[-2:], 1))
         self.prefixes: dict[str, tuple[int, int]] = {}
         self.units: dict[str, bytes] = {}
 
@@ -107,13 +111,13 @@ class PrefixCounter:
                 if i <= 24 and len(prefixes) < KEPT_PREFIXES:
                     prefixes[prefix] = known
             start[i], count[i] = known
-        return np.array(count[1:], dtype="<i4").tobytes()
+        return array("i", count[1:]).tobytes()
 
     def _last(self, unit: str, i: int, start: list[int], count: list[int]) -> tuple[int, int]:
         """Where the last piece of ``unit[:i]`` begins, and the tokens up to its end."""
         made, beside = self.made, self.beside
         # From the longest piece that can end here; a single character always can.
-        for j in range(max(0, i - self.longest), i):
+        for j in range(max(0, i - self.reach.get(unit[i - 2:i] if i > 1 else unit[:1], 1)), i):
             piece = unit[j:i]
             if (piece in made or j == i - 1) and (j == 0 or beside(unit[start[j]:j], piece)):
                 # A character outside the vocabulary falls back to its bytes.
@@ -145,7 +149,7 @@ class PrefixCounter:
         tables = list(map(self.units.get, parts))
         if None in tables:
             tables = list(map(self._table_of, parts))
-        flat = np.frombuffer(b"".join(tables), dtype="<i4").astype(np.int64)
+        flat = np.frombuffer(b"".join(tables), dtype="i4").astype(np.int64)
         sizes = np.fromiter(map(len, tables), dtype=np.int64, count=len(tables)) >> 2
         before = np.cumsum(flat[np.cumsum(sizes) - 1])
         flat[sizes[0]:] += np.repeat(before[:-1], sizes[1:])
