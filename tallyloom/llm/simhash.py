@@ -97,9 +97,12 @@ def near_duplicates(
     """
     marked = stage(fingerprints(docs, id_col, text_col, words, seed), "fingerprints")
     roots = connected(links(marked.select("fp").distinct(), max_bits))
-    rooted = marked.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rooted.join(names, "root", "left").select("doc_id", "fp", "component_id")
+    # Names are found over distinct fingerprints; documents, of which a third may share one, only look theirs up.
+    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    rooted = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = rooted.join(names, "root").select("fp", "component_id")
+    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 # --- Near copies of a given similarity: fingerprints of single words find them, shingles confirm them. ---
