@@ -163,7 +163,8 @@ def repeated_spans(docs: DataFrame, window: int = 35, group: int = 16, hot: int
     """
     texts = only(docs, text=text_col).select(*_content_key(), F.coalesce("text", F.lit("")).alias("text"))
     table = settle(_anchor_table(texts, window, group), "anchors")
-    twice = table.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
+    # Stored on its own, so that the join below has a shuffle on either side and Spark can split a hot anchor's rows.
+    twice = settle(table.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1"), "twice")
     runs = (
         table.join(twice, "anchor").select(*KEY, F.struct("first", "windows", "anchor", (F.col("n") > hot).alias("hot")).alias("run"))
         .distinct().groupBy(*KEY).agg(F.collect_list("run").alias("runs"))
