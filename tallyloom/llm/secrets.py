@@ -45,9 +45,19 @@ BASE_RULES = (
     Rule("hex", 1, r"[0-9a-f]{32,}", 0, 32),
 )
 
-#: Rules beside the base: private key headers and prefixed personal tokens.
+#: A private key: up to its END line, before the next BEGIN; without one, over the header fields and base64 runs that
+#: follow, the last of which may be short if it has a line of its own or ends in padding.
+_BREAK = r"""(?:[\s"'>|#,;+]|\\[rn])+"""
+PEM = (
+    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+    r"(?:(?:(?!-----BEGIN )[\s\S])*?-----END [A-Z ]{0,40}PRIVATE KEY-----"
+    rf"|(?:\s*(?:Proc-Type|DEK-Info): [^\n]*)*(?:{_BREAK}[A-Za-z0-9+/]{{16,}}={{0,2}})*"
+    rf"(?:(?<=[A-Za-z0-9+/=])(?<!-----){_BREAK}(?:[A-Za-z0-9+/]+={{1,2}}|(?<=\n)[A-Za-z0-9+/]+(?=[^\S\n]*(?:\n|\Z))))?)"
+)
+
+#: Rules beside the base: whole private keys and prefixed personal tokens.
 MORE_RULES = (
-    Rule("pem", 1, r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("pem", 2, PEM),
     Rule("prefixed", 1, r"\b(?:gh[pousr]_|glpat-|xox[abprs]-)[A-Za-z0-9_-]{20,}"),
 )
 
