@@ -1,6 +1,8 @@
 """Cases in which an operator once did less than its whole job."""
 
-from tallyloom.llm import secrets
+import random
+
+from tallyloom.llm import secrets, simhash
 
 KEY_LINES = [f"MIIEvQIBADANBgkqhkiG9w0BAQEFAASC{i:02d}wggSjAgEAAoIBAQC7VJTUt9Us8c" for i in range(6)] + ["Ab3dEf"]
 
@@ -18,3 +20,17 @@ def test_no_line_of_a_private_key_survives(rows):
     for text in masked.values():
         assert text.startswith("before") and not any(line in text for line in KEY_LINES) and "KEY-----" not in text
     assert [masked[i].endswith(end) for i, end in ((0, "\nafter it"), (1, "\n\nafter it goes on"), (3, "' after it"), (4, " is how after it looks"))] == [True] * 4
+
+
+def test_near_copies_meet_beside_the_head_of_their_bucket(rows):
+    # One bag of words: every text has the same fingerprints in all tables, whatever the order of its words.
+    rng, bag = random.Random(7), [f"word{i}" for i in range(120)]
+    texts = []
+    for _ in range(12):
+        order = rng.sample(bag, len(bag))
+        texts += [" ".join(order), " ".join(order[-2:] + order[:-2])]
+    assert len({tuple(simhash.describe(t)[0]) for t in texts}) == 1
+    data = rows(list(enumerate(texts)), "doc_id long, text string")
+    group = {r.doc_id: r.group_id for r in simhash.near_copies(data).collect()}
+    assert all(group[i] == group[i + 1] for i in range(0, 24, 2)) and len(set(group.values())) == 12
+    assert sorted(r.doc_id for r in simhash.one_per_group(data).collect()) == list(range(0, 24, 2))
