@@ -10,7 +10,8 @@ distinct first.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -110,6 +111,8 @@ def near_duplicates(
 #: Words without order vary little between near copies: most pairs of similarity 0.8 lie within two bits.
 TABLES = 3
 SKETCH = 256
+#: Five standard errors of a sketch's estimate at 0.8: pairs nearer to the wanted similarity are counted in full.
+MARGIN = 0.125
 
 #: Odd numbers that derive one hash from another (fixed values without meaning).
 STIR = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
@@ -206,19 +209,55 @@ def content(text):
     return F.concat(F.hex(F.xxhash64(text)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), text)))
 
 
-def _verified(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
-    """The pairs ``(a, b)`` whose shingles are ``least`` similar."""
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(content, text)`` per row."""
+    text = F.coalesce("text", F.lit(""))
+    return only(docs, text=text_col).select(content(text).alias("content"), text.alias("text"))
+
+
+def _verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
+    """The pairs ``(a, b)`` whose shingles are ``least`` similar.
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Sketches settle the pairs they hold in whole and those whose estimate lies ``MARGIN`` or more away; for the
+    others the texts are joined back by content and all their distinct shingles counted.
+    """
+
+    def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            same = [similarity(x, y) >= least for x, y in zip(part.column("sa").to_pylist(), part.column("sb").to_pylist())]
-            yield part.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
+            sides = list(zip(part.column("sa").to_pylist(), part.column("sb").to_pylist()))
+            found = [similarity(x, y) for x, y in sides]
+            full = [8 * SKETCH in (len(x), len(y)) for x, y in sides]
+            open_ = [f and abs(e - least) < MARGIN for f, e in zip(full, found)]
+            out = pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(open_, pa.bool_())], names=["a", "b", "unsure"])
+            yield out.filter(pa.array([o or e >= least for o, e in zip(open_, found)], pa.bool_()))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for half in slices([batch], "ta"):
+                for part in slices([half], "tb"):
+                    sets: dict[str, np.ndarray] = {}
+                    same = []
+                    for a, b, ta, tb in zip(*(part.column(c).to_pylist() for c in ("a", "b", "ta", "tb"))):
+                        x, y = (sets[k] if k in sets else sets.setdefault(k, shingles(t, words)[1]) for k, t in ((a, ta), (b, tb)))
+                        shared = len(np.intersect1d(x, y, assume_unique=True))
+                        same.append(shared >= least * (len(x) + len(y) - shared))
+                    yield part.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
 
     both = (
         pairs.join(sketches.select(F.col("content").alias("a"), F.col("sketch").alias("sa")), "a")
         .join(sketches.select(F.col("content").alias("b"), F.col("sketch").alias("sb")), "b").select("a", "b", "sa", "sb")
     )
-    return both.mapInArrow(verify, "a string, b string")
+    judged = stage(both.mapInArrow(estimate, "a string, b string, unsure boolean"), "judged")
+    sure, unsure = (judged.filter(c).select("a", "b") for c in ("NOT unsure", "unsure"))
+    if unsure.isEmpty():
+        return sure
+    asked = unsure.select(F.col("a").alias("content")).unionAll(unsure.select("b")).distinct()
+    read = stage(texts.join(asked, "content", "left_semi").dropDuplicates(["content"]), "unsure_texts")
+    whole = (
+        unsure.join(read.select(F.col("content").alias("a"), F.col("text").alias("ta")), "a")
+        .join(read.select(F.col("content").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
+    )
+    return sure.unionAll(whole.mapInArrow(count, "a string, b string"))
 
 
 def _by_fingerprint(contents: DataFrame, max_bits: int) -> DataFrame:
@@ -234,7 +273,7 @@ def _by_fingerprint(contents: DataFrame, max_bits: int) -> DataFrame:
     return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
-def _by_bands(contents: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+def _by_bands(contents: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Verified pairs ``(a, b)``, ``a > b``, among contents that share a band, by rounds of leaders.
 
     A leader is compared with all members of its band; who matches it leads no more there. Who matched none leads in
@@ -250,7 +289,7 @@ def _by_bands(contents: DataFrame, sketches: DataFrame, least: float) -> DataFra
         leaders = stage(waiting.groupBy("band", seat.alias("seat")).agg(F.min("content").alias("leader")).select("band", "leader"), "leaders")
         meets = members.join(leaders, "band").filter("content <> leader")
         pairs = meets.select(F.greatest("content", "leader").alias("a"), F.least("content", "leader").alias("b")).distinct()
-        good = stage(_verified(pairs, sketches, least), "verified")
+        good = stage(verified(pairs), "verified")
         found = good if found is None else found.unionAll(good)
         both = good.select(F.col("a").alias("content"), F.col("b").alias("leader")).unionAll(good.select("b", "a"))
         matched = waiting.join(leaders, "band").join(both, ["content", "leader"], "left_semi").select("band", "content")
@@ -266,7 +305,7 @@ def near_copies(
 
     Candidates come from the ball hashing above, over fingerprints of single words under several hashes, and from
     a second key taken from the shingles (``_by_bands``), which finds the pairs that no least content of a
-    fingerprint stands for; each candidate pair is verified on its shingles. ``group_id`` is the least content
+    fingerprint stands for; each candidate pair is verified on its shingles, on all of them where a sketch leaves doubt. ``group_id`` is the least content
     that can be reached over verified links. Null and empty texts are one content; an empty table gives an empty
     result; further columns are not read.
     """
@@ -274,7 +313,8 @@ def near_copies(
     contents = rows.groupBy("content").agg(F.first("fps").alias("fps"))
     banded = rows.groupBy("content").agg(F.first("bands").alias("bands"))
     sketches = rows.groupBy("content").agg(F.first("sketch").alias("sketch"))
-    near = _verified(_by_fingerprint(contents, max_bits), sketches, least).unionAll(_by_bands(banded, sketches, least))
+    verified = partial(_verified, sketches=sketches, texts=_texts(docs, id_col, text_col), words=words, least=least)
+    near = verified(_by_fingerprint(contents, max_bits)).unionAll(_by_bands(banded, verified))
     roots = connected(near.distinct())
     return (
         rows.select("doc_id", "content").join(roots.withColumnRenamed("node", "content"), "content", "left")
