@@ -72,10 +72,14 @@ SPACES = re.compile(r"\s+")
 
 @dataclass
 class Block:
-    """The text between two block borders, its path, and how much of it is link text."""
+    """The text between two block borders, its path, and how much of it is link text.
+
+    ``around`` numbers the open elements whose class words name a part around the article.
+    """
 
     path: tuple[str, ...]
     outside: bool
+    around: frozenset[int] = frozenset()
     parts: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -101,20 +105,21 @@ def _attributes(source: str) -> tuple[str, bool]:
 def blocks(html: str) -> list[Block]:
     """Text blocks in page order. Broken markup is read as it comes: ends without a start are passed over."""
     out: list[Block] = []
-    stack: list[tuple[str, str, bool]] = []  # name, name with class, whether it lies outside the article
+    stack: list[tuple[str, str, bool, int]] = []  # name, name with class, whether it lies outside the article, number if its words say so
+    numbered = 0
     current: Block | None = None
 
     def add(text: str) -> None:
         nonlocal current
         if not text:
             return
-        names = [name for name, _, _ in stack]
+        names = [name for name, _, _, _ in stack]
         if any(name in RAW for name in names):
             return
         if current is None:
             # Formatting elements are no part of a path; a stray one would split the article.
-            path = tuple(label for name, label, _ in stack if name not in INLINE)
-            current = Block(path, any(o for _, _, o in stack))
+            path = tuple(label for name, label, _, _ in stack if name not in INLINE)
+            current = Block(path, any(o for _, _, o, _ in stack), frozenset(n for _, _, _, n in stack if n))
             out.append(current)
         plain = unescape(text)
         current.parts.append(plain)
@@ -123,7 +128,7 @@ def blocks(html: str) -> list[Block]:
 
     def close(upto: int) -> None:
         nonlocal current
-        if any(name in BLOCK for name, _, _ in stack[upto:]):
+        if any(name in BLOCK for name, _, _, _ in stack[upto:]):
             current = None
         del stack[upto:]
 
@@ -149,7 +154,7 @@ def blocks(html: str) -> list[Block]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
                     # An inline end does not reach over a block, an inner end not over its cell or list.
-                    if name not in INLINE or not any(n in BLOCK for n, _, _ in stack[k + 1:]):
+                    if name not in INLINE or not any(n in BLOCK for n, _, _, _ in stack[k + 1:]):
                         close(k)
                     break
             if name in BLOCK:
@@ -181,10 +186,30 @@ def blocks(html: str) -> list[Block]:
         words, hidden = _attributes(rest) if rest.strip() else ("", False)
         # The whole page or article may carry such a word as a layout flag; there it says nothing.
         named = bool(words) and name not in ("html", "body", "main", "article") and bool(AROUND.search(words))
+        numbered += named
         # A header inside the article holds its headline.
-        outer = name in OUTSIDE and not (name == "header" and any(n == "article" for n, _, _ in stack))
-        stack.append((name, f"{name}.{'.'.join(sorted(words.lower().split()))}" if words else name, outer or named or hidden))
-    return [b for b in out if b.text]
+        outer = name in OUTSIDE and not (name == "header" and any(n == "article" for n, _, _, _ in stack))
+        stack.append((name, f"{name}.{'.'.join(sorted(words.lower().split()))}" if words else name, outer or hidden, numbered if named else 0))
+    return _without_wrappers([b for b in out if b.text])
+
+
+def _without_wrappers(found: list[Block]) -> list[Block]:
+    """Mark what lies in elements named as parts around the article.
+
+    The words say nothing on an element that holds most of the page's unlinked text, as a page wrapper does,
+    unless an article or main with text lies beside it.
+    """
+    total, held, told = 0, defaultdict(int), [b for b in found if not b.outside]
+    for b in told:
+        prose = max(0, len(b.text) - b.linked)
+        total += prose
+        for number in b.around:
+            held[number] += prose
+    core = [b for b in told if b.linked < len(b.text) and any(label.split(".")[0] in ("article", "main") for label in b.path)]
+    wrappers = {n for n, prose in held.items() if 2 * prose > total and (not core or any(n in b.around for b in core))}
+    for b in found:
+        b.outside = b.outside or bool(b.around - wrappers)
+    return found
 
 
 def _smooth(values: np.ndarray, radius: int = 1) -> np.ndarray:

@@ -2,7 +2,9 @@
 
 import random
 
-from tallyloom.llm import secrets, simhash
+import pytest
+
+from tallyloom.llm import html, secrets, simhash
 
 KEY_LINES = [f"MIIEvQIBADANBgkqhkiG9w0BAQEFAASC{i:02d}wggSjAgEAAoIBAQC7VJTUt9Us8c" for i in range(6)] + ["Ab3dEf"]
 
@@ -48,3 +50,15 @@ def test_long_pairs_near_the_wanted_similarity_are_counted_in_full(rows):
         wanted.append(above)
     group = {r.doc_id: r.group_id for r in simhash.near_copies(rows(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert [group[2 * k] == group[2 * k + 1] for k in range(16)] == wanted
+
+
+ARTICLE = "<p>A long first paragraph, with commas, and more of it. It goes on.</p><p>Another one, which is long too, and has commas.</p>"
+
+
+@pytest.mark.parametrize("flag", ["class='with-sidebar'", "class='no-sidebar'", "id='reviews'", "class='discussion'"])
+def test_a_page_wrapper_is_no_part_around_the_article(flag):
+    page = f"<body><nav><a href=x>Home</a></nav><div {flag}><h1>Head</h1>{ARTICLE}<div class='comments'><p>Nice, thanks.</p></div></div></body>"
+    assert html.main_text(page).split("\n") == [
+        "Head", "A long first paragraph, with commas, and more of it. It goes on.", "Another one, which is long too, and has commas."]
+    beside = f"<body><article>{ARTICLE}</article><div {flag}>{3 * ARTICLE}</div></body>"
+    assert html.main_text(beside).count("first paragraph") == 1
