@@ -10,6 +10,7 @@ threshold taken from the page itself. The paths that pass select the content.
 
 from __future__ import annotations
 
+import os
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -223,9 +224,9 @@ def select(found: list[Block], share: float = 0.5) -> list[Block]:
     """The content among the blocks of one page, in page order.
 
     Each path scores its text and its punctuation per node, link text not counted. Scores are smoothed along
-    the page and fused; a path passes if its best node reaches ``share`` of the page's deviation. With the
-    path that scores best, every path of the same container passes: a short headline or a one-word paragraph
-    is told from boilerplate by where it stands, not by its length.
+    the page and fused; a path passes if its best node reaches ``share`` of the page's deviation. Every block of a
+    passing path stays. Below the lowest common ancestor of these paths short neighbours are added, no longer than
+    the longest block that passed: a headline or a one-word paragraph is told by where it stands.
     """
     inside = [b for b in found if not b.outside]
     if not inside:
@@ -245,21 +246,14 @@ def select(found: list[Block], share: float = 0.5) -> list[Block]:
             score[b.path] = max(score.get(b.path, 0.0), float(value))
     if not score:
         return []
-    # The root of the article: the container that holds most of the passing text.
-    weight: dict[tuple[str, ...], int] = defaultdict(int)
-    for path in score:
-        for depth in range(len(path) + 1):
-            weight[path[:depth]] += text[path]
-    total = sum(text[path] for path in score)
-    articles = [p for p in weight if p and p[-1].split(".")[0] in ("article", "main") and 2 * weight[p] >= total]
-    if articles:
-        root = max(articles, key=len)
-    else:
-        root = max((p for p in weight if 10 * weight[p] >= 9 * total), key=len)
-        # The longest such path may be the paragraph itself; its neighbours share the parent.
-        if root and root[-1].split(".")[0] in BLOCK - {"article", "section", "main", "div", "body", "td"}:
-            root = root[:-1]
-    return [b for b in inside if b.path[:len(root)] == root and (b.path in score or b.linked < len(b.text))]
+    # The container of the article: the lowest common ancestor of all passing paths.
+    root = tuple(os.path.commonprefix(list(score)))
+    if len(score) == 1 and root and root[-1].split(".")[0] in BLOCK - {"article", "section", "main", "div", "body", "td"}:
+        # A single path may be the paragraph itself; its neighbours share the parent.
+        root = root[:-1]
+    short = max(len(b.text) for b in inside if b.path in score)
+    near = lambda b: b.path[:len(root)] == root and b.linked < len(b.text) <= short
+    return [b for b in inside if b.path in score or near(b)]
 
 
 def main_text(html: str | None) -> str:

@@ -62,3 +62,15 @@ def test_a_page_wrapper_is_no_part_around_the_article(flag):
         "Head", "A long first paragraph, with commas, and more of it. It goes on.", "Another one, which is long too, and has commas."]
     beside = f"<body><article>{ARTICLE}</article><div {flag}>{3 * ARTICLE}</div></body>"
     assert html.main_text(beside).count("first paragraph") == 1
+
+
+def test_every_passing_path_stays_wherever_it_lies():
+    lead = "<p>The lead, which is long, has commas, and stands beside the rest. It is text.</p>"
+    nav = "<nav><a href=x>Home</a></nav>"
+    for page in (
+        f"<body>{nav}<main><section>{lead}</section><article><h1>Head</h1>{2 * ARTICLE}</article></main></body>",
+        f"<body>{nav}<article class=a><h1>Head</h1>{2 * ARTICLE}</article><article class=b>{lead}</article></body>",
+        f"<body>{nav}<div id=x><h1>Head</h1>{9 * ARTICLE}</div><div id=y>{lead}</div></body>",
+    ):
+        found = html.main_text(page)
+        assert "The lead, which" in found and "Head" in found and "Home" not in found
