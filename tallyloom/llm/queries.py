@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, html, mixing, packing, quality, secrets, simhash, substrings, tokens, topk
+from tallyloom.llm import chat, html, merkle, mixing, packing, quality, secrets, simhash, substrings, tokens, topk
 from tallyloom.llm.texts import SPACE_CLASS, importable
 
 
@@ -165,6 +165,62 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM x LEFT JOIN s ON x.lang IS NOT DISTINCT FROM s.lang AND x.source IS NOT DISTINCT FROM s.source
 """
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents; every row whose id has a checksum that 7 divides is tampered with."""
+    docs = _table(spark, sf_dir, "documents")
+    # A null id has no checksum and is left as it is.
+    picked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    rows = merkle.manifest(docs, changed={"n_chars": F.col("n_chars") + F.when(picked, 1).otherwise(0)})
+    return merkle.verified(rows).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def _leaf_sql(n_chars: str) -> str:
+    fields = ("CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({n_chars} AS VARCHAR)", "text")
+    return "sha256(" + " || ".join(f"coalesce(CAST(strlen({f}) AS VARCHAR) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+#: CRC-32 by the bits: 32-bit steps of the reversed polynomial, one list fold per byte of the decimal id.
+_CRC_SQL = """
+list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS UBIGINT))),
+            lambda a, b: list_reduce(list_prepend(xor(a, b), list_transform(range(8), lambda i: CAST(0 AS UBIGINT))),
+                                     lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, CAST(3988292384 AS UBIGINT)) ELSE x // 2 END))
+"""
+
+OP13_SQL = f"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS r, doc_id, lang, {_leaf_sql('n_chars')} AS leaf,
+           {_leaf_sql('n_chars + CASE WHEN xor(' + _CRC_SQL + ', CAST(4294967295 AS UBIGINT)) % 7 = 0 THEN 1 ELSE 0 END')} AS changed
+    FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d),
+tree(lang, lvl, i, h, n) AS (
+    SELECT lang, 0, i, leaf, count(*) OVER (PARTITION BY lang) FROM leaves
+    UNION ALL
+    SELECT lang, lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2 FROM tree WHERE n > 1 GROUP BY lang, lvl, i // 2, n),
+subs AS (SELECT lang, lvl AS height, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM tree WHERE n = 1),
+top(lvl, i, h, n) AS (
+    SELECT 0, i, subroot, n FROM subs
+    UNION ALL
+    SELECT lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2 FROM top WHERE n > 1 GROUP BY lvl, i // 2, n),
+-- Every node of both trees with its level and place on the way up from a leaf; a language's own tree first.
+fold(r, doc_id, leaf, lang, lvl, i, s, height, node, proof, done) AS (
+    SELECT r, doc_id, leaf, l.lang, 0, l.i, subs.i, height, changed, '', false FROM leaves l JOIN subs ON l.lang IS NOT DISTINCT FROM subs.lang
+    UNION ALL
+    SELECT r, doc_id, leaf, f.lang, f.lvl + 1, CASE WHEN f.lvl < height THEN f.i // 2 ELSE f.i END,
+           CASE WHEN f.lvl < height THEN s ELSE s // 2 END, height,
+           CASE WHEN f.lvl >= height AND top.n = 1 THEN node
+                WHEN (CASE WHEN f.lvl < height THEN f.i ELSE s END) % 2 = 1 THEN sha256(coalesce(x.h, y.h, '') || node)
+                ELSE sha256(node || coalesce(x.h, y.h, '')) END,
+           proof || coalesce(x.h, y.h, ''), f.lvl >= height AND top.n = 1
+    FROM fold f
+    LEFT JOIN tree x ON f.lvl < height AND x.lang IS NOT DISTINCT FROM f.lang AND x.lvl = f.lvl AND x.i = xor(f.i, 1)
+    LEFT JOIN top y ON f.lvl >= height AND y.lvl = f.lvl - height AND y.i = xor(s, 1)
+    LEFT JOIN (SELECT DISTINCT lvl, n FROM top) top ON top.lvl = f.lvl - height
+    WHERE NOT done)
+SELECT doc_id, leaf, subroot, (SELECT h FROM top WHERE n = 1) AS root, sha256(proof) AS proof_sha256,
+       node AS folded_root, node = (SELECT h FROM top WHERE n = 1) AS verified
+FROM fold JOIN subs ON fold.lang IS NOT DISTINCT FROM subs.lang WHERE done
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substrings": op1_substrings,
     "op2_token_counts": op2_token_counts,
@@ -176,6 +232,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
+    "op13_manifest": op13_manifest,
 }
 
 SQL: dict[str, str] = {
@@ -183,4 +240,5 @@ SQL: dict[str, str] = {
     "op3_top_k": OP3_SQL,
     "op7_chat": OP7_SQL,
     "op10_quality": OP10_SQL,
+    "op13_manifest": OP13_SQL,
 }
