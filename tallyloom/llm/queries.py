@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, html, merkle, mixing, packing, quality, secrets, simhash, substrings, tokens, topk
+from tallyloom.llm import chat, clusters, html, merkle, mixing, packing, quality, secrets, simhash, substrings, tokens, topk
 from tallyloom.llm.texts import SPACE_CLASS, importable
 
 
@@ -165,6 +165,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM x LEFT JOIN s ON x.lang IS NOT DISTINCT FROM s.lang AND x.source IS NOT DISTINCT FROM s.source
 """
 
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors around 40 centroids, after five rounds."""
+    return clusters.cluster(_table(spark, sf_dir, "embeddings"), k=40, rounds=5, scale=256, dims=64, salt="2")
+
+
+def _nearest_sql(centroids: str) -> str:
+    return f"""
+    SELECT r, arg_min(k, (d, k)) AS k, min(d) AS d
+    FROM (SELECT r, c.k, list_sum(list_transform(range(1, 65), lambda i: (p.v[i] - c.v[i]) * (p.v[i] - c.v[i])))::BIGINT AS d FROM v p, {centroids} c)
+    GROUP BY r"""
+
+
+def _moved_sql(assigned: str, centroids: str) -> str:
+    return f"""
+    SELECT k, coalesce(s.v, c.v) AS v FROM {centroids} c LEFT JOIN (
+        SELECT k, list((x - (x % n + n) % n) // n ORDER BY i) AS v
+        FROM (SELECT k, i, sum(x)::HUGEINT AS x, count(*) AS n FROM (SELECT k, unnest(v.v) AS x, unnest(range(1, 65)) AS i FROM {assigned} JOIN v USING (r)) GROUP BY k, i)
+        GROUP BY k) s USING (k)"""
+
+
+OP12_SQL = f"""
+WITH v AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))::HUGEINT) AS v
+    FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+    SELECT CAST(row_number() OVER (ORDER BY h NULLS LAST, v) - 1 AS INTEGER) AS k, v
+    FROM (SELECT sha256('2:' || vec_id) AS h, v FROM v ORDER BY h NULLS LAST, v LIMIT 40)),
+{"".join(f"a{n} AS MATERIALIZED ({_nearest_sql(f'c{n}')}),c{n + 1} AS MATERIALIZED ({_moved_sql(f'a{n}', f'c{n}')})," for n in range(5))}
+a AS MATERIALIZED ({_nearest_sql('c5')})
+SELECT vec_id, a.k AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c5.v, ',')) AS centroid_sha256
+FROM a JOIN v USING (r) JOIN c5 ON c5.k = a.k
+"""
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle manifest of all documents; every row whose id has a checksum that 7 divides is tampered with."""
     docs = _table(spark, sf_dir, "documents")
@@ -232,6 +267,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
+    "op12_clusters": op12_clusters,
     "op13_manifest": op13_manifest,
 }
 
@@ -240,5 +276,6 @@ SQL: dict[str, str] = {
     "op3_top_k": OP3_SQL,
     "op7_chat": OP7_SQL,
     "op10_quality": OP10_SQL,
+    "op12_clusters": OP12_SQL,
     "op13_manifest": OP13_SQL,
 }
