@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, clusters, html, merkle, mixing, packing, quality, secrets, simhash, substrings, tokens, topk
+from tallyloom.llm import chat, clusters, grammar, html, merkle, mixing, packing, quality, secrets, simhash, substrings, tokens, topk
 from tallyloom.llm.texts import SPACE_CLASS, importable
+from tallyloom.sources.tables import work_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -165,6 +166,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM x LEFT JOIN s ON x.lang IS NOT DISTINCT FROM s.lang AND x.source IS NOT DISTINCT FROM s.source
 """
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids, written to grammar-compressed files and read back."""
+    path = work_folder(spark, "token_files")
+    grammar.write_ids(_table(spark, sf_dir, "documents"), path, tokenizer="word_bpe_49k.json", end_id=1)
+    return grammar.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors around 40 centroids, after five rounds."""
     return clusters.cluster(_table(spark, sf_dir, "embeddings"), k=40, rounds=5, scale=256, dims=64, salt="2")
@@ -267,6 +275,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
+    "op11_token_files": op11_token_files,
     "op12_clusters": op12_clusters,
     "op13_manifest": op13_manifest,
 }
