@@ -14,6 +14,7 @@ takes whole arrays at a time.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from struct import pack
@@ -29,8 +30,8 @@ from tallyloom.llm.texts import FREE_SHUFFLES, only, slices
 #: Ids of a block at which it is closed. A document is never parted, so a block is at least one document.
 BLOCK_IDS = 1 << 20
 
-#: Words whose ids a worker holds; it begins anew when they are too many.
-HELD_WORDS = 600_000
+#: Runs, and words, whose ids a worker holds; it begins anew when they are too many.
+HELD_WORDS = 400_000
 
 #: A round replaces pairs down to this part of the count that the round before began with.
 STEP = 6
@@ -38,19 +39,21 @@ STEP = 6
 #: Symbols below are token ids, symbols from here on are rules.
 FIRST_RULE = 1 << 20
 
-#: ASCII punctuation that forms one run behind letters. The apostrophe begins contractions and is left out.
-PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-
 #: Control characters that Python takes for white space and the tokenizer does not.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
+#: Fixed value: the runs that the tokenizer parts a text into, for text in lower case below U+0100.
+_LETTERS, _DIGITS, _SPACES = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be", "\t-\r \x85\xa0"
+RUNS = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}{_SPACES}]+")
+
+
 class WordEncoder:
     """Ids of a BPE tokenizer that drops white space, as little-endian 32-bit numbers.
 
-    White space ends a token, so words are encoded one by one and their ids are held for the next time. A word of
-    plain letters goes straight to the merges, in lower case, with the punctuation behind it as a run of its own; any
-    other word goes to the tokenizer.
+    No token crosses from one run of letters, digit or run of punctuation to the next, so a text in Latin letters is
+    parted into runs, whose ids are held for the next time they come. Of other texts, words are encoded one by one, as
+    white space ends a token; a text with a special token is encoded whole.
     """
 
     def __init__(self, path: str):
@@ -59,57 +62,64 @@ class WordEncoder:
 
         self.whole = Tokenizer.from_file(path)
         self.merge = self.whole.model.tokenize
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         # Bytes that print stand for themselves, the others for characters from 256 on, in order.
         prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
         self.letters = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in prints)}
-        self.words: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _run(self, run: str) -> bytes:
-        """A run that the tokenizer does not part: letters in lower case, or punctuation."""
+        """The ids of a run, straight from the merges."""
         got = self.runs.get(run)
         if got is None:
-            spelled = run if run.isascii() else run.encode("utf-8").decode("latin-1").translate(self.letters)
+            spelled = run if run.isascii() and run.isalpha() else run.encode("utf-8").decode("latin-1").translate(self.letters)
             ids = [t.id for t in self.merge(spelled)]
             got = pack(f"<{len(ids)}I", *ids)
-            if len(self.runs) >= HELD_WORDS:
-                self.runs.clear()
-            if len(run) <= 64:
-                self.runs[run] = got
+            _hold(self.runs, run, got)
         return got
 
     def _word(self, word: str) -> bytes:
         got = self.words.get(word)
-        if got is not None:
-            return got
-        stem = word.rstrip(PUNCTUATION)
-        low = stem.lower()
-        # Up to U+024F letters are composed already, and lower case is letter by letter.
-        if low.isalpha() and stem.isalpha() and (stem.isascii() or max(stem) < "ɐ" and max(low) < "ɐ"):
-            got = self._run(low)
-            if len(stem) < len(word):
-                got += self._run(word[len(stem):])
-        else:
+        if got is None:
             got = self._encode(word)
-        if len(self.words) >= HELD_WORDS:
-            self.words.clear()
-        if len(word) <= 64:
-            self.words[word] = got
+            _hold(self.words, word, got)
         return got
 
     def encode(self, text: str) -> bytes:
-        if any(c in text for c in SEPARATORS):
+        if any(s in text for s in self.special):
             return self._encode(text)
-        words = text.split()
-        found = list(map(self.words.get, words))
+        if _is_latin(text):
+            parts, known, work_out = RUNS.findall(text.lower()), self.runs, self._run
+        elif any(c in text for c in SEPARATORS):
+            return self._encode(text)
+        else:
+            parts, known, work_out = text.split(), self.words, self._word
+        found = list(map(known.get, parts))
         if None in found:
-            found = [self._word(w) if ids is None else ids for w, ids in zip(words, found)]
+            found = [work_out(part) if ids is None else ids for part, ids in zip(parts, found)]
         return b"".join(found)
 
 
+def _hold(known: dict[str, bytes], text: str, ids: bytes) -> None:
+    if len(known) >= HELD_WORDS:
+        known.clear()
+    if len(text) <= 64:
+        known[text] = ids
+
+
+def _is_latin(text: str) -> bool:
+    """Whether all characters lie below U+0100."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> WordEncoder:
     """One encoder per worker, with the words it holds."""
@@ -352,10 +362,12 @@ def read_ids(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFram
                 grammar = _grammar(row)
                 ends = np.cumsum(row["lengths"])
                 begins = ends - row["lengths"]
+                # All documents of the block are wanted, so it is expanded once.
+                ids = grammar.ids(0, int(ends[-1])).astype("<u4").tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
                         names.slice(i, 1).flatten(), pa.array(begins + starts[row["part"]] + row["part_start"]), pa.array(row["lengths"], pa.int64()),
-                        pa.array([grammar.ids(a, b).astype("<u4").tobytes() for a, b in zip(begins.tolist(), ends.tolist())], pa.binary()),
+                        pa.array([ids[4 * a:4 * b] for a, b in zip(begins.tolist(), ends.tolist())], pa.binary()),
                     ],
                     names=["doc_id", "start", "n_tokens", "ids"],
                 )

@@ -135,15 +135,28 @@ def test_odd_texts_have_the_ids_of_the_library(tokenizer, encoder, text):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.sampled_from([*"abzABZßÄéñIİ ,.!?'\"-0 \n\t\x1c ", "'s", "<|endoftext|>", "word", "́", "Σ", "ͅ", "ŉ", "漢"]), max_size=30).map("".join))
+@given(st.lists(st.sampled_from([*"abzABZßÄéñIİ ,.!?'\"-0 \n\t\x1c ", "'s", "<|endoftext|>", "<|", "word", *"\u0301\u00b5\u00b2\u00bd\u00df\u00ff\u00d7\u00f7\u00aa\x00\x7f\x85\xa0\xad"]), max_size=30).map("".join))
 def test_any_text_has_the_ids_of_the_library(tokenizer, encoder, text):
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([*"abAB ,.'0 \n", "'ll", "word", "́", "Σ", "ͅ", "ŉ", "漢", "İ", "\u2003", "\u2019", "\u20ac"]), max_size=30).map("".join))
+def test_any_text_beyond_latin_has_the_ids_of_the_library(tokenizer, encoder, text):
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=40))
+def test_any_unicode_text_has_the_ids_of_the_library(tokenizer, encoder, text):
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_a_full_word_table_begins_anew(tokenizer, monkeypatch):
     monkeypatch.setattr(grammar, "HELD_WORDS", 3)
-    encoder, text = grammar.WordEncoder(public_tokenizers.path("word_bpe_49k.json")), "one two, three four! five six two one."
+    encoder, text = grammar.WordEncoder(public_tokenizers.path("word_bpe_49k.json")), "one two, three four! five six two one. "
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode(text + "漢"), "<u4").tolist() == tokenizer.encode(text + "漢", add_special_tokens=False).ids
     assert len(encoder.words) <= 3 and len(encoder.runs) <= 3
 
 
