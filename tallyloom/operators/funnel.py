@@ -10,6 +10,7 @@ pairs or users needs no distinct aggregate further on.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import age_as_of, blank_to_null, ci_key, mean_ticket, pop_stddev
 from tallyloom.functions.measures import MONEY, SQUARES, TOTAL
 from tallyloom.params import DateWindow, Payment
+from tallyloom.sources import versions
 
 PAIR = ["user_id", "event_id"]
 
@@ -160,14 +162,51 @@ def first_activity(abstracts: DataFrame) -> DataFrame:
     return abstracts.groupBy("user_id").agg(F.min("statusdate").alias("first_abs_date"))
 
 
-def with_returning(pairs: DataFrame, abstracts: DataFrame, window: DateWindow) -> DataFrame:
+def merge_first_activity(abstracts: DataFrame, path: str, until: dt.date) -> DataFrame:
+    """The stored table of first submissions, brought up to the day before ``until``.
+
+    Only days that no earlier call has read are scanned. They are added up to one row per user and merged with the
+    stored rows, and the table changes as a whole together with the day it has come to; a call for a day it has
+    reached already changes nothing. A first submission that arrives with a date before that day is merged by
+    ``merge_late_activity``.
+    """
+    spark, date = abstracts.sparkSession, F.col("statusdate")
+    stored = versions.latest(spark, path)
+    if stored is not None and stored.notes["until"] >= until.isoformat():
+        return versions.read(spark, path)
+    days = abstracts.filter(date < F.lit(until))
+    if stored is not None:
+        days = days.filter(date >= F.lit(dt.date.fromisoformat(stored.notes["until"])))
+    return _merged_activity(days, path, until.isoformat())
+
+
+def merge_late_activity(late: DataFrame, path: str) -> DataFrame:
+    """Take in submissions of days the table has passed. Repeating it changes nothing: the least date stays."""
+    stored = versions.latest(late.sparkSession, path)
+    until = stored.notes["until"]
+    return _merged_activity(late.filter(F.col("statusdate") < F.lit(dt.date.fromisoformat(until))), path, until)
+
+
+def _merged_activity(days: DataFrame, path: str, until: str) -> DataFrame:
+    fresh = first_activity(days)
+    if versions.latest(days.sparkSession, path) is not None:
+        both = versions.read(days.sparkSession, path).unionByName(fresh)
+        fresh = both.groupBy("user_id").agg(F.min("first_abs_date").alias("first_abs_date"))
+    return versions.reload(fresh, path, notes={"until": until})
+
+
+def with_returning(pairs: DataFrame, abstracts: DataFrame, window: DateWindow, first: DataFrame | None = None) -> DataFrame:
     """Mark pairs of users who had submitted before the window.
 
     A user in ``pairs`` has a submission in the window, so the first one ever is
-    either before it or in it: only the rows before the window need reading.
+    either before it or in it. ``first`` is the stored table of first submissions (``merge_first_activity``); without
+    it the rows before the window are read.
     """
-    known = earlier_submitters(abstracts, window).withColumn("_known", F.lit(True))
-    return pairs.join(known, "user_id", "left").withColumn(
+    if first is None:
+        known = earlier_submitters(abstracts, window)
+    else:
+        known = first.filter(F.col("first_abs_date") < F.lit(window.start)).select("user_id")
+    return pairs.join(known.withColumn("_known", F.lit(True)), "user_id", "left").withColumn(
         "returning", F.coalesce("_known", F.lit(False))
     ).drop("_known")
 
@@ -205,13 +244,13 @@ def event_names(events: DataFrame) -> DataFrame:
 def per_user_with_events(pairs: DataFrame, events: DataFrame) -> DataFrame:
     """``per_user`` with the conferences submitted to and those paid for.
 
-    Ids are in ascending order and names in the order of their smallest id, each
-    name once. A conference missing from ``events`` has an id but no name. A
+    Ids are in ascending order and names in the order of their smallest id. Names
+    of different spelling are one, shown by the least spelling. A conference missing from ``events`` has an id but no name. A
     user's list is as long as the number of conferences at most.
     """
-    entry = F.struct("event_id", "event_name")
+    entry = F.struct("event_id", "event_name", "name_key")
     lists = roll_up(
-        pairs.join(event_names(events), "event_id", "left"),
+        pairs.join(event_names(events).withColumn("name_key", ci_key(F.col("event_name"))), "event_id", "left"),
         ["user_id"],
         F.array_sort(F.collect_list(entry)).alias("submitted"),
         F.array_sort(F.collect_list(F.when(F.col("paid_rows") > 0, entry))).alias("paid"),
@@ -219,7 +258,8 @@ def per_user_with_events(pairs: DataFrame, events: DataFrame) -> DataFrame:
     texts = []
     for flag in ("submitted", "paid"):
         ids = f"transform({flag}, e -> CAST(e.event_id AS string))"
-        names = f"array_distinct(filter(transform({flag}, e -> e.event_name), n -> n IS NOT NULL))"
+        keys = f"array_distinct(filter(transform({flag}, e -> e.name_key), k -> k IS NOT NULL))"
+        names = f"transform({keys}, k -> array_min(transform(filter({flag}, e -> e.name_key = k), e -> e.event_name)))"
         # NULL rather than an empty text where there is nothing to list.
         texts += [
             f"if(size({entries}) > 0, array_join({entries}, ','), NULL) AS {flag}_event_{what}"

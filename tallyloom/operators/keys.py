@@ -35,22 +35,45 @@ def number_new_members(
     return _numbered(new, natural, id_name, largest, bucket_digits)
 
 
+def number_missing(
+    rows: DataFrame, natural: list[str], id_name: str, bucket_digits: int = BUCKET_DIGITS
+) -> DataFrame:
+    """``rows`` with an id for those that have none, after the largest there is.
+
+    Known and new members come as one table and are read once: it is stored with its buckets, and the largest id,
+    the bucket sizes and the numbers are all taken from there.
+    """
+    keyed = stage(_bucketed(rows, natural, bucket_digits), f"with_{id_name}")
+    largest = keyed.agg(F.coalesce(F.max(id_name), F.lit(0).cast("long"))).scalar()
+    known = keyed.filter(F.col(id_name).isNotNull()).select(*rows.columns)
+    fresh = keyed.filter(F.col(id_name).isNull()).drop(id_name)
+    others = [c for c in rows.columns if c != id_name]
+    return known.unionByName(_in_bucket_order(fresh, others, natural, id_name, largest))
+
+
+def _bucketed(members: DataFrame, natural: list[str], bucket_digits: int) -> DataFrame:
+    text = F.concat_ws("\u001f", *[F.col(c).cast("string") for c in natural])
+    return members.withColumn("_bucket", F.substring(F.md5(text), 1, bucket_digits))
+
+
 def _numbered(members: DataFrame, natural: list[str], id_name: str, after: Column, bucket_digits: int) -> DataFrame:
+    """The members are written once, since both the bucket sizes and the numbering read them."""
+    keyed = stage(_bucketed(members, natural, bucket_digits), f"new_{id_name}")
+    return _in_bucket_order(keyed, members.columns, natural, id_name, after)
+
+
+def _in_bucket_order(keyed: DataFrame, columns: list[str], natural: list[str], id_name: str, after: Column) -> DataFrame:
     """Numbers run bucket by bucket in a hash of the natural key, and in key order within a bucket.
 
     They depend on the data only, not on how it is partitioned, and no window
     spans the whole table: the running total below is over the bucket sizes, at
-    most 16 to the power of ``bucket_digits``. The members are written once, since both the sizes and the
-    numbering read them.
+    most 16 to the power of the bucket's digits.
     """
-    text = F.concat_ws("\u001f", *[F.col(c).cast("string") for c in natural])
-    bucketed = members.withColumn("_bucket", F.substring(F.md5(text), 1, bucket_digits))
-    keyed = stage(bucketed, f"new_{id_name}")
     sizes = keyed.groupBy("_bucket").agg(F.count("*").alias("_size"))
     so_far = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select("_bucket", F.coalesce(F.sum("_size").over(so_far), F.lit(0)).alias("_before"))
     place = F.row_number().over(Window.partitionBy("_bucket").orderBy(*natural))
     number = F.col("_before") + F.col("_place") + after
     return keyed.withColumn("_place", place).join(F.broadcast(before), "_bucket").select(
-        number.cast("long").alias(id_name), *members.columns
+        number.cast("long").alias(id_name), *columns
     )

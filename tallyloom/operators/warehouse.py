@@ -26,7 +26,7 @@ from tallyloom.functions import (
     person_key_without_context,
     plain_address,
 )
-from tallyloom.operators.keys import assign_surrogate_keys, number_new_members
+from tallyloom.operators.keys import assign_surrogate_keys, number_missing
 from tallyloom.sources.tables import delete_where
 
 # Meetings whose year is set by hand.
@@ -152,18 +152,24 @@ def split_email_columns(author: DataFrame) -> DataFrame:
     )
 
 
-def upsert_dimension(dim: DataFrame, new: DataFrame, key: str, id_name: str) -> DataFrame:
-    """Known members take the new attributes where there are any; others are added.
+def merged_members(dim: DataFrame, new: DataFrame, key: str, id_name: str) -> DataFrame:
+    """Known and new members side by side in one full outer join; new ones have no id yet.
 
-    ``key`` is unique on both sides.
+    Known members take the new attributes where there are any. ``key`` is unique on both sides.
     """
     attributes = [c for c in dim.columns if c not in (key, id_name)]
     update = new.select(key, *[F.col(c).alias(f"_new_{c}") for c in attributes])
-    known = dim.join(update, key, "left").select(
+    return dim.join(update, key, "full_outer").select(
         id_name, key, *[F.coalesce(f"_new_{c}", c).alias(c) for c in attributes]
     )
-    added = number_new_members(new.select(key, *attributes), [key], id_name, dim)
-    return known.unionByName(added).select(*dim.columns)
+
+
+def upsert_dimension(dim: DataFrame, new: DataFrame, key: str, id_name: str) -> DataFrame:
+    """Known members take the new attributes where there are any; others are added and numbered.
+
+    Both sides are read once (``merged_members``).
+    """
+    return number_missing(merged_members(dim, new, key, id_name), [key], id_name).select(*dim.columns)
 
 
 def with_match_keys(staging: DataFrame, person: Column) -> DataFrame:
@@ -228,7 +234,10 @@ def with_authors(rows: DataFrame, dims: Dimensions, identity: str, load_no: int
     repeated, and different where a later load takes a staging row again under another identity.
     """
     authors = dims.author.select("author_id", F.col(dims.author_key).alias(f"_{identity}"))
-    found = rows.join(authors, f"_{identity}").withColumn("award_id", F.col("id") + load_no * LOAD_STEP)
+    # Beyond the step, ids of one load would be those of another.
+    outside = F.raise_error(F.concat(F.lit(f"staging ids must lie below {LOAD_STEP}: "), F.col("id").cast("string")))
+    checked = F.when((F.col("id") >= 0) & (F.col("id") < LOAD_STEP), F.col("id")).otherwise(outside.cast("long"))
+    found = rows.join(authors, f"_{identity}").withColumn("award_id", checked + load_no * LOAD_STEP)
     return found.select(*FACT_COLUMNS)
 
 

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+from tallyloom.functions.text import EMAIL_PATTERN
 from tallyloom.oracle.views import day, instant, pct, statement
 
-_ADDRESS = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-
 
 def address(text: str) -> str:
-    return f"lower(trim(coalesce(nullif(regexp_extract({text}, '{_ADDRESS}'), ''), {text}), ' '))"
+    return f"lower(trim(coalesce(nullif(regexp_extract({text}, '{EMAIL_PATTERN}'), ''), {text}), ' '))"
 
 
 def plain(text: str) -> str:
@@ -113,6 +112,16 @@ WHERE lower(trim(y.response, ' ')) = 'yes'
   AND a.created_at >= DATE '{later[0]}' AND a.created_at < DATE '{later[1]}'"""),
     }
 
+    queries["cmp_yes_before_abstract"] = statement(f"""
+SELECT u.id AS user_id, a.id AS abstract_id, {day('a.created_at')} AS abstract_created_at, count(*) AS yes_count,
+  {instant('min(y.created_at)')} AS first_yes_at, {instant('max(y.created_at)')} AS last_yes_at
+FROM yes_no_form y JOIN users u ON lower(trim(u.email, ' ')) = {address('y.email')}
+JOIN abstract_submissions a ON a.user_id = u.id AND a.created_at >= y.created_at
+WHERE lower(trim(y.response, ' ')) = 'yes'
+  AND y.created_at >= DATE '{open_since[0]}' AND y.created_at < DATE '{open_since[1]}'
+  AND a.created_at >= DATE '{later[0]}' AND a.created_at < DATE '{later[1]}'
+GROUP BY u.id, a.id, a.created_at""")
+
     def named(fields: list[str]) -> dict[str, str]:
         return {f: contact_names.get(f, f) for f in fields}
 

@@ -61,8 +61,8 @@ FROM paid p JOIN home h USING (user_id) GROUP BY ALL"""
 
     def names(pairs: str, flag: str) -> str:
         return f"""SELECT user_id, string_agg(event_name, ',' ORDER BY first_id) AS {flag}_event_names FROM (
-  SELECT x.user_id, t.event_name, min(t.event_id) AS first_id
-  FROM {pairs} x JOIN titled t USING (event_id) GROUP BY ALL) GROUP BY user_id"""
+  SELECT x.user_id, min(t.event_name) AS event_name, min(t.event_id) AS first_id
+  FROM {pairs} x JOIN titled t USING (event_id) GROUP BY x.user_id, lower(strip_accents(t.event_name))) GROUP BY user_id"""
 
     def ids(pairs: str, flag: str) -> str:
         return f"""SELECT user_id, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS {flag}_event_ids

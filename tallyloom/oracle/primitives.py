@@ -13,6 +13,11 @@ _INSIDE = f"statusdate >= DATE '{_START}' AND statusdate < DATE '{_END}'"
 _EUR = "status = 1 AND currency_type = 'EUR' AND total_price IS NOT NULL"
 
 
+#: The name of a mailer by its number.
+_SOURCE = """CASE mailer_no WHEN 0 THEN 'emails2' WHEN 1 THEN 'emails2_' WHEN 2 THEN 'emails3'
+  WHEN 3 THEN 'reminders' WHEN 4 THEN 'campaign_aml' ELSE 'campaign_amf' END"""
+
+
 def _age(at: str) -> str:
     born = "date_of_birth"
     return (f"CAST(year(DATE '{at}') - year({born}) - CASE WHEN (month(DATE '{at}'), day(DATE '{at}')) "
@@ -45,8 +50,7 @@ WHERE trim(affiliation, ' ') <> ''""",
     queries = {
         "io01_scan": f"""SELECT id, first_name, last_name, email, affiliation, {day('date_of_birth')} AS date_of_birth,
   CAST(country_id AS BIGINT) AS country_id, {day('created_at')} AS created_at FROM users""",
-        "io02_union_sources": """SELECT CASE mailer_no WHEN 0 THEN 'emails2' WHEN 1 THEN 'emails2_' WHEN 2 THEN 'emails3'
-  WHEN 3 THEN 'reminders' WHEN 4 THEN 'campaign_aml' ELSE 'campaign_amf' END AS source,
+        "io02_union_sources": f"""SELECT {_SOURCE} AS source,
   count(*) AS mailings, max(id) AS last_id FROM mailers GROUP BY 1""",
         "io04_temp_view": """SELECT CAST(country_id AS BIGINT) AS country_id, count(*) AS users FROM users
 WHERE created_at >= DATE '1999-07-01' GROUP BY 1""",
@@ -63,9 +67,9 @@ WHERE statusdate >= DATE '{_YEAR_START}' AND statusdate < DATE '{_YEAR_END}'""",
         "io09_delete_where": """SELECT id, CAST(country_id AS BIGINT) AS country_id FROM users
 WHERE country_id <= 12 OR country_id IS NULL""",
         "io12_update_join": """SELECT u.id AS user_id, coalesce(l.p2, u.affiliation) AS affiliation FROM users u LEFT JOIN (
-  SELECT """ + address("to_address") + """ AS addr, nullif(trim(p2, ' '), '') AS p2 FROM mailers WHERE mailer_no IN (0, 1)
+  SELECT """ + address("to_address") + """ AS addr, nullif(trim(p2, ' '), '') AS p2 FROM mailers
   QUALIFY row_number() OVER (PARTITION BY addr ORDER BY coalesce(date_sent, date_added) DESC NULLS LAST,
-    mailer_no DESC, id DESC) = 1) l ON l.addr = lower(trim(u.email, ' '))""",
+    """ + _SOURCE + """ DESC, id DESC) = 1) l ON l.addr = lower(trim(u.email, ' '))""",
         "io14_column_defaults": """SELECT id, email, '2000-09-30 12:00:00.000000' AS created_at,
   CAST(0 AS BIGINT) AS email_is_pseudo FROM users""",
         "p01_projection": f"""SELECT s_suppkey AS id, s_name AS name, CASE WHEN s_acctbal < 0 THEN 'owes'
@@ -102,7 +106,7 @@ WHERE EXISTS (SELECT 1 FROM subs s WHERE s.user_id = r.user_id AND s.event_id =
         "j13_latest_touch": f"""SELECT f.id, f.addr AS email_norm, {instant('f.created_at')} AS answered_at,
   t.category AS award_category
 FROM (SELECT id, created_at, {address('email')} AS addr FROM yes_no_form) f
-ASOF LEFT JOIN (SELECT addr, sent_at, max(category) AS category FROM touches WHERE mailer_no IN (0, 1) GROUP BY ALL) t
+ASOF LEFT JOIN (SELECT addr, sent_at, max(category) AS category FROM touches GROUP BY ALL) t
   ON t.addr = f.addr AND f.created_at >= t.sent_at""",
         "j18_densify": """SELECT k.event_id, coalesce(s.n, 0) AS submitted, coalesce(i.n, 0) AS invoices,
   CAST(c.id IS NOT NULL AS BIGINT) AS is_known
@@ -190,9 +194,9 @@ FROM touches t JOIN users u ON lower(trim(u.email, ' ')) = t.addr LEFT JOIN coun
 WHERE t.mailer_no IN (0, 1) GROUP BY c.name, lower(t.category)""",
         "c06_latest_contact": """SELECT addr AS email_norm, p1, p2, subject, template_name FROM (
   SELECT """ + address("to_address") + """ AS addr, nullif(trim(p1, ' '), '') AS p1, nullif(trim(p2, ' '), '') AS p2,
-    subject, template_name FROM mailers WHERE mailer_no IN (2, 3)
+    subject, template_name FROM mailers
   QUALIFY row_number() OVER (PARTITION BY addr ORDER BY coalesce(date_sent, date_added) DESC NULLS LAST,
-    mailer_no DESC, id DESC) = 1)""",
+    """ + _SOURCE + """ DESC, id DESC) = 1)""",
         "d06_members_within_country": f"""SELECT {norm('country')} AS country_key, {norm('affiliation')} AS affiliation_key,
   min(trim(affiliation, ' ')) AS affiliation_name FROM stg_awards WHERE {norm('affiliation')} <> '' GROUP BY ALL""",
     }

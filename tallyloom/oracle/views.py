@@ -6,7 +6,8 @@ import re
 
 VIEWS = {
     "countries": "SELECT n_nationkey AS id, n_name AS name FROM nation",
-    "conferences": "SELECT p_partkey AS id, CASE WHEN p_partkey = 3 THEN NULL ELSE p_name END AS name FROM part",
+    "conferences": """SELECT p_partkey AS id, CASE p_partkey WHEN 3 THEN NULL WHEN 4 THEN 'Joint Meeting' WHEN 6 THEN 'JOINT Mééting'
+  WHEN 8 THEN 'joint meeting' ELSE p_name END AS name FROM part""",
     "users": """SELECT c_custkey AS id,
   CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE substr(c_name,1,8) END AS first_name,
   substr(c_name,10) AS last_name,

@@ -60,7 +60,7 @@ def _totals(users: DataFrame, keys: list[str], *extra) -> DataFrame:
 
 def _located(inputs: Inputs, window: DateWindow, blank: str | None) -> DataFrame:
     """The pairs with their user's place, stored: every figure of a table is read from them."""
-    pairs = funnel.with_returning(inputs.pairs(window), inputs.abstracts, window)
+    pairs = funnel.with_returning(inputs.pairs(window), inputs.abstracts, window, inputs.first)
     return stage(pairs.join(inputs.user_dim(blank), "user_id"), "pairs")
 
 
@@ -102,7 +102,11 @@ def geo_event(inputs: Inputs, window: DateWindow, blank: str | None = "Unknown")
     table = _assemble(
         _totals(located, keys), _best(site, keys, "affiliation", "affiliation_key", "affiliations"), keys
     )
-    return _with_conference(table, inputs.events)
+    return _best_first(_with_conference(table, inputs.events), "country_name", "event_id")
+
+
+def _best_first(table: DataFrame, *names: str) -> DataFrame:
+    return table.orderBy(F.desc("revenue_EUR"), F.desc("conversion_pct"), *names)
 
 
 def _with_conference(table: DataFrame, events: DataFrame) -> DataFrame:
@@ -125,7 +129,7 @@ def country(inputs: Inputs, window: DateWindow, top_affiliations: bool = False)
             users.filter("affiliation_key != 'unknown'"), keys, "affiliation_key", F.min("affiliation").alias("affiliation")
         )
         parts += _best(site, keys, "affiliation", "affiliation_key", "affiliations")
-    return _assemble(_totals(users, keys), parts, keys)
+    return _best_first(_assemble(_totals(users, keys), parts, keys), "country_name")
 
 
 def affiliation(inputs: Inputs, window: DateWindow) -> DataFrame:
@@ -146,7 +150,7 @@ def affiliation(inputs: Inputs, window: DateWindow) -> DataFrame:
         *_conference_parts(_conferences(located, keys), keys, inputs.events),
     ]
     totals = _totals(users, keys, F.min("affiliation").alias("affiliation"))
-    return _assemble(totals, parts, keys).drop("affiliation_key")
+    return _best_first(_assemble(totals, parts, keys).drop("affiliation_key"), "affiliation")
 
 
 def unconverted(inputs: Inputs, window: DateWindow) -> DataFrame:
@@ -174,4 +178,6 @@ def unconverted(inputs: Inputs, window: DateWindow) -> DataFrame:
         funnel.missed_revenue("unregistered_users", "avg_ticket_EUR").alias("est_missed_revenue_EUR"),
         F.coalesce("top_unregistered_affiliations", F.lit("")).alias("top_unregistered_affiliations"),
     )
-    return _with_conference(table, inputs.events)
+    return _with_conference(table, inputs.events).orderBy(
+        F.desc("est_missed_revenue_EUR"), F.desc("dropoff_pct"), "country_name", "event_id"
+    )

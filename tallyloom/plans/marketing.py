@@ -23,6 +23,8 @@ class Inputs:
     registrations: DataFrame
     events: DataFrame
     countries: DataFrame
+    #: The stored table of first submissions (``funnel.merge_first_activity``), where there is one.
+    first: DataFrame | None = None
 
     def pairs(self, window: DateWindow, payment: Payment = Payment()) -> DataFrame:
         return funnel.conversion_pairs(self.abstracts, self.registrations, window, payment)

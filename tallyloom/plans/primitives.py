@@ -76,7 +76,10 @@ def insert_select(t: TestTables) -> DataFrame:
     path = tables.work_folder(t.spark, "loaded")
     earlier = DateWindow(YEAR.start.replace(year=1998), YEAR.start)
     tables.create_table(funnel.submitters(t.abstracts(), earlier), path)
-    loaded = tables.append_rows(funnel.submitters(t.abstracts(), YEAR), path)
+    year = funnel.submitters(t.abstracts(), YEAR)
+    tables.append_rows(year, path, f"until {YEAR.end}")
+    # The same load again, as after a failure, adds nothing.
+    loaded = tables.append_rows(year, path, f"until {YEAR.end}")
     return loaded.groupBy("event_id").agg(F.count("*").alias("rows"))
 
 
@@ -110,7 +113,7 @@ def create_if_not_exists(t: TestTables) -> DataFrame:
 
 def update_join(t: TestTables) -> DataFrame:
     """Users' affiliation overwritten by the last mailing's, where it names one."""
-    latest = campaign.latest_contact(t.mailed("emails2", "emails2_"), ["p2"])
+    latest = campaign.latest_contact(t.mailed(*MAILERS), ["p2"])
     return campaign.user_addresses(t.users(), "affiliation").join(latest, "email_norm", "left").select(
         "user_id", F.coalesce("p2", "affiliation").alias("affiliation")
     )
@@ -197,7 +200,7 @@ def latest_touch(t: TestTables) -> DataFrame:
     answers = t.yes_no_form().select(
         "id", extract_email(F.col("email")).alias("email_norm"), F.col("created_at").alias("answered_at")
     )
-    touches = campaign.mail_touches(t.mailed("emails2", "emails2_"), extract_email)
+    touches = campaign.mail_touches(t.mailed(*MAILERS), extract_email)
     return latest_before(answers, touches, "email_norm", "answered_at", "sent_at", "award_category")
 
 
@@ -399,8 +402,7 @@ def mailings_by_country(t: TestTables) -> DataFrame:
 
 
 def last_contact(t: TestTables) -> DataFrame:
-    mailings = t.mailed("emails3", "reminders")
-    return campaign.latest_contact(mailings, ["p1", "p2", "subject", "template_name"])
+    return campaign.latest_contact(t.mailed(*MAILERS), ["p1", "p2", "subject", "template_name"])
 
 
 def primitives() -> dict[str, Callable[[TestTables], DataFrame]]:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tallyloom.functions import extract_email, plain_address
-from tallyloom.operators import campaign, quality
+from tallyloom.operators import campaign, funnel, quality
 from tallyloom.operators import warehouse as w
 from tallyloom.params import DateWindow
 from tallyloom.plans import campaigns, insights, marketing, reports
@@ -51,6 +52,19 @@ def inputs(t: TestTables) -> marketing.Inputs:
     return marketing.Inputs(t.users(), t.abstracts(), t.registrations(), t.conferences(), t.countries())
 
 
+_first: dict[tuple[str, str], DataFrame] = {}
+
+
+def first_submissions(t: TestTables) -> DataFrame:
+    """The table of first submissions of a folder, merged in two steps, once per Spark application."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _first:
+        path = work_folder(t.spark, "first_submissions")
+        funnel.merge_first_activity(t.abstracts(), path, ABSTRACTS.start)
+        _first[key] = funnel.merge_first_activity(t.abstracts(), path, LAST_12M.end)
+    return _first[key]
+
+
 def staging(t: TestTables) -> DataFrame:
     return w.with_year_overrides(t.staging(), ASSEMBLY_YEARS)
 
@@ -75,6 +89,9 @@ def _marketing() -> dict[str, Callable[[TestTables], DataFrame]]:
     def over(report, window=ABSTRACTS, **options):
         return lambda t: report(inputs(t), window, **options)
 
+    def insight(report, window=ABSTRACTS, **options):
+        return lambda t: report(replace(inputs(t), first=first_submissions(t)), window, **options)
+
     return {
         "mkt_submission_rate": over(marketing.submission_rate),
         "mkt_submitter_detail": over(marketing.submitter_detail),
@@ -90,12 +107,12 @@ def _marketing() -> dict[str, Callable[[TestTables], DataFrame]]:
         "mkt_affiliation_rollup2": over(marketing.affiliation_rollup2),
         "mkt_rollup3": over(marketing.affiliation_rollup3),
         "mkt_grand_total": over(marketing.grand_total),
-        "ins_geo_event": over(insights.geo_event),
-        "ins_country": over(insights.country),
-        "ins_affiliation": over(insights.affiliation),
-        "ins_geo_event_12m": over(insights.geo_event, LAST_12M, blank=None),
-        "ins_country_12m": over(insights.country, LAST_12M, top_affiliations=True),
-        "ins_affiliation_12m": over(insights.affiliation, LAST_12M),
+        "ins_geo_event": insight(insights.geo_event),
+        "ins_country": insight(insights.country),
+        "ins_affiliation": insight(insights.affiliation),
+        "ins_geo_event_12m": insight(insights.geo_event, LAST_12M, blank=None),
+        "ins_country_12m": insight(insights.country, LAST_12M, top_affiliations=True),
+        "ins_affiliation_12m": insight(insights.affiliation, LAST_12M),
         "ins_unconverted_12m": over(insights.unconverted, LAST_12M),
     }
 
@@ -228,7 +245,10 @@ def _campaigns() -> dict[str, Callable[[TestTables], DataFrame]]:
         path = work_folder(t.spark, "yes_no_reminder")
         rows = follow_up(t, ALL_MAILERS, EXTENDED_FIELDS)
         create_table(t.spark.createDataFrame([], rows.schema), path, "ignore")
-        return append_rows(rows, path)
+        load = f"follow-up {YES.start} to {YES.end}"
+        append_rows(rows, path, load)
+        # The load is in the table by its id, so running it again adds nothing.
+        return append_rows(rows, path, load)
 
     queries = {
         # Test addresses carry a display name, so they are extracted; the plain form matches none.
@@ -241,6 +261,9 @@ def _campaigns() -> dict[str, Callable[[TestTables], DataFrame]]:
         "cmp_yes_to_abstract": lambda t: campaign.yes_to_abstract(
             t.yes_no_form(), t.users(), t.abstracts(), YES_OPEN, LATER_ABSTRACTS
         ),
+        "cmp_yes_before_abstract": lambda t: campaign.yes_before_abstract(
+            t.yes_no_form(), t.users(), t.abstracts(), YES_OPEN, LATER_ABSTRACTS
+        ),
         "cmp_reminder_load": reminder_load,
     }
     for name, (mailers, fields) in FOLLOW_UPS.items():

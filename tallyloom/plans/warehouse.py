@@ -10,7 +10,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.operators import warehouse as w
-from tallyloom.sources.tables import append_rows, create_table, read_table, reload_table
+from tallyloom.sources.tables import append_rows, create_table, read_table, reload_table, scratch, stage
 
 
 @dataclass(frozen=True)
@@ -49,12 +49,19 @@ def load_warehouse(spark: SparkSession, staging: DataFrame, folder: str) -> Ware
     is read once for all of them, down to its distinct combinations, and once more
     for both fact loads. Each dimension is stored before anything looks up its ids, and
     the next stage reads the stored table: its size is known to the planner, and
-    its keys stay as they are whatever is recomputed later.
+    its keys stay as they are whatever is recomputed later. Every table is replaced as a
+    whole, so a load that fails leaves the tables before it as they were; what is stored
+    on the way is deleted at the end.
     """
+    with scratch(spark):
+        return _load_warehouse(spark, staging, folder)
+
+
+def _load_warehouse(spark: SparkSession, staging: DataFrame, folder: str) -> Warehouse:
     def store(df: DataFrame, name: str) -> DataFrame:
         return create_table(df, f"{folder}/{name}", "overwrite")
 
-    texts = store(staging.select(*_MEMBER_TEXTS).distinct(), "member_texts")
+    texts = stage(staging.select(*_MEMBER_TEXTS).distinct(), "member_texts")
 
     def places():
         country = store(w.dim_country(texts), "dim_country")
@@ -68,12 +75,14 @@ def load_warehouse(spark: SparkSession, staging: DataFrame, folder: str) -> Ware
         places, authors, lambda: store(w.dim_award_type(texts), "dim_award_type"), lambda: store(w.build_people(texts), "people")
     )
     dims = w.Dimensions(country, affiliation, award_type, by_person, "email")
-    upserted = w.upsert_dimension(w.split_email_columns(by_person), people, "email_norm", "author_id")
     # Both loads share the look-up of all but the author.
-    author, rows = together(lambda: store(upserted, "dim_author"), lambda: store(w.located(staging, dims), "located"))
+    author, rows = together(
+        lambda: store(w.upsert_dimension(w.split_email_columns(by_person), people, "email_norm", "author_id"), "dim_author"),
+        lambda: stage(w.located(staging, dims), "located"),
+    )
 
     fact_path = f"{folder}/fact_award"
     first = reload_table(w.with_authors(rows, dims, "strict"), fact_path)
     dims = dims.with_author(author, "email_norm")
-    append_rows(w.add_to_fact(rows, dims, first), fact_path)
+    append_rows(w.add_to_fact(rows, dims, first), fact_path, "incremental 1")
     return Warehouse(staging, dims, by_email, by_person, people, read_table(spark, fact_path))

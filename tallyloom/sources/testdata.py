@@ -41,9 +41,11 @@ class TestTables:
         return self.raw("nation").selectExpr("n_nationkey AS id", "n_name AS name")
 
     def conferences(self) -> DataFrame:
-        """Number 3 has no name."""
+        """Number 3 has no name; 4, 6 and 8 have one name in three spellings."""
         return self.raw("part").selectExpr(
-            "p_partkey AS id", "if(p_partkey = 3, NULL, p_name) AS name"
+            "p_partkey AS id",
+            "CASE p_partkey WHEN 3 THEN NULL WHEN 4 THEN 'Joint Meeting' WHEN 6 THEN 'JOINT Mééting' WHEN 8 THEN 'joint meeting' "
+            "ELSE p_name END AS name",
         )
 
     def users(self) -> DataFrame:

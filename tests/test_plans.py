@@ -160,3 +160,71 @@ def test_marketing_totals_survive_many_partitions(spark):
     wanted = marketing.conversion(registry.inputs(t), WINDOW).collect()
     with settings(spark, spark__sql__shuffle__partitions="64", spark__sql__adaptive__enabled="false"):
         assert marketing.conversion(registry.inputs(t), WINDOW).collect() == wanted
+
+
+def sorts_before_a_shuffle(df):
+    """Sorting nodes of the plan with no exchange anywhere below them."""
+    text = re.split(r"== Physical Plan ==", df._jdf.queryExecution().toString())[1]
+    found, open_nodes = [], []
+    for line in text.splitlines():
+        node = re.search(r"[A-Za-z]", line)
+        if not node:
+            continue
+        depth, name = node.start(), line[node.start():]
+        while open_nodes and open_nodes[-1][0] >= depth:
+            if not open_nodes[-1][2]:
+                found.append(open_nodes[-1][1])
+            open_nodes.pop()
+        name = re.sub(r"^\*\(\d+\) ", "", name)
+        if "Exchange" in name:
+            open_nodes = [(d, n, True) for d, n, _ in open_nodes]
+        if name.startswith("Sort"):
+            open_nodes.append((depth, name[:60], False))
+    return found + [n for _, n, below in open_nodes if not below]
+
+
+@pytest.mark.parametrize("name", ["c06_latest_contact", "io12_update_join", *registry.FOLLOW_UPS])
+def test_latest_rows_are_not_sorted_before_the_shuffle(spark, name):
+    with settings(spark, **NO_BROADCAST):
+        assert sorts_before_a_shuffle(registry.queries()[name](spark, FOLDER)) == []
+
+
+def test_first_row_per_key_is_no_sort_aggregate(spark):
+    rows = spark.range(100).selectExpr("concat('k', id % 7) AS k", "concat('v', id) AS v")
+    text = plan(tables.first_per_key(rows, ["k"]))
+    assert "SortAggregate" not in text and sorts_before_a_shuffle(tables.first_per_key(rows, ["k"])) == []
+    # A sort before the shuffle is what the helper finds.
+    assert sorts_before_a_shuffle(rows.groupBy("k").agg(F.min(F.struct("v", "k"))))
+
+
+def test_insights_scan_submissions_once(spark):
+    t = TestTables(spark, FOLDER)
+    located = insights._located(registry.replace(registry.inputs(t), first=registry.first_submissions(t)), WINDOW, "Unknown")
+    assert "orders" not in located._jdf.queryExecution().toString()
+
+
+def test_copies_of_one_row_are_made_by_several_tasks(spark):
+    from tallyloom.operators import campaign
+
+    one = spark.range(1).selectExpr("'a@x.org' AS email", "1000000L AS holders")
+    copies = campaign.repeat_rows(one, "holders", "copy")
+    sizes = [r["count"] for r in copies.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 1_000_000 and len(sizes) > 4 and max(sizes) < 400_000
+    assert copies.agg(F.count_distinct("copy"), F.max("copy")).first()[:] == (1_000_000, 999_999)
+
+
+def test_yes_and_abstracts_of_one_person_are_not_paired_in_a_join(spark):
+    from tallyloom.operators import campaign
+
+    form = spark.range(3000).selectExpr("id", "'a@x.org' AS email", "'yes' AS response", "TIMESTAMP_NTZ'2000-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS created_at")
+    users = spark.range(1).selectExpr("id", "'A' AS first_name", "'B' AS last_name", "'a@x.org' AS email")
+    abstracts = spark.range(40).selectExpr("id", "0L AS user_id", "DATE'2000-02-01' AS created_at")
+    args = (form, users, abstracts, WINDOW, WINDOW)
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false", **NO_BROADCAST):
+        full = campaign.yes_to_abstract(*args)
+        assert full.count() == 3000 * 40 and full.select("yes_created_at", "abstract_id").distinct().count() == 3000 * 40
+        text = plan(full)
+        # Each of the many rows of an abstract meets one row by its number; other joins have one row per key on a side.
+        assert re.search(r"Join Inner, \(\(\(email_norm#\d+ = email_norm#\d+\) AND \(_part#\d+ = _part#\d+\)\) AND \(_number#\d+ = _number#\d+\)\)", text), re.findall(r".*Join.*", text)
+    compact = campaign.yes_before_abstract(*args).collect()
+    assert [(r.yes_count, str(r.first_yes_at), str(r.last_yes_at)) for r in compact] == [(3000, "2000-01-01 00:00:00", "2000-01-01 00:49:59")] * 40

@@ -26,6 +26,15 @@ ORDERS = {
     "rpt_country_affiliation_rank": ["-awardees", "-awards", "affiliation_name"],
     "mkt_country_event": ["-revenue_EUR", "country_name", "event_id"],
     "mkt_affiliation_event": ["-revenue_EUR", "-paid_users", "affiliation", "country_name", "event_id"],
+    "mkt_paid_unpaid": ["-is_paid", "-eur_revenue", "user_id"],
+    "mkt_paid_unpaid_events": ["-is_paid", "-eur_revenue", "user_id"],
+    "mkt_country_conversion": ["-revenue_EUR", "-conversion_pct", "country_name"],
+    "cmp_yes_before_abstract": ["-abstract_created_at", "abstract_id", "user_id"],
+    "cmp_yes_to_abstract": ["-abstract_created_at", "abstract_id", "yes_created_at"],
+    **{f"ins_{grain}{span}": ["-revenue_EUR", "-conversion_pct", *keys] for span in ("", "_12m") for grain, keys in (
+        ("geo_event", ["country_name", "event_id"]), ("country", ["country_name"]), ("affiliation", ["affiliation"]))},
+    "ins_unconverted_12m": ["-est_missed_revenue_EUR", "-dropoff_pct", "country_name", "event_id"],
+    "cmp_award_country_funnel": ["country_name", "-eur_revenue_window", "-paid_registrations_window", "award_category"],
     "cmp_last_touch_revenue": ["-eur_revenue", "-paid_registrations", "award_category"],
     "cmp_response_hist": ["-cnt", "resp_norm"],
     "cmp_nonresponders_two_mailers": ["-yes_created_at", "email"],
@@ -69,6 +78,14 @@ def test_order(spark, duck, name):
     assert found == wanted
 
 
+def test_total_row_comes_first(spark, duck):
+    columns = ["country_name", "revenue_EUR", "conversion_pct"]
+    wanted = duck.execute(f"""SELECT country_name, "revenue_EUR", conversion_pct FROM ({STATEMENTS["mkt_grand_total"]})
+ORDER BY country_name = 'ALL COUNTRIES' DESC, 2 DESC NULLS LAST, 3 DESC NULLS LAST, 1 NULLS FIRST""").fetchall()
+    found = [tuple(row[c] for c in columns) for row in QUERIES["mkt_grand_total"](spark, FOLDER).collect()]
+    assert found[0][0] == "ALL COUNTRIES" and found == wanted
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(QUERIES) <= set(entry.queries())
