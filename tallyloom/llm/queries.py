@@ -158,11 +158,11 @@ x AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
              CASE WHEN n_words > 0 THEN 1000 * n_symbols // n_words ELSE 0 END AS symbol_rate,
              CASE WHEN n_lines > 0 THEN 1000 * n_dup_lines // n_lines ELSE 0 END AS dup_line_rate FROM m),
 s AS (SELECT lang, source, {', '.join(
-    f"quantile_disc({n}, 0.5) AS m_{n}, greatest({slack}, 4 * (quantile_disc({n}, 0.75) - quantile_disc({n}, 0.25))) AS d_{n}"
-    for n, slack in quality.SLACK.items())}
+    f"quantile_disc({n}, 0.5) AS m_{n}, greatest({least}, {times} * (quantile_disc({n}, {high}) - quantile_disc({n}, {low}))) AS d_{n}"
+    for n, (low, high, times, least) in quality.FENCES.items())}
       FROM x WHERE NOT base_failed GROUP BY lang, source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND coalesce({' AND '.join(f'abs({n} - m_{n}) <= d_{n}' for n in quality.SLACK)}, true) AS kept
+       NOT base_failed AND coalesce({' AND '.join(f'abs({n} - m_{n}) <= d_{n}' for n in quality.FENCES)}, true) AS kept
 FROM x LEFT JOIN s ON x.lang IS NOT DISTINCT FROM s.lang AND x.source IS NOT DISTINCT FROM s.source
 """
 

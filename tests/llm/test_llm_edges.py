@@ -176,7 +176,13 @@ def test_mixing(docs, nothing, labels):
     assert mixed.count() == len(ROWS)
     assert all(r.rate >= 0 for r in mixed.collect())
     left = mixing.draw(docs, mixed)
-    assert left.columns == docs.columns and left.count() <= len(ROWS)
+    # Rows of one content are taken alike, as often as their rates say.
+    taken = {(r.key1, r.key2): r.copies for r in mixing.copies(mixed).collect()}
+    assert left.columns == docs.columns and left.count() == sum(taken[r.key1, r.key2] for r in mixed.collect())
+    assert all(abs(taken[r.key1, r.key2] - r.rate) < 1 for r in mixed.collect())
+    once = mixing.mix(docs, labels, {"clean": 1.5, "low": 0.5, "toxic": 0.1}, most=1.0)
+    assert all(0 <= r.rate <= 1 for r in once.collect()) and mixing.draw(docs, once).count() <= len(ROWS)
+    assert mixing.draw(nothing, mixing.mix(nothing, labels, {})).collect() == []
     assert mixing.mix(nothing, labels, {}).collect() == []
     unlabelled = mixing.mix(docs, labels.limit(0), {"clean": 1.0, "low": 1.0, "toxic": 1.0}).collect()
     assert all(abs(r.rate - 1) < 1e-6 for r in unlabelled)
@@ -216,22 +222,20 @@ def test_components_of_a_long_chain(rows):
     assert found == {i: 0 for i in range(1, 201)} | {1000: 999, 1001: 999}
 
 
-def test_one_of_each_group_of_near_copies(docs, nothing):
-    left = simhash.one_per_group(docs)
+def test_one_of_each_component(docs, nothing):
+    left = simhash.one_per_component(docs)
     assert left.columns == docs.columns
-    found = sorted((r.doc_id, r.text) for r in left.collect())
-    # Blank texts are alike; so are copies, and the texts with a few more words, whatever their case.
-    assert [i for i, _ in found] == [1, 4, 6]
-    assert simhash.one_per_group(nothing).collect() == []
-
-
-def test_sketches_estimate_similarity():
-    words = [f"w{i}" for i in range(4000)]
-    a, b = " ".join(words), " ".join(words[:3600] + [f"v{i}" for i in range(400)])
-    _, x = simhash.describe(a)
-    _, y = simhash.describe(b)
-    assert abs(simhash.similarity(x, y) - 3596 / 4396) < 0.1
-    assert simhash.similarity(x, x) == 1
+    groups = {(r.key1, r.key2): r.component_id for r in simhash.near_duplicates(docs).collect()}
+    found = sorted(r.doc_id for r in left.collect())
+    assert found == sorted(set(groups.values()))
+    assert simhash.one_per_component(nothing).collect() == []
+
+
+def test_components_without_ids_keep_a_row(rows):
+    data = rows([(None, "same words here"), (None, "same words here"), (None, None), (7, ""), (8, "Same Words Here"), (9, "quite another text")], "doc_id long, text string")
+    assert sorted(((r.doc_id, r.text) for r in simhash.one_per_component(data).collect()), key=str) == [(7, ""), (8, "Same Words Here"), (9, "quite another text")]
+    alone = rows([(None, "a b c"), (None, "a b c"), (None, "d e f")], "doc_id long, text string")
+    assert sorted(r.text for r in simhash.one_per_component(alone).collect()) == ["a b c", "d e f"]
 
 
 def test_chat(rows):

@@ -175,15 +175,38 @@ def test_mixing_meets_targets(spark):
     assert (rates >= 0).all()
     assert np.allclose(shares.sum(axis=1), 1)
 
+    weight = np.linalg.inv((shares * tokens[:, None]).T @ shares)
+
     def loss(r):
-        return (((tokens * r) @ shares - wanted) ** 2 / supply).sum() + 0.01 * (tokens * (r - 1) ** 2).sum()
+        off = (tokens * r) @ shares - wanted
+        return off @ weight @ off + 2e-4 * (tokens * (r - 1) ** 2).sum()
 
     # The same least squares, worked off to the end on one machine.
     best = np.ones(len(rows))
     for _ in range(20_000):
-        best = np.maximum(0, best - 0.5 * (shares @ (((tokens * best) @ shares - wanted) / supply) + 0.01 * (best - 1)))
+        best = np.maximum(0, best - 0.9 * (shares @ (weight @ ((tokens * best) @ shares - wanted)) + 2e-4 * (best - 1)))
     assert loss(rates) <= loss(best) + 1e-3 * loss(np.ones(len(rows)))
-    assert np.abs((tokens * rates) @ shares - wanted).max() <= 0.25 * np.abs(supply - wanted).max()
+    # The query's rates are those of the table it is registered for at a larger scale: see below for how near they come.
+    assert np.abs((tokens * rates) @ shares - wanted).max() <= 0.02 * np.abs(supply - wanted).max()
+
+
+@pytest.mark.parametrize("weights, most", [(queries.MIX_WEIGHTS, np.inf), ({"clean": 1.0, "low": 0.5, "toxic": 0.1}, 1.0)])
+def test_drawn_totals_meet_the_targets(spark, weights, most):
+    """Rates within 2 % of each target and drawn rows within 5 %, on a table of 10,000 documents."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    mixed = mixing.mix(docs, labels, weights, most=most).cache()
+    rows = mixed.collect()
+    shares = np.array([[r[f"p_{d}"] for d in mixing.DOMAINS] for r in rows])
+    tokens, rates = np.array([r.n_tokens for r in rows]), np.array([r.rate for r in rows])
+    wanted = np.array([weights[d] for d in mixing.DOMAINS]) * (tokens @ shares)
+    assert np.abs((tokens * rates) @ shares / wanted - 1).max() <= 0.02
+    taken = {r.key1: r.copies for r in mixing.copies(mixed).collect()}
+    drawn = np.array([taken[r.key1] for r in rows])
+    assert np.abs((tokens * drawn) @ shares / wanted - 1).max() <= 0.05
+    assert (np.abs(drawn - rates) < 1).all()
+    assert mixing.draw(docs, mixed).count() == drawn.sum()
+    mixed.unpersist()
 
 
 def test_pipeline_by_brute_force(spark):
@@ -200,18 +223,12 @@ def test_pipeline_by_brute_force(spark):
     first = {r.doc_id for r in stages["quality rules"]}
     assert first == {i for i, kept in verdict.items() if kept}
 
-    def shingles(text):
-        words = text.encode().lower().split()
-        return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
-
-    sets = {i: shingles(docs[i]["text"]) for i in first}
-    similar = [(a, b) for a in first for b in first if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    groups = union_find(sorted(first), similar)
+    ids = sorted(first)
+    fps = {i: plain_fingerprint(docs[i]["text"]) for i in ids}
+    groups = union_find(ids, [(a, b) for a in ids for b in ids if a < b and (fps[a] ^ fps[b]).bit_count() <= 2])
     second = {r.doc_id for r in stages["near duplicates"]}
-    # Nothing clean is lost, and hardly any pair is left.
-    assert {groups[i] for i in second} == set(groups.values())
-    assert len(second) - len(set(groups.values())) <= 0.1 * (len(first) - len(set(groups.values()))) + 1
-    assert second <= first
+    # One of each component: that of the least id.
+    assert second == set(groups.values())
 
     third = {r.doc_id: r.text for r in stages["secret scans"]}
     assert set(third) == second
@@ -227,7 +244,7 @@ def test_pipeline_by_brute_force(spark):
     clean = {i for i in third if i in labels and labels[i]["quality"] == 1 and not labels[i]["toxic"]}
     toxic = {i for i in third if i in labels and labels[i]["toxic"]}
     assert len(clean & set(fourth)) >= 0.95 * len(clean)
-    assert len(toxic & set(fourth)) <= 0.5 * len(toxic)
+    assert len(toxic & set(fourth)) <= 0.2 * len(toxic)
     used, least = check_packed(stages["packing"], fourth)
     assert used <= 1.02 * least + 1
 
@@ -260,6 +277,22 @@ def test_classifier_on_held_out_labels():
 
 def test_all_registered(spark):
     numbers = {name.split("_")[0] for name in queries.QUERIES}
-    assert numbers == {f"op{n}" for n in range(1, 11)}
+    assert numbers == {f"op{n}" for n in range(1, 14)}
     assert set(queries.SQL) <= set(queries.QUERIES)
-    assert set(quality.SLACK)
+    assert set(quality.FENCES)
+
+
+def test_most_rejections_beyond_the_base_rules_come_from_sketches(spark):
+    rejected = quality.judge(spark.read.parquet(f"{LARGER}/documents.parquet")).filter("NOT kept AND NOT base_failed")
+    by_sketch = rejected.filter("by_sketch").count()
+    assert by_sketch > 0.5 * rejected.count() > 0
+
+
+def test_quality_stage_measures_each_text_once_per_pass(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    for rows in (quality.keep(docs), quality.sketches_of_texts(docs)):
+        # The hash of word windows stands in the plan as often as texts are measured.
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(r"xxhash64\(slice", plan)) == 1
+    judged = {r.doc_id for r in quality.judge(docs).filter("kept").collect()}
+    assert {r.doc_id for r in quality.keep(docs).collect()} == judged

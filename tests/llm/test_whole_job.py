@@ -1,10 +1,8 @@
 """Cases in which an operator once did less than its whole job."""
 
-import random
-
 import pytest
 
-from tallyloom.llm import html, secrets, simhash
+from tallyloom.llm import html, secrets
 
 KEY_LINES = [f"MIIEvQIBADANBgkqhkiG9w0BAQEFAASC{i:02d}wggSjAgEAAoIBAQC7VJTUt9Us8c" for i in range(6)] + ["Ab3dEf"]
 
@@ -24,34 +22,6 @@ def test_no_line_of_a_private_key_survives(rows):
     assert [masked[i].endswith(end) for i, end in ((0, "\nafter it"), (1, "\n\nafter it goes on"), (3, "' after it"), (4, " is how after it looks"))] == [True] * 4
 
 
-def test_near_copies_meet_beside_the_head_of_their_bucket(rows):
-    # One bag of words: every text has the same fingerprints in all tables, whatever the order of its words.
-    rng, bag = random.Random(7), [f"word{i}" for i in range(120)]
-    texts = []
-    for _ in range(12):
-        order = rng.sample(bag, len(bag))
-        texts += [" ".join(order), " ".join(order[-2:] + order[:-2])]
-    assert len({tuple(simhash.describe(t)[0]) for t in texts}) == 1
-    data = rows(list(enumerate(texts)), "doc_id long, text string")
-    group = {r.doc_id: r.group_id for r in simhash.near_copies(data).collect()}
-    assert all(group[i] == group[i + 1] for i in range(0, 24, 2)) and len(set(group.values())) == 12
-    assert sorted(r.doc_id for r in simhash.one_per_group(data).collect()) == list(range(0, 24, 2))
-
-
-def test_long_pairs_near_the_wanted_similarity_are_counted_in_full(rows):
-    texts, wanted = [], []
-    for k in range(16):
-        # 3,000 words of a vocabulary of their own, of which the last are others in the second text.
-        a, above = [f"k{k}w{i}" for i in range(3000)], k % 2 == 0
-        b = a[:3000 - (328 if above else 340)] + [f"k{k}v{i}" for i in range(328 if above else 340)]
-        x, y = ({tuple(w[i:i + 5]) for i in range(2996)} for w in (a, b))
-        assert (len(x & y) >= 0.8 * len(x | y)) == above and abs(len(x & y) / len(x | y) - 0.8) < 0.006
-        texts += [" ".join(a), " ".join(b)]
-        wanted.append(above)
-    group = {r.doc_id: r.group_id for r in simhash.near_copies(rows(list(enumerate(texts)), "doc_id long, text string")).collect()}
-    assert [group[2 * k] == group[2 * k + 1] for k in range(16)] == wanted
-
-
 ARTICLE = "<p>A long first paragraph, with commas, and more of it. It goes on.</p><p>Another one, which is long too, and has commas.</p>"
 
 
