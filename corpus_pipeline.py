@@ -25,9 +25,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    """One document of each component of SimHash near duplicates: 3-word shingles, 2 bits."""
     importable(spark)
-    return simhash.one_per_group(docs, words=5, least=0.8)
+    return simhash.one_per_component(docs, words=3, max_bits=2)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,13 +37,13 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn by rates that meet the wanted tokens per domain.
+    """Documents drawn by rates that meet the wanted tokens per domain: all clean text, half of the low, nothing toxic.
 
-    More clean text is wanted than there is, so that clean documents have rates of 1 and more and all stay.
+    No document is taken twice, so the targets are such that rates up to 1 can meet them.
     """
     importable(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return mixing.draw(docs, mixing.mix(docs, labels, {"clean": 1.5, "low": 0.5, "toxic": 0.1}))
+    return mixing.draw(docs, mixing.mix(docs, labels, {"clean": 1.0, "low": 0.5, "toxic": 0.0}, most=1.0))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

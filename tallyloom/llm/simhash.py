@@ -10,14 +10,13 @@ distinct first.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from functools import partial
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.components import connected
@@ -46,17 +45,26 @@ def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
+def text_keys(text: Column) -> tuple[Column, Column]:
+    """128 bits that address a text, null as empty."""
+    text = F.coalesce(text, F.lit(""))
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, seed: int = 42) -> DataFrame:
-    """``(doc_id, fp)`` for every row; ``fp`` holds the 64 bits as a signed long. A null text has no words: 0."""
+    """``(doc_id, key1, key2, fp)`` for every row; ``fp`` holds the 64 bits as a signed long. A null text has no words: 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             fps = [fingerprint(t, words, seed) for t in part.column("text").to_pylist()]
             signed = np.array(fps, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(signed)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c) for c in ("doc_id", "key1", "key2")), pa.array(signed)], names=["doc_id", "key1", "key2", "fp"]
+            )
 
-    source = only(docs, doc_id=id_col, text=text_col)
-    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, fp long")
+    key1, key2 = text_keys(F.col("text"))
+    source = only(docs, doc_id=id_col, text=text_col).select("doc_id", key1.alias("key1"), key2.alias("key2"), "text")
+    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, key1 long, key2 long, fp long")
 
 
 def _masks(radius: int) -> list[int]:
@@ -86,253 +94,50 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     return pairs.filter((F.col("a") > F.col("b")) & near).distinct()
 
 
+def _rooted(marked: DataFrame, max_bits: int) -> DataFrame:
+    """``(fp, root, least)`` per distinct fingerprint: its component, and the least ``doc_id`` that has it."""
+    roots = connected(links(marked.select("fp").distinct(), max_bits))
+    # Names are found over distinct fingerprints; documents, of which a third may share one, only look theirs up.
+    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    return least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, max_bits: int = 2, seed: int = 42
 ) -> DataFrame:
-    """One row per document: ``(doc_id, fp, component_id)``.
+    """One row per document: ``(doc_id, key1, key2, fp, component_id)``.
 
     ``component_id`` is the least ``doc_id`` that can be reached over links, its own included. Texts without
     words (null, empty, white space) have fingerprint 0 and link like any other. Repeated rows stay repeated.
     Rows without an id join components by their text and do not name one; a component of such rows only has
-    a null id. An empty table gives an empty result; further columns of ``docs`` are not read.
+    a null id. ``key1`` and ``key2`` address the text, null as empty. An empty table gives an empty result; further
+    columns of ``docs`` are not read.
     """
     marked = stage(fingerprints(docs, id_col, text_col, words, seed), "fingerprints")
-    roots = connected(links(marked.select("fp").distinct(), max_bits))
-    # Names are found over distinct fingerprints; documents, of which a third may share one, only look theirs up.
-    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    rooted = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(names, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
-
-
-# --- Near copies of a given similarity: fingerprints of single words find them, shingles confirm them. ---
-
-#: Words without order vary little between near copies: most pairs of similarity 0.8 lie within two bits.
-TABLES = 3
-SKETCH = 256
-#: Five standard errors of a sketch's estimate at 0.8: pairs nearer to the wanted similarity are counted in full.
-MARGIN = 0.125
-
-#: Odd numbers that derive one hash from another (fixed values without meaning).
-STIR = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
-
-#: The second key: a pair of similarity 0.8 shares none of the bands in about 2 of 10,000 cases.
-BANDS, ROWS = 16, 4
-SALTS = np.random.default_rng(42).integers(0, 1 << 64, BANDS * ROWS, dtype=np.uint64)
-
-
-def _bits(hashes: np.ndarray) -> int:
-    ones = np.zeros(BITS, dtype=np.int64)
-    for start in range(0, len(hashes), 1 << 14):
-        block = hashes[start:start + (1 << 14)].view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
-
-
-def _stirred(hashes: np.ndarray, factor: np.uint64) -> np.ndarray:
-    mixed = (hashes ^ (hashes >> np.uint64(31))) * factor
-    return mixed ^ (mixed >> np.uint64(29))
-
-
-def shingles(text: str, words: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes in order, and the hashes of the distinct shingles, ascending."""
-    parts = text.encode("utf-8", "replace").lower().split()
-    digest = xxhash.xxh3_64_intdigest
-    hashes = np.fromiter(map(digest, parts), dtype=np.uint64, count=len(parts))
-    n = len(hashes) - words + 1
-    if n < 1:
-        rolled = np.array([digest(b" ".join(parts))], dtype=np.uint64)
-    else:
-        rolled = hashes[:n].copy()
-        for i in range(1, words):
-            rolled = rolled * STIR[0] + hashes[i:i + n]
-    return hashes, np.unique(_stirred(rolled, STIR[1]))
-
-
-def describe(text: str, words: int = 5) -> tuple[list[int], bytes]:
-    """Word fingerprints, one per table, and a sketch: the least hashes of the distinct shingles, ascending.
-
-    A sketch holds ``SKETCH`` hashes at most; where a text has no more shingles it is the whole set.
-    """
-    hashes, distinct = shingles(text, words)
-    fps = [_bits(_stirred(hashes, f)) for f in STIR[:TABLES]]
-    return fps, distinct[:SKETCH].astype("<u8").tobytes()
-
+    return _named(marked, max_bits).drop("root")
 
-def bands(distinct: np.ndarray) -> list[int]:
-    """Keys that similar sets of shingles share: each is made of ``ROWS`` least hashes of the whole set."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for start in range(0, len(distinct), 1 << 10):
-        block = distinct[start:start + (1 << 10)]
-        np.minimum(least, ((block ^ SALTS[:, None]) * STIR[2]).min(axis=1), out=least)
-    keys = least.reshape(BANDS, ROWS)
-    mixed = np.arange(BANDS, dtype=np.uint64)
-    for k in range(ROWS):
-        mixed = _stirred(mixed * STIR[0] + keys[:, k], STIR[1])
-    return mixed.view(np.int64).tolist()
 
-
-def similarity(a: bytes, b: bytes) -> float:
-    """Jaccard similarity of two sketches: exact for whole sets, else over the least hashes of the union."""
-    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
-    union = np.union1d(x, y)
-    if len(x) == SKETCH or len(y) == SKETCH:
-        union = union[:SKETCH]
-    return np.isin(union, np.intersect1d(x, y, assume_unique=True), assume_unique=True).sum() / max(1, len(union))
-
-
-def _described(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """``(doc_id, content, fps, bands, sketch)`` per row; ``content`` addresses the text, copies share it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
-            made = []
-            for text in part.column("text").to_pylist():
-                hashes, distinct = shingles(text, words)
-                fps = [_bits(_stirred(hashes, f)) for f in STIR[:TABLES]]
-                made.append((fps, bands(distinct), distinct[:SKETCH].astype("<u8").tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("content"), pa.array([f for f, _, _ in made], pa.list_(pa.int64())),
-                 pa.array([b for _, b, _ in made], pa.list_(pa.int64())), pa.array([s for _, _, s in made], pa.binary())],
-                names=["doc_id", "content", "fps", "bands", "sketch"],
-            )
-
-    text = F.coalesce("text", F.lit(""))
-    source = only(docs, doc_id=id_col, text=text_col).select("doc_id", text.alias("text"), content(text).alias("content"))
-    kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, content string, fps array<long>, bands array<long>, sketch binary")
-
-
-def content(text):
-    """128 bits of a text, as a string."""
-    return F.concat(F.hex(F.xxhash64(text)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), text)))
-
-
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(content, text)`` per row."""
-    text = F.coalesce("text", F.lit(""))
-    return only(docs, text=text_col).select(content(text).alias("content"), text.alias("text"))
-
-
-def _verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
-    """The pairs ``(a, b)`` whose shingles are ``least`` similar.
-
-    Sketches settle the pairs they hold in whole and those whose estimate lies ``MARGIN`` or more away; for the
-    others the texts are joined back by content and all their distinct shingles counted.
-    """
-
-    def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            sides = list(zip(part.column("sa").to_pylist(), part.column("sb").to_pylist()))
-            found = [similarity(x, y) for x, y in sides]
-            full = [8 * SKETCH in (len(x), len(y)) for x, y in sides]
-            open_ = [f and abs(e - least) < MARGIN for f, e in zip(full, found)]
-            out = pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(open_, pa.bool_())], names=["a", "b", "unsure"])
-            yield out.filter(pa.array([o or e >= least for o, e in zip(open_, found)], pa.bool_()))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for half in slices([batch], "ta"):
-                for part in slices([half], "tb"):
-                    sets: dict[str, np.ndarray] = {}
-                    same = []
-                    for a, b, ta, tb in zip(*(part.column(c).to_pylist() for c in ("a", "b", "ta", "tb"))):
-                        x, y = (sets[k] if k in sets else sets.setdefault(k, shingles(t, words)[1]) for k, t in ((a, ta), (b, tb)))
-                        shared = len(np.intersect1d(x, y, assume_unique=True))
-                        same.append(shared >= least * (len(x) + len(y) - shared))
-                    yield part.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
-
-    both = (
-        pairs.join(sketches.select(F.col("content").alias("a"), F.col("sketch").alias("sa")), "a")
-        .join(sketches.select(F.col("content").alias("b"), F.col("sketch").alias("sb")), "b").select("a", "b", "sa", "sb")
-    )
-    judged = stage(both.mapInArrow(estimate, "a string, b string, unsure boolean"), "judged")
-    sure, unsure = (judged.filter(c).select("a", "b") for c in ("NOT unsure", "unsure"))
-    if unsure.isEmpty():
-        return sure
-    asked = unsure.select(F.col("a").alias("content")).unionAll(unsure.select("b")).distinct()
-    read = stage(texts.join(asked, "content", "left_semi").dropDuplicates(["content"]), "unsure_texts")
-    whole = (
-        unsure.join(read.select(F.col("content").alias("a"), F.col("text").alias("ta")), "a")
-        .join(read.select(F.col("content").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
-    )
-    return sure.unionAll(whole.mapInArrow(count, "a string, b string"))
-
-
-def _by_fingerprint(contents: DataFrame, max_bits: int) -> DataFrame:
-    """Candidates ``(a, b)``, ``a > b``: contents of one fingerprint with the least of them, and the least of linked ones."""
-    flat = contents.select("content", F.posexplode("fps").alias("table", "fp"))
-    heads = stage(flat.groupBy("table", "fp").agg(F.min("content").alias("head")), "heads")
-    pairs = flat.join(heads, ["table", "fp"]).filter("content > head").select(F.col("content").alias("x"), F.col("head").alias("y"))
-    for table in range(TABLES):
-        of = heads.filter(F.col("table") == table)
-        linked = links(of.select("fp"), max_bits)
-        a, b = (of.select(F.col("fp").alias(c), F.col("head").alias(n)) for c, n in (("a", "x"), ("b", "y")))
-        pairs = pairs.unionAll(linked.join(a, "a").join(b, "b").select("x", "y"))
-    return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-
-
-def _by_bands(contents: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Verified pairs ``(a, b)``, ``a > b``, among contents that share a band, by rounds of leaders.
-
-    A leader is compared with all members of its band; who matches it leads no more there. Who matched none leads in
-    a later round, and bands have up to twice as many leaders each round, until every member has matched or led. So
-    a group of near copies costs one comparison per member, and texts that are alike to no leader meet one another.
-    """
-    flat = contents.select("content", F.explode("bands").alias("band"))
-    shared = flat.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-    members = stage(flat.join(shared, "band"), "members")
-    waiting, found, turn = members, None, 0
-    while not waiting.isEmpty():
-        seat = F.pmod(F.xxhash64(F.lit(turn), "content"), F.lit(1 << min(turn, 30)))
-        leaders = stage(waiting.groupBy("band", seat.alias("seat")).agg(F.min("content").alias("leader")).select("band", "leader"), "leaders")
-        meets = members.join(leaders, "band").filter("content <> leader")
-        pairs = meets.select(F.greatest("content", "leader").alias("a"), F.least("content", "leader").alias("b")).distinct()
-        good = stage(verified(pairs), "verified")
-        found = good if found is None else found.unionAll(good)
-        both = good.select(F.col("a").alias("content"), F.col("b").alias("leader")).unionAll(good.select("b", "a"))
-        matched = waiting.join(leaders, "band").join(both, ["content", "leader"], "left_semi").select("band", "content")
-        done = matched.unionAll(leaders.select("band", F.col("leader").alias("content")))
-        waiting, turn = stage(waiting.join(done, ["band", "content"], "left_anti"), "waiting"), turn + 1
-    return found if found is not None else contents.select(F.col("content").alias("a"), F.col("content").alias("b")).limit(0)
+def _named(marked: DataFrame, max_bits: int) -> DataFrame:
+    rooted = stage(_rooted(marked, max_bits), "rooted")
+    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = rooted.join(names, "root").select("fp", "root", "component_id")
+    return marked.join(named, "fp").select("doc_id", "key1", "key2", "fp", "root", "component_id")
 
 
-def near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8, max_bits: int = 2
+def one_per_component(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, max_bits: int = 2, seed: int = 42
 ) -> DataFrame:
-    """``(doc_id, content, group_id)`` per row: groups of texts whose shingles of ``words`` words are ``least`` similar.
-
-    Candidates come from the ball hashing above, over fingerprints of single words under several hashes, and from
-    a second key taken from the shingles (``_by_bands``), which finds the pairs that no least content of a
-    fingerprint stands for; each candidate pair is verified on its shingles, on all of them where a sketch leaves doubt. ``group_id`` is the least content
-    that can be reached over verified links. Null and empty texts are one content; an empty table gives an empty
-    result; further columns are not read.
-    """
-    rows = stage(_described(docs, id_col, text_col, words), "described")
-    contents = rows.groupBy("content").agg(F.first("fps").alias("fps"))
-    banded = rows.groupBy("content").agg(F.first("bands").alias("bands"))
-    sketches = rows.groupBy("content").agg(F.first("sketch").alias("sketch"))
-    verified = partial(_verified, sketches=sketches, texts=_texts(docs, id_col, text_col), words=words, least=least)
-    near = verified(_by_fingerprint(contents, max_bits)).unionAll(_by_bands(banded, verified))
-    roots = connected(near.distinct())
-    return (
-        rows.select("doc_id", "content").join(roots.withColumnRenamed("node", "content"), "content", "left")
-        .select("doc_id", "content", F.coalesce("root", "content").alias("group_id"))
-    )
-
+    """``docs`` with one row of each component of ``near_duplicates``: that of the least id, then of the least text key.
 
-def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each group of near copies: that of the least id, then of the least content.
-
-    A row with an id goes before rows without. All columns stay as they are.
+    A row with an id goes before rows without. All columns stay as they are; of rows that agree in id and text one
+    stays. Fingerprints decide alone. Only the rows that stay meet their texts again, in one shuffle.
     """
-    groups = near_copies(docs, id_col, text_col, **options)
-    order = F.struct(F.col("doc_id").isNull().alias("blank"), F.col("doc_id"), F.col("content"))
-    kept = groups.groupBy("group_id").agg(F.min(order).alias("row"))
-    name = lambda i, c: F.concat(F.coalesce(i.cast("string"), F.lit("")), F.lit("/"), c)
-    kept = kept.select(name(F.col("row.doc_id"), F.col("row.content")).alias("_name"))
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    named = docs.withColumn("_name", name(F.col(f"`{id_col}`"), content(text)))
-    # Rows that agree in id and text are copies of one another too.
+    marked = stage(fingerprints(docs, id_col, text_col, words, seed), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("blank"), "doc_id", "key1", "key2")
+    # Copies are one row per text before the components are reduced.
+    texts = _named(marked, max_bits).select("root", "doc_id", "key1", "key2").distinct()
+    kept = texts.groupBy("root").agg(F.min(order).alias("row"))
+    name = lambda i, a, b: F.concat_ws("/", F.coalesce(i.cast("string"), F.lit("")), F.hex(a), F.hex(b))
+    kept = kept.select(name(F.col("row.doc_id"), F.col("row.key1"), F.col("row.key2")).alias("_name"))
+    named = docs.withColumn("_name", name(F.col(f"`{id_col}`"), *text_keys(F.col(f"`{text_col}`"))))
     return named.join(kept, "_name", "left_semi").dropDuplicates(["_name"]).select(*docs.columns)
