@@ -34,7 +34,7 @@ KEPT_WORDS = 500_000
 
 #: White space beyond ASCII, and control characters some libraries count as white space.
 #: Texts with one of them are encoded whole.
-ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 #: A space beside other white space.
 EDGES = [pair for c in "\t\n\v\f\r" for pair in (f" {c}", f"{c} ")] + ["  "]
@@ -263,7 +263,7 @@ class _Bins:
         return self.rooms[at] if at < len(self.rooms) else None
 
 
-def pack_histogram(counts: dict[int, int], capacity: int, groups: int = 64) -> list[tuple[tuple[int, ...], int]]:
+def pack_histogram(counts: dict[int, int], capacity: int, groups: int = 128) -> list[tuple[tuple[int, ...], int]]:
     """Filled sequences ``(lengths, times)`` that hold every length as often as ``counts`` says.
 
     What counts as large is a choice: rounding costs room that only small documents can fill. Lengths above
@@ -356,7 +356,7 @@ def _numbered(pieces: DataFrame) -> DataFrame:
 
 
 def pack(
-    docs: DataFrame, capacity: int = 1024, tokenizer: str = "byte_bpe_50k.json", end_id: int = 2, groups: int = 64,
+    docs: DataFrame, capacity: int = 1024, tokenizer: str = "byte_bpe_50k.json", end_id: int = 2, groups: int = 128,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)``, one row per piece of each document.
