@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -176,55 +176,61 @@ class Rates:
 
     targets: np.ndarray
     ridge: float
-    size: float = 0.0
-    #: Weighted residual at each step's point.
-    residuals: list[np.ndarray] = field(default_factory=list)
+    most: float
+    #: What each step has weighted the domains with.
+    slopes: list[np.ndarray] = field(default_factory=list)
 
     def of(self, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rates of documents with the given posteriors (documents x domains), and the point of the next step."""
         rate = point = np.ones(len(shares))
-        for t, residual in enumerate(self.residuals):
-            slope = shares @ residual + self.ridge * (point - 1)
-            before, rate = rate, np.maximum(0.0, point - self.size * slope)
+        for t, slope in enumerate(self.slopes):
+            before, rate = rate, np.clip(point - (shares @ slope + self.ridge * (point - 1)) / (1 + self.ridge), 0.0, self.most)
             point = rate + t / (t + 3) * (rate - before)
         return rate, point
 
 
-def fit_rates(members: DataFrame, targets: dict[str, float], steps: int = 25, ridge: float = 0.01, tolerance: float = 1e-6) -> Rates:
-    """Rates ``r >= 0`` by accelerated projected gradient on least squares.
+def fit_rates(
+    members: DataFrame, targets: dict[str, float], steps: int = 60, ridge: float = 2e-4, most: float = np.inf, near: float = 0.002
+) -> Rates:
+    """Rates from 0 to ``most`` by accelerated projected gradient on least squares.
 
-    Minimised are the squares of expected domain tokens minus ``targets``, each weighted by the domain's supply,
-    and ``ridge`` times the squares of ``r - 1``, weighted by tokens: of the many rates that meet the targets
-    those that treat documents most alike. A document's gradient is divided by its tokens, so rates depend on
-    posteriors alone, and the step size on a matrix of one number per pair of domains. Each step reads the stored
-    memberships and returns one total per domain; rates are worked out anew from the steps so far, so a lost task
-    costs its own rows only.
+    Minimised are the squares of expected domain tokens minus ``targets``, weighted by the inverse of the matrix of
+    domain overlaps, and ``ridge`` times the squares of ``r - 1``, weighted by tokens: of the many rates that meet the
+    targets those that treat documents most alike. Under this weight overlapping domains do not slow each other down:
+    where no rate is cut off, one step meets the targets. A document's gradient is divided by its tokens, so rates
+    depend on posteriors alone. Each step reads the stored memberships and returns one total per domain; rates are
+    worked out anew from the steps so far, so a lost task costs its own rows only. The work ends when every total
+    lies within ``near`` of its target, when a step moves none by a quarter of that, or after ``steps``.
     """
     k, names = len(DOMAINS), [f"p_{d}" for d in DOMAINS]
     pairs = [F.sum(F.col("n_tokens") * F.col(a) * F.col(b)).alias(f"m{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(names)]
     row = members.agg(*pairs, *(F.sum(F.col("n_tokens") * F.col(n)).alias(n) for n in names)).first()
     supply = np.array([row[n] or 0.0 for n in names])
-    fitted = Rates(np.array([float(targets.get(d, 0.0)) for d in DOMAINS]), ridge)
+    fitted = Rates(np.array([float(targets.get(d, 0.0)) for d in DOMAINS]), ridge, most)
     if not supply.sum():
         return fitted
-    scale = np.maximum(supply, 1e-9 * supply.sum())
     gram = np.array([[row[f"m{i}_{j}"] or 0.0 for j in range(k)] for i in range(k)])
-    fitted.size = 1.0 / (float(np.linalg.eigvalsh(gram / np.sqrt(np.outer(scale, scale))).max()) + ridge)
+    # A domain that hardly occurs has no overlap to speak of, and nothing to divide by.
+    weight = np.linalg.inv(gram + 1e-9 * np.trace(gram) * np.eye(k))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(k)
+        total = np.zeros(2 * k)
         for part in batches:
             shares = np.stack([part.column(n).to_numpy(zero_copy_only=False) for n in names], axis=1)
-            total += (part.column("n_tokens").to_numpy(zero_copy_only=False) * fitted.of(shares)[1]) @ shares
-        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total], names=names)
+            tokens = part.column("n_tokens").to_numpy(zero_copy_only=False)
+            total += np.concatenate([(tokens * r) @ shares for r in fitted.of(shares)])
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total], names=columns)
 
-    totals = supply
+    columns = [*names, *(f"point_{n}" for n in names)]
+    totals = reached = supply
+    scale = np.where(fitted.targets > 0, fitted.targets, supply)
     for _ in range(steps):
-        fitted.residuals.append((totals - fitted.targets) / scale)
-        sums = members.select("n_tokens", *names).mapInArrow(run, ", ".join(f"{n} double" for n in names))
-        got = sums.agg(*(F.sum(n).alias(n) for n in names)).first()
-        before, totals = totals, np.array([got[n] or 0.0 for n in names])
-        if np.abs(totals - before).max() <= tolerance * supply.sum():
+        fitted.slopes.append(weight @ (totals - fitted.targets))
+        sums = members.select("n_tokens", *names).mapInArrow(run, ", ".join(f"{n} double" for n in columns))
+        got = sums.agg(*(F.sum(n).alias(n) for n in columns)).first()
+        before = reached
+        reached, totals = (np.array([got[n] or 0.0 for n in part]) for part in (columns[:k], columns[k:]))
+        if (np.abs(reached - fitted.targets) <= near * fitted.targets).all() or (np.abs(reached - before) <= near / 4 * scale).all():
             break
     return fitted
 
@@ -247,26 +253,57 @@ def with_rates(members: DataFrame, fitted: Rates) -> DataFrame:
     return members.mapInArrow(run, T.StructType([*members.schema.fields, T.StructField("rate", T.DoubleType())]))
 
 
-def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], max_labelled: int = 4000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def mix(
+    docs: DataFrame, labels: DataFrame, weights: dict[str, float], max_labelled: int = 4000, most: float = np.inf,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
     """``(doc_id, key1, key2, n_tokens, p_<domain>..., rate)`` per row of ``docs``.
 
     ``weights``: how much of each domain's expected tokens is wanted; 1 keeps it, 0 leaves it out, 2 doubles it.
-    A rate is how often a document is to be taken on average. Without any labels every domain is equally likely.
+    A rate is how often a document is to be taken on average, ``most`` at most; targets that such rates cannot meet
+    are approached. Without any labels every domain is equally likely.
     Null and empty texts have no tokens and get a rate like other texts of their posterior. Repeated rows stay, with
     the same rate; an empty table gives an empty result; further columns are not read.
     """
     classifier = train(docs, labels, max_labelled, id_col, text_col)
     members = stage(memberships(docs, classifier, id_col, text_col), "memberships")
-    return with_rates(members, fit_rates(members, targets_from(members, weights)))
+    return with_rates(members, fit_rates(members, targets_from(members, weights), most=most))
+
+
+#: Contents that are drawn side by side, one after the other.
+_TURN = 4096
+
+
+def copies(mixed: DataFrame) -> DataFrame:
+    """``(key1, key2, copies)`` per content: how often it is taken, its rate rounded up or down.
+
+    Rates are added up along the contents of a bucket, by likeliest domain and by tokens, and a content is taken as
+    often as the sum passes a whole number. So long and short texts of a domain are taken in equal parts, where draws
+    on their own would stray by the square root of their number. Buckets and order are hashes of the content:
+    the same rows stay in every run, and a bucket holds about ``_TURN`` contents.
+    """
+    contents = stage(
+        mixed.groupBy("key1", "key2").agg(F.first("rate").alias("rate"), F.sum("n_tokens").alias("tokens"), *(F.first(f"p_{d}").alias(f"p_{d}") for d in DOMAINS)), "contents"
+    )
+    n = contents.count() // _TURN + 1
+    place = F.xxhash64(F.lit(2), "key1", "key2")
+    likeliest = F.array_position(F.array(*(F.col(f"p_{d}") for d in DOMAINS)), F.greatest(*(F.col(f"p_{d}") for d in DOMAINS)))
+    dealt = contents.withColumns({"_bucket": F.pmod(place, F.lit(n)), "_domain": likeliest, "_place": F.xxhash64(F.lit(3), "key1", "key2")})
+    along = Window.partitionBy("_bucket").orderBy("_domain", "tokens", "_place", "key1", "key2").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Each bucket begins somewhere between two whole numbers. Sums are in whole millionths, so they do not depend on rounding.
+    begin = F.pmod(F.xxhash64(F.lit(4), "_bucket"), F.lit(1_000_000))
+    share = F.round(F.col("rate") * 1_000_000).cast("long")
+    passed = F.sum(share).over(along) + begin
+    whole = lambda c: (c - F.pmod(c, F.lit(1_000_000))) / 1_000_000
+    return dealt.select("key1", "key2", (whole(passed) - whole(passed - share)).cast("int").alias("copies"))
 
 
 def draw(docs: DataFrame, mixed: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` reduced to what the rates ask for, without copies: a row stays if its content's draw is below its rate.
+    """``docs`` as often as the rates ask for (``copies``): rows that are not taken go, rows taken twice come twice.
 
-    The draw is a hash of the content, so the same rows stay in every run. Rates of 1 and more keep every row.
+    Rows of one content are taken alike. Only the contents that are not taken just once are looked up.
     """
-    point = F.pmod(F.xxhash64(F.lit(2), "key1", "key2"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    left_out = mixed.filter(point >= F.col("rate")).select("key1", "key2").distinct()
+    odd = copies(mixed).filter("copies <> 1").select(F.col("key1").alias("_key1"), F.col("key2").alias("_key2"), F.col("copies").alias("_copies"))
     marked = docs.withColumns(dict(zip(("_key1", "_key2"), content_key(text_col))))
-    left_out = left_out.select(F.col("key1").alias("_key1"), F.col("key2").alias("_key2"))
-    return marked.join(left_out, ["_key1", "_key2"], "left_anti").select(*docs.columns)
+    taken = marked.join(odd, ["_key1", "_key2"], "left").withColumn("_copies", F.coalesce("_copies", F.lit(1)))
+    return taken.filter("_copies > 0").withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).select(*docs.columns)
