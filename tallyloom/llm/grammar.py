@@ -36,6 +36,9 @@ HELD_WORDS = 400_000
 #: A round replaces pairs down to this part of the count that the round before began with.
 STEP = 6
 
+#: Bits of the hash by which pairs are counted: as many counters as stay near the processor.
+SHORT = 18
+
 #: Symbols below are token ids, symbols from here on are rules.
 FIRST_RULE = 1 << 20
 
@@ -136,14 +139,14 @@ def _frequent(x: np.ndarray, least: int, spread: int) -> tuple[np.ndarray, np.nd
     with another ``spread``, an odd number.
     """
     left, right = x[:-1], x[1:]
-    short = (left * np.uint32(spread) ^ right * np.uint32(2246822519)) >> np.uint32(12)
-    at = np.flatnonzero(np.bincount(short, minlength=1 << 20)[short] >= least)
+    short = (left * np.uint32(spread) ^ right * np.uint32(2246822519)) >> np.uint32(32 - SHORT)
+    at = np.flatnonzero(np.bincount(short, minlength=1 << SHORT)[short] >= least)
     short, codes = short[at], left[at].astype(np.uint64) << np.uint64(32) | right[at]
-    held = np.zeros(1 << 20, dtype=np.uint64)
+    held = np.zeros(1 << SHORT, dtype=np.uint64)
     held[short] = codes
     same = held[short] == codes
     at, pair = at[same], short[same]
-    counts = np.bincount(pair, minlength=1 << 20)
+    counts = np.bincount(pair, minlength=1 << SHORT)
     keep = counts >= least
     number = np.cumsum(keep) - 1
     kept = keep[pair]
@@ -242,8 +245,10 @@ class Grammar:
         rules = symbols >= FIRST_RULE
         out[starts[~rules]] = symbols[~rules]
         sizes, rule = spans[rules], symbols[rules] - FIRST_RULE
-        inside = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        out[np.repeat(starts[rules], sizes) + inside] = self.flat[np.repeat(self.begin[rule], sizes) + inside]
+        # Each place of a rule's expansion, less its place within all of them.
+        before = np.cumsum(sizes) - sizes
+        place = np.arange(int(sizes.sum()))
+        out[np.repeat(starts[rules] - before, sizes) + place] = self.flat[np.repeat(self.begin[rule] - before, sizes) + place]
         return out
 
     def ids(self, a: int, b: int) -> np.ndarray:
