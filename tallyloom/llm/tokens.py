@@ -7,8 +7,10 @@ encoded together. So one pass over a text yields the last piece and the token
 count of every prefix, and truncation or budget questions are look-ups.
 
 No piece holds a space after another character, so a text falls apart into units
-(spaces, then a run of other characters) whose tables add up; a unit's table is
-kept for reuse within a worker.
+(spaces, then a run of other characters) whose tables add up. The punctuation
+behind a unit is a part of its own where it stands beside the character before it
+in no piece, since no merge can cross there. Tables of units and of their parts
+are held for reuse within a worker, which begins anew when they are too many.
 """
 
 from __future__ import annotations
@@ -27,9 +29,11 @@ from tallyloom.llm.texts import only, slices
 #: Stands for a space in pieces.
 SPACE = "▁"
 
-#: Unit tables and prefixes a worker keeps; what comes later is worked out each time it is met.
-KEPT_UNITS = 800_000
-KEPT_PREFIXES = 800_000
+#: ASCII punctuation that may follow a word.
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+#: Units, prefixes and pairs of pieces a worker holds, each; a table that is full is cleared, so what is frequent comes back.
+HELD = 600_000
 
 
 class PrefixCounter:
@@ -60,8 +64,13 @@ class PrefixCounter:
         self.reach: dict[str, int] = {}
         for piece in self.made:
             self.reach[piece[-2:]] = max(len(piece), self.reach.get(piece[-2:], 1))
+        #: Characters that stand beside each other in some piece.
+        self.joined = {piece[i:i + 2] for piece in self.rank for i in range(len(piece) - 1)}
         self.prefixes: dict[str, tuple[int, int]] = {}
         self.units: dict[str, bytes] = {}
+        self.counts: dict[str, int] = {}
+        self.parts: dict[str, bytes] = {}
+        self.pairs: dict[str, bool] = {}
 
     def merge(self, text: str) -> tuple[list[str], tuple[str, str] | None]:
         """The pieces of a short text, and the last merge: the best-ranked neighbours merge first, the leftmost of equals."""
@@ -99,23 +108,37 @@ class PrefixCounter:
                 undone, across_first = rank[right], True
                 right = from_right[0]
 
+    def _beside(self, left: str, right: str) -> bool:
+        """``beside``, from the table of pairs already judged."""
+        pair = left + " " + right
+        stays = self.pairs.get(pair)
+        if stays is None:
+            stays = self.beside(left, right)
+            if len(self.pairs) >= HELD:
+                self.pairs.clear()
+            self.pairs[pair] = stays
+        return stays
+
     def table(self, unit: str) -> bytes:
         """Token counts of the prefixes of one unit, as 32-bit numbers. Prefixes met before are not worked out again."""
         prefixes, n = self.prefixes, len(unit)
+        if len(prefixes) >= HELD:
+            prefixes.clear()
         start, count = [0] * (n + 1), [0] * (n + 1)
         for i in range(1, n + 1):
-            prefix = unit[:i]
-            known = prefixes.get(prefix) if i <= 24 else None
-            if known is None:
+            if i > 24:
                 known = self._last(unit, i, start, count)
-                if i <= 24 and len(prefixes) < KEPT_PREFIXES:
-                    prefixes[prefix] = known
+            else:
+                prefix = unit[:i]
+                known = prefixes.get(prefix)
+                if known is None:
+                    known = prefixes[prefix] = self._last(unit, i, start, count)
             start[i], count[i] = known
         return array("i", count[1:]).tobytes()
 
     def _last(self, unit: str, i: int, start: list[int], count: list[int]) -> tuple[int, int]:
         """Where the last piece of ``unit[:i]`` begins, and the tokens up to its end."""
-        made, beside = self.made, self.beside
+        made, beside = self.made, self._beside
         # From the longest piece that can end here; a single character always can.
         for j in range(max(0, i - self.reach.get(unit[i - 2:i] if i > 1 else unit[:1], 1)), i):
             piece = unit[j:i]
@@ -124,20 +147,52 @@ class PrefixCounter:
                 return j, count[j] + (1 if piece in made else len(piece.encode("utf-8")))
         raise ArithmeticError(f"no last piece for {unit[:i]!r}")
 
-    def _table_of(self, part: str) -> bytes:
-        got = self.units.get(part)
+    def _part(self, part: str) -> bytes:
+        got = self.parts.get(part)
         if got is None:
-            got = self.table(SPACE + part)
-            if len(self.units) < KEPT_UNITS and len(part) <= 64:
-                self.units[part] = got
+            got = self.table(part)
+            if len(self.parts) >= HELD:
+                self.parts.clear()
+            if len(part) <= 64:
+                self.parts[part] = got
         return got
 
-    def bounds(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(1, dtype=np.int64)
+    def _halves(self, unit: str) -> tuple[str, str]:
+        """A unit without the punctuation behind it, and that punctuation, if no merge can cross in between."""
+        stem = unit.rstrip(PUNCTUATION)
+        n = len(stem)
+        return (stem, unit[n:]) if 0 < n < len(unit) and unit[n - 1:n + 1] not in self.joined else (unit, "")
+
+    def _table_of(self, part: str) -> bytes:
+        """The table of a unit, from those of its halves."""
+        stem, tail = self._halves(SPACE + part)
+        got = self._part(stem)
+        if tail:
+            before = got[-4:]
+            more = array("i", self._part(tail))
+            add = int.from_bytes(before, "little")
+            got += array("i", [add + n for n in more]).tobytes()
+        if len(self.units) >= HELD:
+            self.units.clear()
+        if len(part) <= 64:
+            self.units[part] = got
+        return got
+
+    def _count_of(self, part: str) -> int:
+        """The tokens of a unit."""
+        stem, tail = self._halves(SPACE + part)
+        count = int.from_bytes(self._part(stem)[-4:], "little") + (int.from_bytes(self._part(tail)[-4:], "little") if tail else 0)
+        if len(self.counts) >= 2 * HELD:
+            self.counts.clear()
+        if len(part) <= 64:
+            self.counts[part] = count
+        return count
+
+    @staticmethod
+    def _units(text: str) -> list[str]:
+        """What stands between single spaces; further spaces go in front of the next unit, at the end they stand alone."""
         parts = text.replace(SPACE, " ").split(" ")
         if "" in parts:
-            # Further spaces go in front of the next run; at the end of the text they stand alone.
             joined, spaces = [], ""
             for part in parts[:-1]:
                 if part:
@@ -146,9 +201,15 @@ class PrefixCounter:
                 else:
                     spaces += SPACE
             parts = [*joined, spaces + parts[-1]]
+        return parts
+
+    def bounds(self, text: str) -> np.ndarray:
+        if not text:
+            return np.zeros(1, dtype=np.int64)
+        parts = self._units(text)
         tables = list(map(self.units.get, parts))
         if None in tables:
-            tables = list(map(self._table_of, parts))
+            tables = [self._table_of(part) if table is None else table for part, table in zip(parts, tables)]
         flat = np.frombuffer(b"".join(tables), dtype="i4").astype(np.int64)
         sizes = np.fromiter(map(len, tables), dtype=np.int64, count=len(tables)) >> 2
         before = np.cumsum(flat[np.cumsum(sizes) - 1])
@@ -157,6 +218,31 @@ class PrefixCounter:
         flat[0] = 0
         return flat
 
+    def budget(self, text: str, limit: int) -> tuple[int, int]:
+        """The last of ``bounds``, and the last place at which they are within ``limit``.
+
+        Whole units are added up by their tokens; only the unit in which the limit is passed is looked at by prefix.
+        """
+        if not text:
+            return 0, 0
+        parts = self._units(text)
+        counts = list(map(self.counts.get, parts))
+        if None in counts:
+            counts = [self._count_of(part) if n is None else n for part, n in zip(parts, counts)]
+        total = sum(counts)
+        if total <= limit:
+            return total, len(text)
+        so_far = at = 0
+        for part, n in zip(parts, counts):
+            if so_far + n > limit:
+                break
+            so_far, at = so_far + n, at + len(part) + 1
+        within = [so_far + t for t in array("i", self._table_of(part))]
+        if at == 0:
+            within[0] = 0
+        fits = [i for i, t in enumerate(within) if t <= limit]
+        return total, at + fits[-1] if fits else at - 1
+
 
 @lru_cache(maxsize=2)
 def _counter(model_file: str) -> PrefixCounter:
@@ -210,12 +296,9 @@ def budgets(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(_model_path(model))
         for part in slices(batches, "text"):
-            texts = part.column("text").to_pylist()
             out = []
-            for text in texts:
-                bounds = counter.bounds(text or "")
-                total = int(bounds[-1])
-                fits = len(bounds) - 1 if total <= limit else int(np.flatnonzero(bounds <= limit)[-1])
+            for text in part.column("text").to_pylist():
+                total, fits = counter.budget(text or "", limit)
                 out.append((len((text or "").encode("utf-8")), total, total > limit, fits))
             columns = zip(*out)
             kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64())

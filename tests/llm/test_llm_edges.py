@@ -4,7 +4,9 @@ import random
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
+import sentencepiece
 import xxhash
 from pyspark.sql import functions as F
 
@@ -346,3 +348,24 @@ def test_hash_is_the_published_one(rows):
     hashes = [xxhash.xxh64(s, seed=42).intdigest() for s in (b"one two three", b"two three four")]
     wanted = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > 2)
     assert simhash.fingerprints(data).first().fp % (1 << 64) == wanted
+
+
+@pytest.fixture(scope="module")
+def counter():
+    return tokens.PrefixCounter(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def test_budgets_agree_with_prefix_tables_and_the_library(counter, monkeypatch):
+    """Also when the tables of a worker are full all the time."""
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    rng = random.Random(5)
+    parts = ["word", "Wort", "mot", "ab,", "x.", "(y)", "it's", "...", ",", "é", "ß.", "漢", "漢字,", "", "", "3.14", "a-b", "\n", "e.\n", "St.", "\u2581", "don't!"]
+    for held in (600_000, 3):
+        monkeypatch.setattr(tokens, "HELD", held)
+        for _ in range(400):
+            text = " ".join(rng.choice(parts) for _ in range(rng.randrange(0, 14)))
+            bounds = counter.bounds(text).tolist()
+            assert bounds[-1] == len(model.encode(text)), text
+            for limit in (0, 1, 3, len(text)):
+                fits = max(j for j, n in enumerate(bounds) if n <= limit)
+                assert counter.budget(text, limit) == (bounds[-1], fits), (text, limit)
