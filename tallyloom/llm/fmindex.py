@@ -45,38 +45,50 @@ class WaveletMatrix:
         return at
 
 
-def suffix_array(symbols: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+def suffix_array(symbols: np.ndarray, enough: int | None = None) -> tuple[np.ndarray, dict[int, np.ndarray]]:
     """Order of all suffixes, and for each power of two below the last the rank of each suffix by that many symbols.
 
-    Prefix doubling; it ends when all suffixes differ, so unique separators keep it as short as the sequences.
+    Prefix doubling; it ends when all suffixes differ, so unique separators keep it as short as the sequences, or when
+    they are in order by their first ``enough`` symbols. Suffixes with a common start of any length up to that lie
+    together either way, which is all that a backward search for patterns of that length asks for.
     """
     n = len(symbols)
     rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
     ranks, width = {1: rank}, 1
     while True:
-        beyond = np.full(n, -1, dtype=np.int64)
-        beyond[:n - width] = rank[width:]
-        key = rank * (n + 1) + beyond + 1
-        order = np.argsort(key, kind="stable")
-        steps = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
+        key = rank * (n + 1)
+        key[:n - width] += rank[width:] + 1
+        order = np.argsort(key)
+        steps = np.empty(n, dtype=np.int64)
+        steps[0] = 0
+        ordered = key[order]
+        np.cumsum(ordered[1:] != ordered[:-1], out=steps[1:])
         rank = np.empty(n, dtype=np.int64)
         rank[order] = steps
         width *= 2
         ranks[width] = rank
-        if steps[-1] == n - 1:
+        if steps[-1] == n - 1 or enough is not None and width >= enough:
             return order, ranks
 
 
 class FMIndex:
     """An index of word sequences, each with a weight (how many documents hold it)."""
 
-    def __init__(self, sequences: list[np.ndarray], weights: np.ndarray):
-        """``sequences`` hold word numbers from 0; a separator of its own ends each."""
-        self.sizes = np.array([len(s) for s in sequences], dtype=np.int64)
+    def __init__(self, words: np.ndarray, sizes: np.ndarray, weights: np.ndarray, longest: int | None = None):
+        """``words``: the sequences one behind the other, as numbers from 0. A separator of its own ends each.
+
+        ``longest``: the most words of a pattern that is searched for; any, if not given.
+        """
+        self.sizes = sizes.astype(np.int64)
         self.begins = np.concatenate([[0], np.cumsum(self.sizes + 1)[:-1]]).astype(np.int64)
-        m = len(sequences)
-        self.text = np.concatenate([np.concatenate([s + m, [k]]) for k, s in enumerate(sequences)]).astype(np.int64)
-        self.order, self.ranks = suffix_array(self.text)
+        m = len(self.sizes)
+        self.text = np.empty(len(words) + m, dtype=np.int64)
+        ends = self.begins + self.sizes
+        inside = np.ones(len(self.text), dtype=bool)
+        inside[ends] = False
+        self.text[inside] = words + m
+        self.text[ends] = np.arange(m)
+        self.order, self.ranks = suffix_array(self.text, longest)
         n = len(self.text)
         # Separators are all 0 in the transform, they are never searched for.
         self.symbols = np.maximum(self.text - (m - 1), 0)
@@ -121,7 +133,9 @@ class FMIndex:
         """
         wider_low, wider_high = self.same_start(width - 1)
         m = len(self.sizes)
-        found = [np.zeros(max(0, int(s) - width + 1), dtype=np.int64) for s in self.sizes]
+        windows = np.maximum(0, self.sizes - width + 1)
+        ends = np.cumsum(windows)
+        found = np.zeros(int(ends[-1]) if m else 0, dtype=np.int64)
         low, high = np.zeros(m, dtype=np.int64), np.full(m, self.n, dtype=np.int64)
         by_size = np.argsort(-self.sizes, kind="stable")
         for done in range(int(self.sizes.max(initial=0))):
@@ -133,7 +147,5 @@ class FMIndex:
             lo, hi = self.step(self.symbols[self.begins[who] + at], lo, hi)
             low[who], high[who] = lo, hi
             if done >= width - 1:
-                weight = self.weight_before[hi] - self.weight_before[lo]
-                for k, i, w in zip(who.tolist(), at.tolist(), weight.tolist()):
-                    found[k][i] = w
-        return found
+                found[ends[who] - windows[who] + at] = self.weight_before[hi] - self.weight_before[lo]
+        return np.split(found, ends[:-1]) if m else []

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -139,10 +140,9 @@ def _shard_search(window: int):
     """Index the passages of one shard, stream them against it, and report what occurs more than once."""
 
     def run(shard: pd.DataFrame) -> pd.DataFrame:
-        split = [p.split(b" ") for p in shard["passage"]]
-        numbers = pd.factorize(np.array([w for words in split for w in words], dtype=object))[0].astype(np.int64)
-        sequences = np.split(numbers, np.cumsum([len(w) for w in split])[:-1])
-        index = FMIndex(sequences, shard["copies"].to_numpy())
+        split = pc.split_pattern(pa.array(shard["passage"], pa.large_binary()), b" ")
+        numbers = split.flatten().dictionary_encode().indices.to_numpy().astype(np.int64)
+        index = FMIndex(numbers, pc.list_value_length(split).to_numpy(), shard["copies"].to_numpy(), window)
         names, begins, ends = [], [], []
         for name, weights in zip(shard["id"], index.occurrences(window)):
             for a, b in covered(weights > 1, window):

@@ -92,7 +92,9 @@ def test_index_counts_every_window():
         for s, w in zip(sequences, weights):
             for i in range(len(s) - width + 1):
                 seen[tuple(s[i:i + width])] += w
-        found = fmindex.FMIndex(sequences, weights).occurrences(width)
+        words, sizes = np.concatenate(sequences), np.array([len(s) for s in sequences])
+        # Sorted in full, and by as many words as are searched for.
+        found = fmindex.FMIndex(words, sizes, weights, rng.choice([None, width])).occurrences(width)
         for s, counts in zip(sequences, found):
             assert counts.tolist() == [seen[tuple(s[i:i + width])] for i in range(len(s) - width + 1)]
 
