@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.texts import only, slices
@@ -85,8 +85,22 @@ def _scan(unseen: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return unseen.mapInArrow(run, LEDGER)
 
 
+def _is_there(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def _current(book: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """The ledger's rows of the given rules in the given versions, one per blob and rule.
+
+    A scan that ran again, or beside another one, leaves the same row twice.
+    """
+    version = F.create_map(*(x for r in rules for x in (F.lit(r.name), F.lit(r.version))))
+    return book.filter(F.col("version") == version[F.col("rule")]).dropDuplicates(["blob", "rule"])
+
+
 def update_ledger(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
-    """Scan what the ledger folder has not seen and return the ledger. Without a folder a new one is begun.
+    """Scan what the ledger folder has not seen and return the ledger. Without a folder, or one that is there, a new one is begun.
 
     A null text counts as the empty text. Copies are one blob: they are reduced to one text before and after
     the shuffle on the address, so a group of copies is scanned once however large it is.
@@ -95,8 +109,8 @@ def update_ledger(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule,
     texts = only(docs, text=text_col).select(F.coalesce("text", F.lit("")).alias("text"))
     blobs = texts.select(F.unhex(F.sha2("text", 256)).alias("blob"), "text").dropDuplicates(["blob"])
     wanted = F.array(*(F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version")) for r in rules))
-    if ledger is None:
-        ledger = work_folder(spark, "ledger")
+    if ledger is None or not _is_there(spark, ledger):
+        ledger = ledger or work_folder(spark, "ledger")
         unseen = blobs.select("blob", "text", F.array(*(F.lit(r.name) for r in rules)).alias("todo"))
     else:
         # A ledger row is found again by blob; what it lacks is what is left to do.
@@ -124,9 +138,8 @@ def find_secrets(
     """
     book = update_ledger(docs, ledger, rules, text_col)
     rank = F.create_map(*(x for i, r in enumerate(rules) for x in (F.lit(r.name), F.lit(i))))
-    current = F.create_map(*(x for r in rules for x in (F.lit(r.name), F.lit(r.version))))
     spans = (
-        book.filter((F.col("version") == current[F.col("rule")]) & (F.size("spans") > 0))
+        _current(book, rules).filter(F.size("spans") > 0)
         .withColumn("rank", rank[F.col("rule")])
         .select("blob", F.expr("transform(spans, s -> struct(s.start AS start, rank, rule AS kind, s.stop AS stop))").alias("found"))
         .groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("found"))).alias("found"))
@@ -144,9 +157,8 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[secre
     The spans of a text are joined to it by its address, so rows are never matched by an id that may repeat.
     """
     book = update_ledger(docs, ledger, rules, text_col)
-    names = [r.name for r in rules]
     spans = (
-        book.filter(F.col("rule").isin(names) & (F.size("spans") > 0))
+        _current(book, rules).filter(F.size("spans") > 0)
         .groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("_spans"))
     )
     blob = F.unhex(F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256))

@@ -44,3 +44,22 @@ def test_every_passing_path_stays_wherever_it_lies():
     ):
         found = html.main_text(page)
         assert "The lead, which" in found and "Head" in found and "Home" not in found
+
+
+def test_a_ledger_of_two_versions_and_repeated_scans(rows, spark, tmp_path):
+    old = (secrets.Rule("word", 1, r"old\w+"),)
+    new = (secrets.Rule("word", 2, r"new\w+"),)
+    docs = rows([(1, "oldkey and newkey"), (2, None), (1, "oldkey and newkey")], "doc_id long, text string")
+    # A folder that is not there yet is begun.
+    ledger = str(tmp_path / "ledger")
+    assert [r.text for r in secrets.redact(docs, old, "#", ledger).orderBy("text").collect()] == [None, "# and newkey", "# and newkey"]
+    assert [r.text for r in secrets.redact(docs, new, "#", ledger).orderBy("text").collect()] == [None, "oldkey and #", "oldkey and #"]
+    # A first scan beside another one, or run again, has appended the same rows.
+    book = spark.read.parquet(ledger)
+    before = book.count()
+    spark.createDataFrame(book.collect(), book.schema).write.mode("append").parquet(ledger)
+    for rules, start in ((old, 0), (new, 11)):
+        found = {r.doc_id: [(f.start, f.kind) for f in r.found] for r in secrets.find_secrets(docs, ledger, rules).collect()}
+        assert found == {1: [(start, "word")], 2: []}
+    # Nothing is scanned again.
+    assert spark.read.parquet(ledger).count() == 2 * before
