@@ -1,5 +1,7 @@
 """Cases in which an operator once did less than its whole job."""
 
+import time
+
 import pytest
 
 from tallyloom.llm import html, secrets
@@ -63,3 +65,31 @@ def test_a_ledger_of_two_versions_and_repeated_scans(rows, spark, tmp_path):
         assert found == {1: [(start, "word")], 2: []}
     # Nothing is scanned again.
     assert spark.read.parquet(ledger).count() == 2 * before
+
+
+@pytest.mark.parametrize("name", ["related-work", "notice-period", "review-body", "share-price"])
+@pytest.mark.parametrize("tag", ["p", "section", "div"])
+def test_a_word_in_a_name_does_not_cost_article_text(name, tag):
+    other = "This passage, of the article itself, has such a word in its name, and stays. It is text."
+    page = f"<body><nav><a href=x>Home</a></nav><article><h1>Head</h1>{ARTICLE}<{tag} class='{name}'>{other}</{tag}>{ARTICLE}</article><div class='related-posts'><p>Another story, told elsewhere, with commas. Read it.</p></div></body>"
+    found = html.main_text(page)
+    assert other in found and found.count("first paragraph") == 2 and "Another story" not in found and "Home" not in found
+
+
+def test_parts_around_the_article_are_told_by_name():
+    for name in ("comments", "comment-list", "sidebar", "site-footer", "cookie-banner", "ad-slot", "share-buttons", "related-posts", "newsletter"):
+        page = f"<body><div id=x><h1>Head</h1>{3 * ARTICLE}</div><div class='{name}'><p>Some words of a reader, with commas, and a full stop. Yes.</p></div></body>"
+        assert "reader" not in html.main_text(page), name
+        page = f"<body><div id=x><p>{40 * "Den "}</p><p>{50 * "Den "}</p></div><div class='{name}'><p>Some words of a reader, with commas, and a full stop.</p></div></body>"
+        assert "reader" not in html.main_text(page), name
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000 + "'", "<a b=\"" * 150_000, "<div>x, " * 50_000, "<div class=share>x, " * 50_000, "<span>" * 100_000 + "<div></div>" * 50_000,
+    "<b>" + "<div>" * 100_000 + "</b>" * 100_000, "<div>" * 100_000 + "</x>" * 100_000, "<table>" * 50_000 + "<td>x" * 50_000, "<p>" * 100_000 + "</p>" * 100_000,
+    "class " * 170_000, "<x " + "class " * 170_000, "<" * 1_000_000, "<!--" * 250_000, "&lt" * 300_000, "<li>y, z. " * 100_000, "<ul><li>" * 50_000 + "t",
+], ids=lambda page: page[:12])
+def test_hostile_pages_take_seconds(page):
+    began = time.process_time()
+    html.main_text(page)
+    assert time.process_time() - began < 8
