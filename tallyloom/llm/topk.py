@@ -23,7 +23,8 @@ from tallyloom.llm.texts import only
 from tallyloom.sources.tables import stage
 
 FOUND = "_query long, query_id long, vec_id long, _row long, score long"
-EXACT = 2.0 ** 53
+#: Sums below the first are exact in doubles, below the second in longs.
+EXACT, WHOLE = 2.0 ** 53, 2.0 ** 63
 
 
 class Tree:
@@ -59,6 +60,17 @@ class Tree:
         return np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
 
 
+def _products(queries: np.ndarray, vectors: np.ndarray, largest: float) -> np.ndarray:
+    """Inner products of whole numbers, exact as longs; one beyond a long is given as the nearest long."""
+    if largest < EXACT:
+        return (queries @ vectors.T).astype(np.int64)
+    if largest < WHOLE:
+        return queries.astype(np.int64) @ vectors.astype(np.int64).T
+    whole = [[int(x) for x in row] for row in vectors]
+    most = (1 << 63) - 1
+    return np.array([[max(-most, min(most, sum(a * b for a, b in zip(q, x)))) for x in whole] for q in [[int(x) for x in row] for row in queries]], dtype=np.int64)
+
+
 def _best(query: np.ndarray, score: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
     """Which entries are among the ``k`` best of their query; ties go to the smaller id, then the earlier row."""
     order = np.lexsort((rows, ids, -score, query))
@@ -74,17 +86,20 @@ def search(queries: np.ndarray, query_rows: np.ndarray, kth: np.ndarray, vectors
     A candidate in the query's own row takes no part.
     """
     tree = Tree(vectors, leaf_rows)
+    largest = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * vectors.shape[1]
+    # Bounds and thresholds are doubles: where scores are not, they give way by more than they can be off.
+    slack = 0.0 if largest < EXACT else 1e-12 * largest
     ids, rows = ids[tree.order], rows[tree.order]
     bounds = tree.bounds(queries)
     visit = np.argsort(-bounds, axis=1, kind="stable")
     kth = kth.astype(float).copy()
     empty = np.empty(0, dtype=np.int64)
-    held = (empty, empty, empty, np.empty(0))
+    held = (empty, empty, empty, empty)
     active = np.arange(len(queries))
     for turn in range(visit.shape[1]):
         leaf = visit[active, turn]
         # Best first: once a query's next bound is below its k-th score, no later leaf can help.
-        going = bounds[active, leaf] >= kth[active]
+        going = bounds[active, leaf] >= kth[active] - slack
         active, leaf = active[going], leaf[going]
         if not len(active):
             break
@@ -94,8 +109,8 @@ def search(queries: np.ndarray, query_rows: np.ndarray, kth: np.ndarray, vectors
         for group in np.split(by_leaf, cuts):
             at, who = int(leaf[group[0]]), active[group]
             inside = slice(tree.begins[at], tree.ends[at])
-            scores = queries[who] @ tree.vectors[inside].T
-            good = (scores >= kth[who, None]) & (query_rows[who, None] != rows[None, inside])
+            scores = _products(queries[who], tree.vectors[inside], largest)
+            good = (scores >= kth[who, None] - slack) & (query_rows[who, None] != rows[None, inside])
             q, c = np.nonzero(good)
             new.append((who[q], ids[inside][c], rows[inside][c], scores[q, c]))
         if len(new) > 1:
@@ -140,8 +155,6 @@ def _searcher(k: int, leaf_rows: int):
             return pd.DataFrame({n: pd.Series(dtype="int64") for n in names})
         dim = int(key[0])
         q, x = (np.frombuffer(b"".join(df["vec"]), dtype="<f8").reshape(len(df), dim) for df in (queries, shard))
-        if dim and np.abs(q).max() * np.abs(x).max() * dim >= EXACT:
-            raise ArithmeticError("components too large for exact sums in 64-bit floats")
         who, ids, rows, scores = search(
             q, queries["_row"].to_numpy(), queries["kth"].to_numpy(), x, shard["vec_id"].to_numpy(), shard["_row"].to_numpy(), k, leaf_rows
         )
@@ -161,7 +174,8 @@ def top_k(
     ``is_query``: a condition on ``vec_id``. Scores are inner products of ``floor(scale * x)``, exact. Vectors that
     are null or hold null or non-finite components, and rows without an id, take no part; a query is compared with
     vectors of its own length. Repeated rows are rows like any other: each is found, and each searches. Fewer than
-    ``k`` candidates give fewer rows, none give none; empty vectors score 0. Sums beyond 2^53 end the job.
+    ``k`` candidates give fewer rows, none give none; empty vectors score 0. A sum beyond a long is given as the
+    nearest long.
 
     Queries go against all rows in blocks: a task holds one shard and one block of queries, both of bounded size.
     """

@@ -2,9 +2,11 @@
 
 import time
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tallyloom.llm import html, secrets
+from tallyloom.llm import html, secrets, topk
 
 KEY_LINES = [f"MIIEvQIBADANBgkqhkiG9w0BAQEFAASC{i:02d}wggSjAgEAAoIBAQC7VJTUt9Us8c" for i in range(6)] + ["Ab3dEf"]
 
@@ -93,3 +95,16 @@ def test_hostile_pages_take_seconds(page):
     began = time.process_time()
     html.main_text(page)
     assert time.process_time() - began < 8
+
+
+@pytest.mark.parametrize("size", [1 << 20, 1 << 24, 1 << 27, 1 << 34])
+def test_large_components_score_exactly(rows, size):
+    rng = np.random.default_rng(size)
+    data = [(i, [float(x) for x in rng.integers(-size, size, 8)]) for i in range(300)]
+    got = topk.top_k(rows(data, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=5, scale=64, shard_rows=64, leaf_rows=16)
+    found = {(r.query_id, r.rank): (r.vec_id, r.score) for r in got.collect()}
+    most = (1 << 63) - 1
+    for q, v in data[::20]:
+        scores = [(max(-most, min(most, sum(int(64 * a) * int(64 * b) for a, b in zip(v, w)))), i) for i, w in data if i != q]
+        wanted = sorted(scores, key=lambda s: (-s[0], s[1]))[:5]
+        assert [found[q, k + 1] for k in range(5)] == [(i, s) for s, i in wanted]
