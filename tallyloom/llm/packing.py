@@ -56,6 +56,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
+        self.merge = self.whole.model.tokenize
         #: What sends a text to the tokenizer whole.
         self.whole_only = (*EDGES, *(t.content for t in self.whole.get_added_tokens_decoder().values()))
         # Bytes that print stand for themselves, the others for characters from 256 on, in order.
@@ -76,8 +77,12 @@ class Encoder:
 
     def _one(self, run: str) -> bytes:
         """A run that the tokenizer does not split: straight to its merges."""
-        spelled = run.encode("utf-8").decode("latin-1").translate(self.letters)
-        return self._ids([t.id for t in self.whole.model.tokenize(spelled)])
+        if run.isascii() and run.isprintable():
+            # Of these only the space is spelled otherwise.
+            spelled = run.replace(" ", self.letters[32])
+        else:
+            spelled = run.encode("utf-8").decode("latin-1").translate(self.letters)
+        return self._ids([t.id for t in self.merge(spelled)])
 
     def _run(self, part: str, lead: str, known: dict[str, bytes]) -> bytes:
         """Ids of ``lead`` (a space or nothing) and a part without spaces."""
