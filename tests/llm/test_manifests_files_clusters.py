@@ -134,6 +134,13 @@ def test_odd_texts_have_the_ids_of_the_library(tokenizer, encoder, text):
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*"abAB ,.'0 \n\t\x1c\x85\xa0", "'ll", "word ", "<|endoftext|>", "́", "漢", "ÿ", " ", "\u2003"]), max_size=12).map("".join), max_size=6))
+def test_texts_encoded_together_have_the_ids_of_the_library(tokenizer, encoder, texts):
+    ids, lengths = encoder.encode_all(texts)
+    assert [p.tolist() for p in np.split(ids, np.cumsum(lengths)[:-1])][:len(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from([*"abzABZßÄéñIİ ,.!?'\"-0 \n\t\x1c ", "'s", "<|endoftext|>", "<|", "word", *"\u0301\u00b5\u00b2\u00bd\u00df\u00ff\u00d7\u00f7\u00aa\x00\x7f\x85\xa0\xad"]), max_size=30).map("".join))
 def test_any_text_has_the_ids_of_the_library(tokenizer, encoder, text):
