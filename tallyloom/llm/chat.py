@@ -72,7 +72,8 @@ def format_preferences(pairs: DataFrame, id_col: str = "pair_id", chosen_col: st
 
     ``pairs`` holds both conversations as lists of ``(role, text)``. Where one is the beginning of the other, or
     both are equal, the shorter completion is empty, as is its mask. A null list counts as one without turns, a null
-    turn or role as ``unknown``, a null text as empty. Repeated pairs stay; further columns are not read.
+    turn or role as ``unknown``, a null text as empty. Repeated pairs stay; further columns are not read. Texts are
+    rendered as they are, also where they hold marks like those of the rendering: spans are counted, not searched for.
     """
     clean = lambda c: F.transform(
         F.coalesce(F.col(c).cast(TURNS), F.array().cast(TURNS)),

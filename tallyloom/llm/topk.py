@@ -5,8 +5,9 @@ medians of its widest dimension, and each node has the tight box of its vectors.
 The greatest inner product a box allows bounds every vector in it: the leaves of a
 shard are visited best bound first, until the bound falls below the k-th score
 found so far. That score is propagated: a query first searches its home shard and
-takes its k-th score along to all others, where whole shards and leaves whose
-bound is lower are passed over.
+takes its k-th score along to all others, where leaves whose bound is lower are
+passed over. Shards are dealt by hash, so that they are of equal size whatever the
+data; each holds vectors from the whole space.
 """
 
 from __future__ import annotations
