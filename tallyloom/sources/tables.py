@@ -81,6 +81,9 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table; a plain Parquet folder, which no load of this library has written, as it is."""
+    if versions.latest(spark, path) is None and versions.Store(spark, path).names(""):
+        return spark.read.parquet(path)
     return versions.read(spark, path)
 
 

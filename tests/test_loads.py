@@ -115,6 +115,15 @@ def test_create_if_there_is_none(spark, rows, table):
     assert empty.collect() == [] and empty.columns == ["k", "v"]
 
 
+def test_paths_with_a_scheme_and_plain_folders(spark, rows, tmp_path):
+    path = f"file://{tmp_path}/t"
+    tables.create_table(rows([(1,)], "v int"), path)
+    tables.append_rows(rows([(2,)], "v int"), path, "load 1")
+    assert tuples(tables.read_table(spark, path)) == tuples(tables.read_table(spark, f"{tmp_path}/t/")) == [(1,), (2,)]
+    rows([(3,)], "v int").write.parquet(f"{tmp_path}/plain")
+    assert tuples(tables.read_table(spark, f"{tmp_path}/plain")) == [(3,)]
+
+
 def test_clean_deletes_what_no_kept_version_holds(spark, rows, table):
     with pytest.raises(Exception, match="lost half-way"):
         tables.reload_table(failing(rows), table)
