@@ -91,12 +91,12 @@ def _is_there(spark: SparkSession, path: str) -> bool:
 
 
 def _current(book: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """The ledger's rows of the given rules in the given versions, one per blob and rule.
+    """The ledger's findings of the given rules in the given versions, one row per blob and rule.
 
     A scan that ran again, or beside another one, leaves the same row twice.
     """
     version = F.create_map(*(x for r in rules for x in (F.lit(r.name), F.lit(r.version))))
-    return book.filter(F.col("version") == version[F.col("rule")]).dropDuplicates(["blob", "rule"])
+    return book.filter((F.col("version") == version[F.col("rule")]) & (F.size("spans") > 0)).dropDuplicates(["blob", "rule"])
 
 
 def update_ledger(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
@@ -139,8 +139,7 @@ def find_secrets(
     book = update_ledger(docs, ledger, rules, text_col)
     rank = F.create_map(*(x for i, r in enumerate(rules) for x in (F.lit(r.name), F.lit(i))))
     spans = (
-        _current(book, rules).filter(F.size("spans") > 0)
-        .withColumn("rank", rank[F.col("rule")])
+        _current(book, rules).withColumn("rank", rank[F.col("rule")])
         .select("blob", F.expr("transform(spans, s -> struct(s.start AS start, rank, rule AS kind, s.stop AS stop))").alias("found"))
         .groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("found"))).alias("found"))
     )
@@ -158,8 +157,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[secre
     """
     book = update_ledger(docs, ledger, rules, text_col)
     spans = (
-        _current(book, rules).filter(F.size("spans") > 0)
-        .groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("_spans"))
+        _current(book, rules).groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("_spans"))
     )
     blob = F.unhex(F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256))
     joined = docs.withColumn("_blob", blob).join(spans.withColumnRenamed("blob", "_blob"), "_blob", "left")
