@@ -39,9 +39,17 @@ def _accent_rule() -> tuple[str, str]:
 _ACCENTED, _BASE = _accent_rule()
 
 
+# Letters of one byte whose words are parted by single spaces: all that is left to do is to trim and lower them.
+_PLAIN = r"\A *+[!-~]++(?: [!-~]++)*+ *+\z"
+
+
 def ci_key(text: Column) -> Column:
-    """Case- and accent-insensitive comparison key."""
-    return F.translate(F.lower(text), _ACCENTED, _BASE)
+    """Case- and accent-insensitive comparison key.
+
+    Text of one byte a letter holds no marks and skips ``translate``, which looks up letter by letter.
+    """
+    lower = F.lower(text)
+    return F.when(F.octet_length(text) == F.char_length(text), lower).otherwise(F.translate(lower, _ACCENTED, _BASE))
 
 
 def clean_trim(text: Column) -> Column:
@@ -50,8 +58,12 @@ def clean_trim(text: Column) -> Column:
 
 
 def norm_key(text: Column) -> Column:
-    """Key for comparing hand-typed names: whitespace, case and accents are ignored."""
-    return ci_key(clean_trim(text))
+    """Key for comparing hand-typed names: whitespace, case and accents are ignored.
+
+    Written with few steps for plain text, since a stage whose code gets long is not compiled by the JVM.
+    """
+    full = F.translate(F.lower(clean_trim(text)), _ACCENTED, _BASE)
+    return F.when(text.rlike(_PLAIN), F.lower(F.trim(text))).otherwise(full)
 
 
 def not_blank(text: Column) -> Column:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom import functions as fn
+from tallyloom.functions import text
 from tallyloom.functions.measures import mean_ticket, pop_stddev
 from tallyloom.params import DateWindow
 
@@ -23,6 +24,14 @@ def test_norm_key_evens_out_whitespace_case_and_accents(spark):
     assert one(spark, fn.norm_key(F.lit("  "))) == ""
 
 
+def test_norm_key_of_plain_and_odd_text_follows_one_rule(spark):
+    texts = [" A  b ", "a b", "  Ab", "a\u00a0B", "a\tb\n", "\u00a0", "\u0130x", "Stra\u00dfe \u00c9", "a\x00b", "\u212a", "a b  ", "", None]
+    data = spark.createDataFrame([(t,) for t in texts], "t string")
+    whole = F.translate(F.lower(F.trim(F.regexp_replace("t", r"[\s\u00A0]+", " "))), text._ACCENTED, text._BASE)
+    for wanted, found, folded, low in data.select(whole, fn.norm_key(F.col("t")), fn.ci_key(F.col("t")), F.translate(F.lower("t"), text._ACCENTED, text._BASE)).collect():
+        assert (found, folded) == (wanted, low)
+
+
 def test_ci_key_keeps_spaces_and_letters_without_a_base(spark):
     assert one(spark, fn.ci_key(F.lit(" Âß "))) == " aß "
 

@@ -1,5 +1,7 @@
 """What the planner makes of the queries: pushed filters, single scans, split hot keys."""
 
+import contextlib
+import io
 import re
 from contextlib import contextmanager
 
@@ -117,6 +119,19 @@ def test_fact_load_splits_a_hot_person(spark):
         assert quality.load_readiness(staging, dims).first().rows_ready_for_fact == 120_000
 
 
+def longest_method(spark, df_of):
+    """Bytes of the longest method Spark generates; the JVM does not compile one of more than 8,000."""
+    out = io.StringIO()
+    with settings(spark, spark__sql__adaptive__enabled="false", **NO_BROADCAST), contextlib.redirect_stdout(out):
+        df_of().explain("codegen")
+    return max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue()))
+
+
+def test_look_ups_are_short_enough_to_be_compiled(spark):
+    stored = registry.loaded(TestTables(spark, FOLDER))
+    assert longest_method(spark, lambda: w.located(stored.staging, stored.dims)) < 8000
+
+
 def test_conversion_with_a_hot_user_and_conference(spark):
     """A third of all registrations belongs to one user and conference; the rows meet as one pair."""
     n = 90_000
