@@ -217,16 +217,96 @@ def located(staging: DataFrame, dims: Dimensions) -> DataFrame:
     awards = dims.award_type.select("award_type_id", "award_key")
     found = keyed.join(places, ["affiliation_key", "country_key"]).join(awards, "award_key")
     return found.select(
-        "id", "affiliation_id", "country_id", "award_type_id", *(f"_{n}" for n in IDENTITIES),
-        F.trim("assembly_number").alias("assembly_number"),
-        "award_year",
-        *[
-            blank_to_null(F.col(c)).alias(c)
-            for c in ("session", "session_topic", "presentation_type", "certificate_number")
-        ],
+        "id", "affiliation_id", "country_id", "award_type_id", *(f"_{n}" for n in IDENTITIES), *_shown()
     )
 
 
+#: The texts a row's place and identity are made from.
+PERSON_TEXTS = ["name", "email", "affiliation", "country"]
+
+
+def person_texts(staging: DataFrame) -> DataFrame:
+    """The distinct combinations of ``PERSON_TEXTS``: a person's many rows as a few."""
+    return staging.select(*PERSON_TEXTS).distinct()
+
+
+def award_texts(staging: DataFrame) -> DataFrame:
+    return staging.select("award_certificate_type").distinct()
+
+
+def identified(persons: DataFrame, dims: Dimensions, first: Dimensions, identity: str) -> DataFrame:
+    """``person_texts`` that have a place, with its ids and those of their authors.
+
+    ``author_id`` is the author in ``first`` under ``identity``, whose key is unique there, or NULL. ``_lenient`` is kept
+    where ``dims`` may name another author under it, and is NULL where it names that very one or none.
+    """
+    homes = dims.country.select("country_id", "country_key")
+    places = dims.affiliation.join(homes, "country_id").select("affiliation_key", "country_key", "affiliation_id", "country_id")
+    authors = first.author.select("author_id", F.col(first.author_key).alias("_identity"))
+    # An identity may have several authors; one row per identity here, so no row comes twice.
+    named = dims.author.groupBy(F.col(dims.author_key).alias("_lenient")).agg(
+        F.count("*").alias("_authors"), F.min("author_id").alias("_author")
+    )
+    # Keys are made where they are first needed: the code of one stage with all of them is too long to be compiled.
+    placed = persons.withColumns({
+        "country_key": norm_key(F.col("country")), "affiliation_key": norm_key(F.col("affiliation")),
+    }).join(places, ["affiliation_key", "country_key"])
+    known = placed.withColumn("_identity", IDENTITIES[identity]()).join(authors, "_identity", "left")
+    found = known.withColumn("_lenient", IDENTITIES["lenient"]()).join(named, "_lenient", "left")
+    same = (F.col("_authors") == 1) & F.col("author_id").eqNullSafe(F.col("_author"))
+    open_ = F.col("_authors").isNotNull() & ~same
+    return found.select(
+        *PERSON_TEXTS, "affiliation_id", "country_id", "author_id", F.when(open_, F.col("_lenient")).alias("_lenient")
+    )
+
+
+def located_once(
+    staging: DataFrame, persons: DataFrame, awards: DataFrame, dims: Dimensions, first: Dimensions, identity: str
+) -> DataFrame:
+    """What two loads need of the staging rows: one by ``identity`` into ``first``, and the incremental one after it.
+
+    Place and authors are looked up per combination of texts (``person_texts``, ``award_texts``; stored, so that keys are
+    made for the combinations and not for every row), and the rows themselves are dealt out once. A row with an
+    ``author_id`` is a row of the first load; one with ``_lenient`` is open to the second. The others would meet
+    their own fact row there.
+    """
+    texts = identified(persons, dims, first, identity).withColumnsRenamed({c: f"_{c}" for c in PERSON_TEXTS})
+    types = dims.award_type.select("award_type_id", "award_key")
+    awarded = awards.select(
+        F.col("award_certificate_type").alias("_award"), norm_key(F.col("award_certificate_type")).alias("award_key")
+    ).join(types, "award_key").select("_award", "award_type_id")
+    named = staging.filter(not_blank(F.col("country")) & not_blank(F.col("affiliation"))).join(
+        awarded, F.col("award_certificate_type") == F.col("_award")
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in PERSON_TEXTS]
+    found = named.join(texts.filter("author_id IS NOT NULL OR _lenient IS NOT NULL"), same)
+    return found.select("id", "author_id", "_lenient", "affiliation_id", "country_id", "award_type_id", *_shown())
+
+
+def _shown() -> list[Column]:
+    """The columns of a fact row that are not looked up."""
+    texts = ("session", "session_topic", "presentation_type", "certificate_number")
+    return [F.trim("assembly_number").alias("assembly_number"), F.col("award_year"), *[blank_to_null(F.col(c)).alias(c) for c in texts]]
+
+
+def first_facts(rows: DataFrame) -> DataFrame:
+    """Fact rows of the first load, from ``located_once``."""
+    return rows.filter("author_id IS NOT NULL").withColumn("award_id", _fact_id(0)).select(*FACT_COLUMNS)
+
+
+def later_facts(rows: DataFrame, dims: Dimensions, fact: DataFrame) -> DataFrame:
+    """Fact rows of the incremental load after the first one, from ``located_once``; ``fact`` has the first one's."""
+    return add_to_fact(rows.filter("_lenient IS NOT NULL").drop("author_id"), dims, fact)
+
+
+def _fact_id(load_no: int) -> Column:
+    """Made of the load's number and the staging row's id."""
+    # Beyond the step, ids of one load would be those of another.
+    outside = F.raise_error(F.concat(F.lit(f"staging ids must lie below {LOAD_STEP}: "), F.col("id").cast("string")))
+    checked = F.when((F.col("id") >= 0) & (F.col("id") < LOAD_STEP), F.col("id")).otherwise(outside.cast("long"))
+    return checked + load_no * LOAD_STEP
+
+
 def with_authors(rows: DataFrame, dims: Dimensions, identity: str, load_no: int = 0) -> DataFrame:
     """Fact rows: ``located`` rows whose identity is in the author dimension.
 
@@ -234,10 +314,7 @@ def with_authors(rows: DataFrame, dims: Dimensions, identity: str, load_no: int
     repeated, and different where a later load takes a staging row again under another identity.
     """
     authors = dims.author.select("author_id", F.col(dims.author_key).alias(f"_{identity}"))
-    # Beyond the step, ids of one load would be those of another.
-    outside = F.raise_error(F.concat(F.lit(f"staging ids must lie below {LOAD_STEP}: "), F.col("id").cast("string")))
-    checked = F.when((F.col("id") >= 0) & (F.col("id") < LOAD_STEP), F.col("id")).otherwise(outside.cast("long"))
-    found = rows.join(authors, f"_{identity}").withColumn("award_id", checked + load_no * LOAD_STEP)
+    found = rows.join(authors, f"_{identity}").withColumn("award_id", _fact_id(load_no))
     return found.select(*FACT_COLUMNS)
 
 

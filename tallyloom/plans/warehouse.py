@@ -32,10 +32,6 @@ class Warehouse:
         return self.dims.with_author(self.author_by_person, "email")
 
 
-# All the text the dimensions are made from.
-_MEMBER_TEXTS = ["name", "email", "affiliation", "country", "award_certificate_type"]
-
-
 def together(*steps: Callable) -> list:
     """Results of steps that do not depend on each other, their jobs run side by side."""
     with ThreadPoolExecutor(len(steps)) as pool:
@@ -45,11 +41,12 @@ def together(*steps: Callable) -> list:
 def load_warehouse(spark: SparkSession, staging: DataFrame, folder: str) -> Warehouse:
     """Build every table below ``folder``.
 
-    The dimensions depend only on which texts occur together, so the staging table
-    is read once for all of them, down to its distinct combinations, and once more
-    for both fact loads. Each dimension is stored before anything looks up its ids, and
-    the next stage reads the stored table: its size is known to the planner, and
-    its keys stay as they are whatever is recomputed later. Every table is replaced as a
+    Places and identities depend only on which texts occur together, so the staging table
+    is read once for all of them, down to its distinct combinations, once for the award names,
+    and once more for both fact loads, which look places and authors up by combination.
+    Each dimension is stored before anything looks up its ids, and the next stage reads the
+    stored table: its size is known to the planner, and its keys stay as they are whatever
+    is recomputed later. Every table is replaced as a
     whole, so a load that fails leaves the tables before it as they were; what is stored
     on the way is deleted at the end.
     """
@@ -61,7 +58,7 @@ def _load_warehouse(spark: SparkSession, staging: DataFrame, folder: str) -> War
     def store(df: DataFrame, name: str) -> DataFrame:
         return create_table(df, f"{folder}/{name}", "overwrite")
 
-    texts = stage(staging.select(*_MEMBER_TEXTS).distinct(), "member_texts")
+    texts = stage(w.person_texts(staging), "person_texts")
 
     def places():
         country = store(w.dim_country(texts), "dim_country")
@@ -71,18 +68,20 @@ def _load_warehouse(spark: SparkSession, staging: DataFrame, folder: str) -> War
         by_email = store(w.dim_author(texts), "dim_author_by_email")
         return by_email, store(w.add_people(by_email, texts), "dim_author_by_person")
 
-    (country, affiliation), (by_email, by_person), award_type, people = together(
-        places, authors, lambda: store(w.dim_award_type(texts), "dim_award_type"), lambda: store(w.build_people(texts), "people")
+    def award_types():
+        names = stage(w.award_texts(staging), "award_texts")
+        return names, store(w.dim_award_type(names), "dim_award_type")
+
+    (country, affiliation), (by_email, by_person), (awards, award_type), people = together(
+        places, authors, award_types, lambda: store(w.build_people(texts), "people")
     )
     dims = w.Dimensions(country, affiliation, award_type, by_person, "email")
-    # Both loads share the look-up of all but the author.
-    author, rows = together(
-        lambda: store(w.upsert_dimension(w.split_email_columns(by_person), people, "email_norm", "author_id"), "dim_author"),
-        lambda: stage(w.located(staging, dims), "located"),
-    )
+    author = store(w.upsert_dimension(w.split_email_columns(by_person), people, "email_norm", "author_id"), "dim_author")
+    before, dims = dims, dims.with_author(author, "email_norm")
+    # Both loads share the look-up.
+    rows = stage(w.located_once(staging, texts, awards, dims, before, "strict"), "located")
 
     fact_path = f"{folder}/fact_award"
-    first = reload_table(w.with_authors(rows, dims, "strict"), fact_path)
-    dims = dims.with_author(author, "email_norm")
-    append_rows(w.add_to_fact(rows, dims, first), fact_path, "incremental 1")
+    first = reload_table(w.first_facts(rows), fact_path)
+    append_rows(w.later_facts(rows, dims, first), fact_path, "incremental 1")
     return Warehouse(staging, dims, by_email, by_person, people, read_table(spark, fact_path))
