@@ -260,24 +260,20 @@ def identified(persons: DataFrame, dims: Dimensions, first: Dimensions, identity
     )
 
 
-def located_once(
-    staging: DataFrame, persons: DataFrame, awards: DataFrame, dims: Dimensions, first: Dimensions, identity: str
-) -> DataFrame:
+def located_once(staging: DataFrame, persons: DataFrame, dims: Dimensions, first: Dimensions, identity: str) -> DataFrame:
     """What two loads need of the staging rows: one by ``identity`` into ``first``, and the incremental one after it.
 
-    Place and authors are looked up per combination of texts (``person_texts``, ``award_texts``; stored, so that keys are
-    made for the combinations and not for every row), and the rows themselves are dealt out once. A row with an
+    Place and authors are looked up per combination of texts (``person_texts``; stored, so that keys are made for
+    the combinations and not for every row), and the rows themselves are dealt out once. A row with an
     ``author_id`` is a row of the first load; one with ``_lenient`` is open to the second. The others would meet
     their own fact row there.
     """
     texts = identified(persons, dims, first, identity).withColumnsRenamed({c: f"_{c}" for c in PERSON_TEXTS})
-    types = dims.award_type.select("award_type_id", "award_key")
-    awarded = awards.select(
-        F.col("award_certificate_type").alias("_award"), norm_key(F.col("award_certificate_type")).alias("award_key")
-    ).join(types, "award_key").select("_award", "award_type_id")
-    named = staging.filter(not_blank(F.col("country")) & not_blank(F.col("affiliation"))).join(
-        awarded, F.col("award_certificate_type") == F.col("_award")
-    )
+    # The stored dimension has a size the planner knows; a table of award texts made here would be sorted with all rows.
+    awards = dims.award_type.select("award_type_id", "award_key")
+    named = staging.filter(not_blank(F.col("country")) & not_blank(F.col("affiliation"))).withColumn(
+        "award_key", norm_key(F.col("award_certificate_type"))
+    ).join(awards, "award_key")
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in PERSON_TEXTS]
     found = named.join(texts.filter("author_id IS NOT NULL OR _lenient IS NOT NULL"), same)
     return found.select("id", "author_id", "_lenient", "affiliation_id", "country_id", "award_type_id", *_shown())

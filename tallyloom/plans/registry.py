@@ -133,8 +133,7 @@ def _warehouse() -> dict[str, Callable[[TestTables], DataFrame]]:
         stored = loaded(t)
         # Both loads share the look-up.
         texts = stage(w.person_texts(stored.staging), "person_texts")
-        awards = stage(w.award_texts(stored.staging), "award_texts")
-        rows = stage(w.located_once(stored.staging, texts, awards, stored.dims, stored.dims_by_email, "by_email"), "located")
+        rows = stage(w.located_once(stored.staging, texts, stored.dims, stored.dims_by_email, "by_email"), "located")
         return w.later_facts(rows, stored.dims, w.first_facts(rows))
 
     def fact_reloaded(t: TestTables) -> DataFrame:

@@ -69,17 +69,16 @@ def _load_warehouse(spark: SparkSession, staging: DataFrame, folder: str) -> War
         return by_email, store(w.add_people(by_email, texts), "dim_author_by_person")
 
     def award_types():
-        names = stage(w.award_texts(staging), "award_texts")
-        return names, store(w.dim_award_type(names), "dim_award_type")
+        return store(w.dim_award_type(stage(w.award_texts(staging), "award_texts")), "dim_award_type")
 
-    (country, affiliation), (by_email, by_person), (awards, award_type), people = together(
+    (country, affiliation), (by_email, by_person), award_type, people = together(
         places, authors, award_types, lambda: store(w.build_people(texts), "people")
     )
     dims = w.Dimensions(country, affiliation, award_type, by_person, "email")
     author = store(w.upsert_dimension(w.split_email_columns(by_person), people, "email_norm", "author_id"), "dim_author")
     before, dims = dims, dims.with_author(author, "email_norm")
     # Both loads share the look-up.
-    rows = stage(w.located_once(staging, texts, awards, dims, before, "strict"), "located")
+    rows = stage(w.located_once(staging, texts, dims, before, "strict"), "located")
 
     fact_path = f"{folder}/fact_award"
     first = reload_table(w.first_facts(rows), fact_path)

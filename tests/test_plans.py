@@ -154,7 +154,7 @@ def test_the_shared_look_up_gives_the_rows_of_two_loads(spark, identity):
     plain = w.located(staging, stored.dims)
     first = w.with_authors(plain, before, identity)
     later = w.add_to_fact(plain, stored.dims, first)
-    rows = w.located_once(staging, w.person_texts(staging), w.award_texts(staging), stored.dims, before, identity)
+    rows = w.located_once(staging, w.person_texts(staging), stored.dims, before, identity)
     as_text = lambda df: sorted(map(str, df.collect()))
     assert as_text(w.first_facts(rows)) == as_text(first) and as_text(w.later_facts(rows, stored.dims, w.first_facts(rows))) == as_text(later)
     assert first.count() > 3 and later.count() > 0
