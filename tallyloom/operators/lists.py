@@ -54,6 +54,19 @@ def joined_lists(
     of different values of a list; they come from the same pass.
     """
     counted = list_values(rows, keys, lists, weight, fold=distinct)
+    return join_values(counted, keys, list(lists), distinct, row_count, value_counts, separator)
+
+
+def join_values(
+    counted: DataFrame,
+    keys: list[str],
+    lists: list[str],
+    distinct: bool = True,
+    row_count: str | None = None,
+    value_counts: dict[str, str] | None = None,
+    separator: str = ", ",
+) -> DataFrame:
+    """``joined_lists`` from the values of ``list_values``; ``row_count`` is that of the first of ``lists``."""
     between = separator.replace("\\", "\\\\").replace("'", "\\'")
     too_long = "raise_error('a repeated value does not fit in one cell; use list_values')"
     repeated = f"concat(repeat(concat(value, '{between}'), if(n > {MAX_CELL}, {too_long}, int(n - 1))), value)"
@@ -64,7 +77,7 @@ def joined_lists(
     )
     shown = [_of(name, "text").alias(name) for name in lists]
     if row_count:
-        shown.append(_of(next(iter(lists)), "rows").alias(row_count))
+        shown.append(_of(lists[0], "rows").alias(row_count))
     for output, name in (value_counts or {}).items():
         shown.append(_of(name, "values").alias(output))
     return per_list.groupBy(*keys).agg(*shown)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import ci_key
-from tallyloom.operators.lists import joined_lists, list_values
+from tallyloom.operators.lists import join_values, joined_lists, list_values
 from tallyloom.operators.warehouse import Dimensions
 
 
@@ -79,27 +79,28 @@ def _counted(fact: DataFrame, *columns: str) -> DataFrame:
     return fact.groupBy(*columns).agg(F.count("*").alias("n"))
 
 
-def country_lists(fact: DataFrame, dims: Dimensions) -> DataFrame:
-    people = _named(_counted(fact, "country_id", "author_id", "session_topic"), dims, "author")
-    lists = joined_lists(
-        people,
-        ["country_id"],
-        {"authors": "full_name", "emails": "email_norm", "research_areas": "session_topic"},
-        weight="n",
-        row_count="total_awards",
+def _country_values(fact: DataFrame, dims: Dimensions) -> DataFrame:
+    """Values of the lists per country. Topics are added up apart from people, or each person would come once per topic."""
+    people = _named(_counted(fact, "country_id", "author_id"), dims, "author")
+    topics = _counted(fact, "country_id", "session_topic")
+    return list_values(people, ["country_id"], {"authors": "full_name", "emails": "email_norm"}, "n").unionByName(
+        list_values(topics, ["country_id"], {"research_areas": "session_topic"}, "n")
     )
+
+
+def country_lists(fact: DataFrame, dims: Dimensions) -> DataFrame:
+    names = ["authors", "emails", "research_areas"]
+    lists = join_values(_country_values(fact, dims), ["country_id"], names, row_count="total_awards")
     return _named(lists, dims, "country").select(
-        F.col("country_name").alias("country"), "total_awards", "authors", "emails", "research_areas"
+        F.col("country_name").alias("country"), "total_awards", *names
     ).orderBy(F.desc("total_awards"), "country")
 
 
 def country_list_values(fact: DataFrame, dims: Dimensions) -> DataFrame:
     """The lists of ``country_lists`` one value per row, for countries of any size."""
-    people = _named(_counted(fact, "country_id", "author_id", "session_topic"), dims, "author")
-    long = list_values(
-        people, ["country_id"], {"authors": "full_name", "emails": "email_norm", "research_areas": "session_topic"}, "n"
+    return _named(_country_values(fact, dims), dims, "country").select(
+        F.col("country_name").alias("country"), "list", "value", "n"
     )
-    return _named(long, dims, "country").select(F.col("country_name").alias("country"), "list", "value", "n")
 
 
 def affiliation_list_values(fact: DataFrame, dims: Dimensions, country: str) -> DataFrame:

@@ -12,7 +12,7 @@ from tallyloom.operators import asof, funnel, quality
 from tallyloom.operators import warehouse as w
 from tallyloom.operators.ranking import top_k
 from tallyloom.params import DateWindow
-from tallyloom.plans import insights, marketing, registry
+from tallyloom.plans import insights, marketing, registry, reports
 from tallyloom.sources import tables
 from tallyloom.sources.testdata import TestTables
 
@@ -134,6 +134,18 @@ def test_look_ups_are_short_enough_to_be_compiled(spark):
     assert longest_method(spark, lambda: w.identified(texts, stored.dims, stored.dims_by_person, "strict")) < 8000
 
 
+def test_people_of_a_country_are_not_listed_once_per_topic(spark, rows):
+    fact = rows([(i, i % 2, 1, f"topic {i % 50}") for i in range(200)], "award_id long, author_id long, country_id long, session_topic string")
+    country = rows([(1, "Peru")], "country_id long, country_name string")
+    author = rows([(0, "Ann", "a@x.org"), (1, "Bo", "b@x.org")], "author_id long, full_name string, email_norm string")
+    dims = w.Dimensions(country, None, None, author)
+    lists = reports.country_lists(fact, dims)
+    row = lists.first()
+    assert (row.total_awards, row.authors, row.emails, len(row.research_areas.split(", "))) == (200, "Ann, Bo", "a@x.org, b@x.org", 50)
+    text = lists._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Aggregate \[country_id#\d+L?, author_id#\d+L?, session_topic", text)
+
+
 @pytest.mark.parametrize("identity", ["strict", "by_email"])
 def test_the_shared_look_up_gives_the_rows_of_two_loads(spark, identity):
     """Blank parts, repeated rows, and junk e-mails of one name, which share an identity without context."""
