@@ -27,7 +27,7 @@ from tallyloom.functions import (
     plain_address,
 )
 from tallyloom.operators.keys import assign_surrogate_keys, number_missing
-from tallyloom.sources.tables import delete_where
+from tallyloom.sources.tables import delete_where, stage
 
 # Meetings whose year is set by hand.
 ASSEMBLY_YEARS = {
@@ -260,23 +260,83 @@ def identified(persons: DataFrame, dims: Dimensions, first: Dimensions, identity
     )
 
 
+def place_texts(staging: DataFrame, dims: Dimensions) -> DataFrame:
+    """The combinations of affiliation and country, as given, that have a place, with its ids.
+
+    The country is looked up first, then the affiliation in it: both are stored dimensions, whose sizes the planner
+    knows; of a table of places joined here it would know none, and deal the texts out for it.
+    """
+    homes = dims.country.select("country_id", "country_key")
+    places = dims.affiliation.select("affiliation_key", "country_id", "affiliation_id")
+    texts = staging.select("affiliation", "country").distinct()
+    at_home = texts.withColumn("country_key", norm_key(F.col("country"))).join(homes, "country_key")
+    at_place = at_home.withColumn("affiliation_key", norm_key(F.col("affiliation"))).join(places, ["affiliation_key", "country_id"])
+    return at_place.select("affiliation", "country", "affiliation_id", "country_id")
+
+
+def known_identities(dims: Dimensions, first: Dimensions) -> DataFrame:
+    """One row per identity that ``first`` or ``dims`` has an author of.
+
+    ``author_id`` is the one in ``first``, whose key is unique there. ``_lenient`` is the identity where ``dims`` names
+    anyone by it, ``_other`` where it may name another than that author.
+    """
+    authors = first.author.select(F.col(first.author_key).alias("_identity"), "author_id")
+    # An identity may have several authors; one row per identity here, so no row comes twice.
+    named = dims.author.groupBy(F.col(dims.author_key).alias("_identity")).agg(
+        F.count("*").alias("_authors"), F.min("author_id").alias("_author")
+    )
+    same = (F.col("_authors") == 1) & F.col("author_id").eqNullSafe(F.col("_author"))
+    there = F.col("_authors").isNotNull()
+    return authors.join(named, "_identity", "full_outer").select(
+        "_identity", "author_id", there.alias("_there"), (there & ~same).alias("_other")
+    )
+
+
+def _has_identity(identity: str) -> Column:
+    """Whether the identity is there, without making it: making two in one stage is code too long to be compiled."""
+    if identity == "strict":
+        parts = F.col("name").isNotNull() & F.col("affiliation").isNotNull() & F.col("country").isNotNull()
+        return has_address(F.col("email")) | parts
+    return F.col("email").isNotNull() if identity == "by_email" else F.lit(True)
+
+
+def _has_two(identity: str) -> Column:
+    """True, never NULL, where the identity is there and may be another than the lenient one."""
+    if identity == "strict":
+        blank = [F.coalesce(F.trim(c) == "", F.lit(False)) for c in ("name", "affiliation", "country")]
+        return ~has_address(F.col("email")) & (blank[0] | blank[1] | blank[2])
+    return F.col("email").isNotNull() & ~has_address(F.col("email")) if identity == "by_email" else F.lit(False)
+
+
 def located_once(staging: DataFrame, persons: DataFrame, dims: Dimensions, first: Dimensions, identity: str) -> DataFrame:
     """What two loads need of the staging rows: one by ``identity`` into ``first``, and the incremental one after it.
 
-    Place and authors are looked up per combination of texts (``person_texts``; stored, so that keys are made for
-    the combinations and not for every row), and the rows themselves are dealt out once. A row with an
-    ``author_id`` is a row of the first load; one with ``_lenient`` is open to the second. The others would meet
-    their own fact row there.
+    Nearly every row has the same identity for both loads, or none for the first: such rows are dealt out once, by that
+    identity and without the texts it is made from. The others are looked up per combination of texts (``identified``,
+    from ``person_texts``). A row with an ``author_id`` is a row of the first load; one with ``_lenient`` is open to the
+    second. The rest would meet their own fact row there.
     """
-    texts = identified(persons, dims, first, identity).withColumnsRenamed({c: f"_{c}" for c in PERSON_TEXTS})
+    own, two = _has_identity(identity), _has_two(identity)
     # The stored dimension has a size the planner knows; a table of award texts made here would be sorted with all rows.
     awards = dims.award_type.select("award_type_id", "award_key")
     named = staging.filter(not_blank(F.col("country")) & not_blank(F.col("affiliation"))).withColumn(
         "award_key", norm_key(F.col("award_certificate_type"))
     ).join(awards, "award_key")
+    # Stored, so that a table of many identities is shuffled by itself and an outsized one split on the rows' side.
+    known = stage(known_identities(dims, first), "identities")
+    places = stage(place_texts(staging, dims), "places")
+    keyed = named.filter(~two).join(places, ["affiliation", "country"]).withColumns({
+        "_identity": IDENTITIES["lenient"](), "_own": own,
+    })
+    open_ = F.when(F.col("_own"), F.col("_other")).otherwise(F.col("_there"))
+    by_identity = keyed.join(known, "_identity").withColumns({
+        "author_id": F.when(F.col("_own"), F.col("author_id")), "_lenient": F.when(open_, F.col("_identity")),
+    })
+    texts = identified(persons.filter(two), dims, first, identity).withColumnsRenamed({c: f"_{c}" for c in PERSON_TEXTS})
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in PERSON_TEXTS]
-    found = named.join(texts.filter("author_id IS NOT NULL OR _lenient IS NOT NULL"), same)
-    return found.select("id", "author_id", "_lenient", "affiliation_id", "country_id", "award_type_id", *_shown())
+    columns = ["id", "author_id", "_lenient", "affiliation_id", "country_id", "award_type_id", *_shown()]
+    found = by_identity.select(*columns).unionByName(named.filter(two).join(texts, same).select(*columns))
+    return found.filter("author_id IS NOT NULL OR _lenient IS NOT NULL")
 
 
 def _shown() -> list[Column]:
@@ -326,12 +386,15 @@ _COMBINATION = ["author_id", "affiliation_id", "country_id", "award_type_id"]
 
 
 def without_loaded(rows: DataFrame, fact: DataFrame) -> DataFrame:
-    """Rows whose ids and certificate are in no fact row; a missing certificate equals an empty one."""
+    """Rows whose ids and certificate are in no fact row; a missing certificate equals an empty one.
+
+    ``rows`` are read twice, and best stored. First the fact rows they meet are taken, so that a batch of a size to be
+    broadcast moves none of the fact table.
+    """
     certificate = F.coalesce(blank_to_null(F.col("certificate_number")), F.lit("")).alias("_certificate")
-    loaded = fact.select(*_COMBINATION, certificate)
-    return rows.withColumn("_certificate", certificate).join(
-        loaded, [*_COMBINATION, "_certificate"], "left_anti"
-    ).select(*rows.columns)
+    keys = [*_COMBINATION, "_certificate"]
+    met = fact.select(*_COMBINATION, certificate).join(rows.select(*_COMBINATION, certificate), keys, "left_semi")
+    return rows.withColumn("_certificate", certificate).join(met, keys, "left_anti").select(*rows.columns)
 
 
 def load_fact_incremental(staging: DataFrame, dims: Dimensions, fact: DataFrame, load_no: int = 1) -> DataFrame:
@@ -344,4 +407,4 @@ def load_fact_incremental(staging: DataFrame, dims: Dimensions, fact: DataFrame,
 
 def add_to_fact(rows: DataFrame, dims: Dimensions, fact: DataFrame, load_no: int = 1) -> DataFrame:
     """``load_fact_incremental`` from rows already ``located``."""
-    return without_loaded(with_authors(rows, dims, "lenient", load_no), fact)
+    return without_loaded(stage(with_authors(rows, dims, "lenient", load_no), "batch"), fact)

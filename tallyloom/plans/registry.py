@@ -132,7 +132,7 @@ def _warehouse() -> dict[str, Callable[[TestTables], DataFrame]]:
     def fact_incremental(t: TestTables) -> DataFrame:
         stored = loaded(t)
         # Both loads share the look-up.
-        texts = stage(w.person_texts(stored.staging), "person_texts")
+        texts = w.person_texts(stored.staging)
         rows = stage(w.located_once(stored.staging, texts, stored.dims, stored.dims_by_email, "by_email"), "located")
         return w.later_facts(rows, stored.dims, w.first_facts(rows))
 

@@ -176,6 +176,63 @@ def test_the_shared_look_up_gives_the_rows_of_two_loads(spark, identity):
         assert {r.id for r in rows.filter("_lenient IS NOT NULL").collect()} == {3, 4, 5}
 
 
+def every_person():
+    """Each combination of missing, blank, junk and usable texts."""
+    n = 0
+    for name in (None, " ", "Ann", "ann "):
+        for email in (None, "", "n/a", "a@x.org", " A@X.org "):
+            for affiliation in (None, " ", "MIT", " mit"):
+                for country in (None, "", "Peru", "PERU "):
+                    n += 1
+                    yield n, "A1", 2020, name, email, affiliation, country, "Gold", f"C{n % 7}" if n % 5 else None, "s", "t", "p"
+
+
+@pytest.mark.parametrize("identity", ["strict", "by_email", "lenient"])
+def test_the_shared_look_up_takes_every_kind_of_person(spark, identity):
+    staging = spark.createDataFrame(
+        list(every_person()),
+        "id long, assembly_number string, award_year int, name string, email string, affiliation string, country string, "
+        "award_certificate_type string, certificate_number string, session string, session_topic string, presentation_type string",
+    )
+    stored = registry.load_warehouse(spark, staging, tables.work_folder(spark, "every"))
+    people = stored.people.selectExpr("abs(hash(email_norm)) AS author_id", "email_norm")
+    before = {"strict": stored.dims_by_person, "by_email": stored.dims_by_email, "lenient": stored.dims.with_author(people, "email_norm")}[identity]
+    plain = w.located(staging, stored.dims)
+    first = w.with_authors(plain, before, identity)
+    rows = w.located_once(staging, w.person_texts(staging), stored.dims, before, identity)
+    as_text = lambda df: sorted(map(str, df.collect()))
+    assert as_text(w.first_facts(rows)) == as_text(first) and first.count() > 20
+    assert as_text(w.later_facts(rows, stored.dims, first)) == as_text(w.add_to_fact(plain, stored.dims, first))
+    if identity == "strict":
+        later = w.add_to_fact(plain, stored.dims, first)
+        assert as_text(stored.fact) == sorted(as_text(first) + as_text(later))
+
+
+def test_rows_are_dealt_out_by_one_identity_without_its_texts(spark):
+    stored = registry.loaded(TestTables(spark, FOLDER))
+    texts = tables.stage(w.person_texts(stored.staging), "texts")
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        rows = w.located_once(stored.staging, texts, stored.dims, stored.dims_by_person, "strict")
+        text = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert longest_method(spark, lambda: rows) < 8000
+    assert re.search(r"Join Inner, .*_identity#\d+ = _identity#\d+", text)
+    # The join by texts takes rows and texts with a blank part only; the other rows leave them out.
+    assert len(re.findall(r"Join Inner, .*name#\d+.* <=> ", text)) == 1
+    assert len(re.findall(r"Filter .*trim\(name#\d+, None\) = ", text)) >= 3, text
+
+
+def test_a_small_batch_moves_none_of_the_fact_table(spark, rows):
+    fact = tables.stage(spark.range(200_000).selectExpr(
+        "id AS author_id", "id AS affiliation_id", "id AS country_id", "id AS award_type_id", "concat('C', id) AS certificate_number"
+    ), "fact")
+    batch = tables.stage(fact.limit(5).unionByName(fact.limit(1).withColumn("certificate_number", F.lit("new"))), "batch")
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="200k", spark__sql__adaptive__autoBroadcastJoinThreshold="200k"):
+        left = w.without_loaded(batch, fact)
+        assert [r.certificate_number for r in left.collect()] == ["new"]
+        text = left._jdf.queryExecution().sparkPlan().toString()
+        assert re.search(r"BroadcastHashJoin \[.*LeftSemi, BuildRight", text)
+
+
 def test_conversion_with_a_hot_user_and_conference(spark):
     """A third of all registrations belongs to one user and conference; the rows meet as one pair."""
     n = 90_000
