@@ -42,8 +42,8 @@ def load_warehouse(spark: SparkSession, staging: DataFrame, folder: str) -> Ware
     """Build every table below ``folder``.
 
     Places and identities depend only on which texts occur together, so the staging table
-    is read once for all of them, down to its distinct combinations, once for the award names,
-    and once more for both fact loads, which look places and authors up by combination.
+    is read once for all dimensions of them, down to its distinct combinations, and once for the
+    award names. Both fact loads share one look-up of its rows (``located_once``).
     Each dimension is stored before anything looks up its ids, and the next stage reads the
     stored table: its size is known to the planner, and its keys stay as they are whatever
     is recomputed later. Every table is replaced as a
