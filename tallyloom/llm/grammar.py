@@ -17,7 +17,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from struct import pack
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,10 @@ from tallyloom.llm.texts import FREE_SHUFFLES, only, slices
 BLOCK_IDS = 1 << 20
 
 #: Runs, and words, whose ids a worker holds; it begins anew when they are too many.
-HELD_WORDS = 400_000
+HELD_WORDS = 600_000
+
+#: New runs that one call of the library takes, so that its results do not grow with the text.
+CALL_RUNS = 1 << 16
 
 #: A round replaces pairs down to this part of the count that the round before began with.
 STEP = 6
@@ -49,7 +52,7 @@ SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 #: Fixed value: the runs that the tokenizer parts a text into, for text in lower case below U+0100.
 _LETTERS, _DIGITS, _SPACES = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be", "\t-\r \x85\xa0"
-APART = f"([{_DIGITS}]|[^{_LETTERS}{_DIGITS}{_SPACES}]+)"
+APART = f"[{_DIGITS}]|[^{_LETTERS}{_DIGITS}{_SPACES}]+"
 RUNS = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}{_SPACES}]+")
 
 
@@ -64,28 +67,64 @@ class WordEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.whole = Tokenizer.from_file(path)
-        self.merge = self.whole.model.tokenize
+        #: The merges alone: for runs already spelled, with spaces between them.
+        self.merges = Tokenizer(self.whole.model)
+        self.merges.pre_tokenizer = WhitespaceSplit()
+        #: Whether a token ends a run, per id.
+        vocab, suffix = self.whole.get_vocab(), self.whole.model.end_of_word_suffix
+        self.ends_run = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.ends_run[[i for token, i in vocab.items() if suffix and token.endswith(suffix)]] = True
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         # Bytes that print stand for themselves, the others for characters from 256 on, in order.
         prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
-        self.letters = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in prints)}
+        self.letters = np.arange(256, dtype="<u4")
+        others = [b for b in range(256) if b not in prints]
+        self.letters[others] = 256 + np.arange(len(others))
+        # Between runs.
+        self.letters[32] = 32
         self.runs: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _run(self, run: str) -> bytes:
-        """The ids of a run, straight from the merges."""
-        got = self.runs.get(run)
-        if got is None:
-            spelled = run if run.isascii() and run.isalpha() else run.encode("utf-8").decode("latin-1").translate(self.letters)
-            ids = [t.id for t in self.merge(spelled)]
-            got = pack(f"<{len(ids)}I", *ids)
-            _hold(self.runs, run, got)
-        return got
+    def _merge(self, runs: list[str]) -> list[bytes]:
+        """The ids of each of some runs, straight from the merges: one call of the library for all of them."""
+        spelled = self.letters[np.frombuffer(" ".join(runs).encode("utf-8"), np.uint8)].tobytes().decode("utf-32-le")
+        ids = np.array(self.merges.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, dtype="<u4")
+        stops = ((np.flatnonzero(self.ends_run[ids]) + 1) * 4).tolist()
+        if len(stops) != len(runs):
+            # A vocabulary without ends, or not for every character: run by run.
+            return [np.array([t.id for t in self.whole.model.tokenize(run)], dtype="<u4").tobytes() for run in spelled.split(" ") if run]
+        flat = ids.tobytes()
+        return [flat[a:b] for a, b in zip([0, *stops], stops)]
+
+    def _tables(self, words: list[str]) -> list[bytes]:
+        """The ids of each of some words of Latin text; what white space other than ASCII's holds together is parted."""
+        found = list(map(self.runs.get, words))
+        if None not in found:
+            return found
+        missing = [word for word, ids in zip(words, found) if ids is None]
+        parts = {word: RUNS.findall(word) for word in missing if not word.isalpha()}
+        mixed = {word: runs for word, runs in parts.items() if runs != [word]}
+        fresh = list(dict.fromkeys(word for word in missing if word not in mixed))
+        known: dict[str, bytes] = {}
+        for i in range(0, len(fresh), CALL_RUNS):
+            some = fresh[i:i + CALL_RUNS]
+            known.update(zip(some, self._merge(some)))
+        held = {run: ids for run, ids in islice(known.items(), HELD_WORDS) if len(run) <= 64}
+        if len(self.runs) + len(held) > HELD_WORDS:
+            self.runs.clear()
+        self.runs.update(held)
+        if mixed:
+            # These are runs, and runs are not mixed.
+            runs = list(dict.fromkeys(chain.from_iterable(mixed.values())))
+            own = dict(zip(runs, self._tables(runs)))
+            known.update((word, b"".join([own[run] for run in runs])) for word, runs in mixed.items())
+        return [known[word] if ids is None else ids for word, ids in zip(words, found)]
 
     def _word(self, word: str) -> bytes:
         got = self.words.get(word)
@@ -98,17 +137,15 @@ class WordEncoder:
         if any(s in text for s in self.special):
             return self._encode(text)
         if _is_latin(text):
-            parts, known, work_out = RUNS.findall(text.lower()), self.runs, self._run
-        elif any(c in text for c in SEPARATORS):
+            return b"".join(self._tables(RUNS.findall(text.lower())))
+        if any(c in text for c in SEPARATORS):
             return self._encode(text)
-        else:
-            parts, known, work_out = text.split(), self.words, self._word
-        found = list(map(known.get, parts))
+        parts = text.split()
+        found = list(map(self.words.get, parts))
         if None in found:
-            found = [work_out(part) if ids is None else ids for part, ids in zip(parts, found)]
+            found = [self._word(part) if ids is None else ids for part, ids in zip(parts, found)]
         return b"".join(found)
 
-
     def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one behind the other, and how many each has.
 
@@ -120,10 +157,9 @@ class WordEncoder:
         ], dtype=bool)
         told = {i: np.frombuffer(self.encode(texts[i]), "<u4") for i in np.flatnonzero(~plain).tolist()}
         lower = pc.utf8_lower(pa.array([t for t, p in zip(texts, plain) if p], pa.string()))
-        parted = pc.split_pattern(pc.replace_substring_regex(lower, APART, r" \1 "), " ")
+        parted = pc.ascii_split_whitespace(pc.replace_substring_regex(lower, APART, r" \0 "))
         words = parted.flatten().dictionary_encode()
-        # What white space other than spaces holds together is parted now.
-        tables = [self._run(w) if w.isalpha() else b"".join(map(self._run, RUNS.findall(w))) for w in words.dictionary.to_pylist()]
+        tables = self._tables(words.dictionary.to_numpy(zero_copy_only=False).tolist())
         sizes = np.fromiter(map(len, tables), dtype=np.int64, count=len(tables)) >> 2
         flat, starts = np.frombuffer(b"".join(tables), "<u4"), np.cumsum(sizes) - sizes
         which = words.indices.to_numpy()
@@ -166,25 +202,27 @@ def _encoder(path: str) -> WordEncoder:
 # --- The grammar of one block. ---
 
 
-def _frequent(x: np.ndarray, least: int, spread: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _shortened(x: np.ndarray, spread: int) -> np.ndarray:
+    """A short hash of each pair of neighbours; ``spread`` is an odd number."""
+    return ((x[:-1] * np.uint32(spread) ^ x[1:] * np.uint32(2246822519)) >> np.uint32(32 - SHORT)).astype(np.int64)
+
+
+def _frequent(x: np.ndarray, short: np.ndarray, shared: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The positions of pairs that occur ``least`` times, the number of the pair at each, and the pairs' counts.
 
-    Pairs are told apart by a short hash: of pairs that share one, one is counted and the others wait for a round
-    with another ``spread``, an odd number.
+    Pairs are told apart by their short hash, which occurs ``shared`` times: of pairs that share one, one is counted
+    and the others wait for a round with another hash.
     """
-    left, right = x[:-1], x[1:]
-    short = (left * np.uint32(spread) ^ right * np.uint32(2246822519)) >> np.uint32(32 - SHORT)
-    at = np.flatnonzero(np.bincount(short, minlength=1 << SHORT)[short] >= least)
-    short, codes = short[at], left[at].astype(np.uint64) << np.uint64(32) | right[at]
+    at = np.flatnonzero((shared >= least).take(short))
+    short, codes = short.take(at), x.take(at).astype(np.uint64) << np.uint64(32) | x.take(at + 1)
     held = np.zeros(1 << SHORT, dtype=np.uint64)
     held[short] = codes
-    same = held[short] == codes
+    same = held.take(short) == codes
     at, pair = at[same], short[same]
     counts = np.bincount(pair, minlength=1 << SHORT)
     keep = counts >= least
-    number = np.cumsum(keep) - 1
-    kept = keep[pair]
-    return at[kept], number[pair[kept]], counts[keep]
+    kept = keep.take(pair)
+    return at[kept], (np.cumsum(keep) - 1).take(pair[kept]), counts[keep]
 
 
 def _chosen(at: np.ndarray, pair: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -216,11 +254,12 @@ def compress(ids: np.ndarray, least: int = 8, gain: float = 0.005) -> tuple[np.n
     x, rounds, made = ids.astype(np.uint32), [], FIRST_RULE
     threshold, spread = 0, 2654435761
     while len(x) > 1:
-        at, pair, counts = _frequent(x, max(least, threshold), spread)
+        short = _shortened(x, spread)
+        shared = np.bincount(short, minlength=1 << SHORT)
         if not threshold:
-            threshold = max(least, int(counts.max(initial=0)) // STEP)
-            keep = counts[pair] >= threshold
-            at, pair = at[keep], pair[keep]
+            # No pair occurs more often than its hash.
+            threshold = max(least, int(shared.max()) // STEP)
+        at, pair, counts = _frequent(x, short, shared, threshold)
         taken = _chosen(at, pair, counts)
         at, pair = at[taken], pair[taken]
         # Overlaps may leave a pair too few places for a rule.

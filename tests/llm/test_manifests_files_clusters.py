@@ -167,6 +167,40 @@ def test_a_full_word_table_begins_anew(tokenizer, monkeypatch):
     assert len(encoder.words) <= 3 and len(encoder.runs) <= 3
 
 
+class Counted:
+    """The library's merges, with the number of calls."""
+
+    def __init__(self, merges):
+        self.merges, self.calls = merges, 0
+
+    def encode_batch_fast(self, *args, **options):
+        self.calls += 1
+        return self.merges.encode_batch_fast(*args, **options)
+
+
+NEW_RUNS = [" ".join(f"{a}{b}é{c}, {c}{b}!" for b in "aeiouü") + "\xa0mid\xa0word" for a in "bcdfg" for c in "klmnpß"]
+
+
+def test_new_runs_of_a_batch_take_one_call_of_the_library(tokenizer):
+    encoder = grammar.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    encoder.merges = Counted(encoder.merges)
+    for calls in (2, 2):
+        # One for the runs between ASCII's white space, one for those between other white space; then all are held.
+        ids, lengths = encoder.encode_all(NEW_RUNS)
+        assert [p.tolist() for p in np.split(ids, np.cumsum(lengths)[:-1])] == [plain_ids(tokenizer, t)[:-1] for t in NEW_RUNS]
+        assert encoder.merges.calls == calls
+
+
+def test_new_runs_are_the_same_by_several_calls_and_run_by_run(tokenizer, monkeypatch):
+    monkeypatch.setattr(grammar, "CALL_RUNS", 7)
+    want = sum((plain_ids(tokenizer, t)[:-1] for t in NEW_RUNS), [])
+    for marked in (True, False):
+        encoder = grammar.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+        # Without marks of where runs end, each run is asked for by itself.
+        encoder.ends_run &= marked
+        assert encoder.encode_all(NEW_RUNS)[0].tolist() == want
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 5), max_size=400), st.integers(2, 6), st.data())
 def test_grammar_round_trip_and_slices(ids, least, data):
