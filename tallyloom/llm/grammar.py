@@ -6,9 +6,9 @@ is one row of a Parquet file: the rules in the order they were made, the number
 the symbols that are left, and the ids and lengths of the block's documents. The lengths say which symbols hold
 ids ``a`` to ``b``, so a document or any slice is decoded by expanding those symbols alone.
 
-A round replaces many pairs at once: those with at least a sixth of the greatest count, where two overlap the more
-frequent one. This is what the one-by-one order comes to, but for ties and overlaps of nearly equal count, and it
-takes whole arrays at a time.
+A round replaces many pairs at once: those with at least a sixth of the greatest count (in the first round, of the
+greatest count of a hash, which pairs may share), where two overlap the more frequent one. This is what the one-by-one
+order comes to, but for ties and overlaps of nearly equal count, and it takes whole arrays at a time.
 """
 
 from __future__ import annotations
